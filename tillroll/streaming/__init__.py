@@ -1,0 +1,2 @@
+"""No streaming operators: the reference workload is batch only (no event-time column,
+no stream source, no state). Kept as the home for a future incremental ingest."""
