@@ -177,3 +177,258 @@ def q(upto: str, body: str) -> str:
     """``WITH`` every CTE of the chain up to ``upto``, then ``body``."""
     ctes = CHAIN[: _ORDER.index(upto) + 1]
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + body
+
+
+def pred_sql(spec: FilterSpec) -> str:
+    return view_sql(spec).split(" WHERE ", 1)[1]
+
+
+_CLEANED_COLS = (
+    'transaction_id, "date", "hour", customer_id, store_id, city, product_name, category, '
+    "quantity, unit_price, discount_pct, total_amount, payment_method, quantity_capped, "
+    "CAST(total_amount_clean AS DOUBLE) AS total_amount_clean"
+)
+_NULL_TOTAL = " + ".join(
+    f'count_if("{c}" IS NULL)'
+    for c in [
+        "transaction_id", "date", "hour", "customer_id", "store_id", "city", "product_name",
+        "category", "quantity", "unit_price", "discount_pct", "total_amount", "payment_method",
+        "quantity_capped", "total_amount_clean",
+    ]
+)
+_RAW_COLS = ["transaction_id"] + _REST
+_P99 = "(SELECT percentile_disc(0.99) WITHIN GROUP (ORDER BY quantity) FROM dedup)"
+
+
+def _describe(cols, digits=6, quartiles=False) -> str:
+    parts = []
+    for c in cols:
+        x = f'CAST("{c}" AS DOUBLE)'
+        sel = [
+            f"'{c}' AS \"column\"",
+            f"count({x}) AS \"count\"",
+            f"round(avg({x}), {digits}) AS mean",
+            f"round(stddev_samp({x}), {digits}) AS {'std' if quartiles else 'stddev'}",
+            f"min({x}) AS \"min\"",
+        ]
+        if quartiles:
+            sel += [f"round(quantile_cont({x}, {p}), {digits}) AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75)]
+        sel.append(f"max({x}) AS \"max\"")
+        parts.append("SELECT " + ", ".join(sel) + " FROM raw")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _filter_sql() -> dict[str, str]:
+    from tillroll.registry import SINGLE_FILTERS
+
+    out = {name: q("export", view_sql(spec)) for name, spec in SINGLE_FILTERS.items()}
+    out["filtered_view"] = q("v", "SELECT * FROM v")
+    return out
+
+
+_HOURS = list(range(7, 23))
+_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def oracle_sql() -> dict[str, str]:
+    F = "feat"
+    sql = {
+        # sources / sinks
+        "csv_scan": q("raw", "SELECT * FROM raw"),
+        "cleaned_scan": q("export", "SELECT * FROM export"),
+        "summary_scan": None,  # filled below (same as summary_category)
+        "export_cleaned": q("export", "SELECT * FROM export"),
+        "project_cleaned": q("export", "SELECT * FROM export"),
+        # profile
+        "row_count": q("raw", "SELECT count(*) AS num_rows FROM raw"),
+        "null_counts": q("raw", "SELECT " + ", ".join(f'count_if("{c}" IS NULL) AS "{c}"' for c in _RAW_COLS) + " FROM raw"),
+        "duplicate_count": q(
+            "raw",
+            "SELECT num_rows, distinct_ids, num_rows - distinct_ids AS duplicates FROM ("
+            "SELECT count(*) AS num_rows, CAST(count(DISTINCT transaction_id) + "
+            "CASE WHEN count_if(transaction_id IS NULL) > 0 THEN 1 ELSE 0 END AS BIGINT) AS distinct_ids FROM raw)",
+        ),
+        "describe_numeric": q("raw", _describe(["quantity", "unit_price", "discount_pct", "total_amount"])),
+        "describe_quartiles": q(
+            "raw", _describe(["hour", "quantity", "unit_price", "discount_pct", "total_amount"], quartiles=True)
+        ),
+        "dataset_summary": q(
+            "raw",
+            "SELECT count(*) AS num_rows, 13 AS num_columns, min(\"date\") AS min_date, max(\"date\") AS max_date, "
+            "count(DISTINCT category) AS categories, count(DISTINCT product_name) AS products, "
+            "count(DISTINCT city) AS cities, count(DISTINCT customer_id) AS customers, "
+            "(" + " + ".join(f'count_if("{c}" IS NULL)' for c in _RAW_COLS) + ") AS null_values FROM raw",
+        ),
+        # cleaning
+        "dedup_transactions": q("dedup", "SELECT * FROM dedup"),
+        "parse_date": q("parsed", 'SELECT transaction_id, "date" FROM parsed'),
+        "store_city_mode": q("modes", "SELECT * FROM modes"),
+        "impute_city_mode": q("city_filled", "SELECT transaction_id, store_id, city FROM city_filled"),
+        "impute_defaults": q(
+            "dedup",
+            "SELECT * REPLACE (coalesce(customer_id, 'GUEST') AS customer_id, "
+            "coalesce(payment_method, 'Unknown') AS payment_method, "
+            "coalesce(discount_pct, CAST(0 AS DOUBLE)) AS discount_pct) FROM dedup",
+        ),
+        "quantity_p99": q("dedup", f"SELECT CAST({_P99} AS INTEGER) AS p99"),
+        "outlier_count": q("dedup", f"SELECT count(*) AS outliers FROM dedup WHERE quantity > {_P99}"),
+        "outlier_rows": q("dedup", f"SELECT * FROM dedup WHERE quantity > {_P99}"),
+        "cap_outliers": q(
+            "dedup",
+            f"SELECT transaction_id, quantity, CAST(CASE WHEN quantity > {_P99} THEN {_P99} ELSE quantity END "
+            "AS INTEGER) AS quantity_capped FROM dedup",
+        ),
+        "recompute_amount": q(
+            "cleaned",
+            "SELECT transaction_id, unit_price, quantity_capped, discount_pct, "
+            "CAST(total_amount_clean AS DOUBLE) AS total_amount_clean FROM cleaned",
+        ),
+        "clean_transactions": q("cleaned", f"SELECT {_CLEANED_COLS} FROM cleaned"),
+        "remaining_nulls": q("cleaned", f"SELECT {_NULL_TOTAL} AS remaining_nulls FROM cleaned"),
+        # features
+        "feature_columns": q(
+            "feat",
+            "SELECT transaction_id, year, month, day_of_week, day_name, week_of_year, quarter, "
+            "is_weekend, month_name, year_month FROM feat",
+        ),
+        "revenue_bucket": q(
+            "feat",
+            "SELECT transaction_id, CAST(total_amount_clean AS DOUBLE) AS total_amount_clean, revenue_bucket FROM feat",
+        ),
+        "customer_txn_rank": q(
+            "feat",
+            'SELECT customer_id, "date", transaction_id, CAST(row_number() OVER (PARTITION BY customer_id '
+            'ORDER BY "date" ASC NULLS FIRST, transaction_id ASC NULLS FIRST) AS INTEGER) AS cust_txn_rank FROM feat',
+        ),
+        # analyses
+        "revenue_by_category": q(
+            F,
+            f"SELECT category, {msum('total_amount_clean')} AS total_revenue, count(*) AS num_transactions, "
+            f"{mavg('total_amount_clean')} AS avg_order_value FROM feat GROUP BY category",
+        ),
+        "top15_products": q(
+            F,
+            f"SELECT product_name, category, {msum('total_amount_clean')} AS revenue FROM feat "
+            "GROUP BY product_name, category ORDER BY revenue DESC, product_name, category LIMIT 15",
+        ),
+        "monthly_revenue": q(
+            F, f"SELECT year_month, {msum('total_amount_clean')} AS monthly_revenue FROM feat GROUP BY year_month"
+        ),
+        "city_performance": q(
+            F,
+            f"SELECT city, {msum('total_amount_clean')} AS revenue, count(DISTINCT customer_id) AS unique_customers "
+            "FROM feat GROUP BY city",
+        ),
+        "payment_distribution": q(F, "SELECT payment_method, count(*) AS txn_count FROM feat GROUP BY payment_method"),
+        "weekend_vs_weekday": q(
+            F,
+            f"SELECT is_weekend, {msum('total_amount_clean')} AS total_revenue, "
+            f"{mavg('total_amount_clean')} AS avg_order_value, count(*) AS num_orders FROM feat GROUP BY is_weekend",
+        ),
+        "peak_hours": q(F, 'SELECT "hour", count(*) AS txn_count FROM feat GROUP BY "hour"'),
+        # summaries
+        "summary_category": q(
+            F,
+            f"SELECT category, {msum('total_amount_clean')} AS total_revenue, count(*) AS num_transactions, "
+            f"{mavg('total_amount_clean')} AS avg_order_value, CAST(sum(quantity_capped) AS BIGINT) AS total_quantity "
+            "FROM feat GROUP BY category",
+        ),
+        "summary_monthly": q(
+            F,
+            f"SELECT year_month, {msum('total_amount_clean')} AS monthly_revenue, count(*) AS monthly_orders, "
+            "count(DISTINCT customer_id) AS unique_customers FROM feat GROUP BY year_month",
+        ),
+        "summary_city": q(
+            F,
+            f"SELECT city, {msum('total_amount_clean')} AS revenue, count(*) AS orders, "
+            "count(DISTINCT customer_id) AS unique_customers FROM feat GROUP BY city",
+        ),
+        "summary_top_products": q(
+            F,
+            f"SELECT product_name, category, {msum('total_amount_clean')} AS revenue, "
+            "CAST(sum(quantity_capped) AS BIGINT) AS qty_sold FROM feat GROUP BY product_name, category "
+            "ORDER BY revenue DESC, product_name, category LIMIT 20",
+        ),
+        "summary_hourly": q(F, 'SELECT "hour", count(*) AS txn_count FROM feat GROUP BY "hour"'),
+        "summary_payment": q(
+            F,
+            f"SELECT payment_method, count(*) AS txn_count, {msum('total_amount_clean')} AS revenue "
+            "FROM feat GROUP BY payment_method",
+        ),
+        # dashboard
+        **_filter_sql(),
+        "filter_date_bounds": q("export", 'SELECT min("date") AS min_date, max("date") AS max_date FROM export'),
+        "filter_coverage": q(
+            "export", f"SELECT count_if({pred_sql(DEFAULT_SPEC)}) AS shown, count(*) AS total FROM export"
+        ),
+        "filter_options": q(
+            "export",
+            "SELECT DISTINCT field, value FROM ("
+            "SELECT 'category' AS field, category AS value FROM export UNION ALL "
+            "SELECT 'city', city FROM export UNION ALL "
+            "SELECT 'payment_method', payment_method FROM export)",
+        ),
+        "kpis": q(
+            "v",
+            f"SELECT {msum('total_amount')} AS total_revenue, count(*) AS total_orders, "
+            f"{mavg('total_amount')} AS avg_order_value, count(DISTINCT customer_id) AS unique_customers, "
+            "CAST(sum(quantity) AS BIGINT) AS total_quantity, avg(discount_pct) AS avg_discount FROM v",
+        ),
+        "dash_monthly_trend": q(
+            "v", f"SELECT year_month, {msum('total_amount')} AS revenue, count(total_amount) AS orders FROM v GROUP BY year_month"
+        ),
+        "dash_category_revenue": q("v", f"SELECT category, {msum('total_amount')} AS revenue FROM v GROUP BY category"),
+        "dash_category_share": q(
+            "v",
+            'SELECT category, count(*) AS "count", CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) '
+            "AS share FROM v WHERE category IS NOT NULL GROUP BY category",
+        ),
+        "dash_top10_products": q(
+            "v",
+            f"SELECT product_name, {msum('total_amount')} AS revenue FROM v GROUP BY product_name "
+            "ORDER BY revenue DESC, product_name LIMIT 10",
+        ),
+        "dash_city_revenue": q(
+            "v", f"SELECT city, {msum('total_amount')} AS revenue, count(total_amount) AS orders FROM v GROUP BY city"
+        ),
+        "dash_payment_share": q(
+            "v",
+            'SELECT payment_method AS method, count(*) AS "count", '
+            "CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share "
+            "FROM v WHERE payment_method IS NOT NULL GROUP BY payment_method",
+        ),
+        "dash_heatmap_wide": q(
+            "v",
+            "SELECT d.day_name, "
+            + ", ".join(f"coalesce(h.hour_{x}, CAST(0 AS DOUBLE)) AS hour_{x}" for x in _HOURS)
+            + " FROM (VALUES "
+            + ", ".join(f"('{d}')" for d in _DAYS)
+            + ") d(day_name) LEFT JOIN (SELECT day_name, "
+            + ", ".join(
+                f'CAST(sum(CASE WHEN "hour" = {x} THEN CAST(total_amount AS DECIMAL(18,2)) END) AS DOUBLE) AS hour_{x}'
+                for x in _HOURS
+            )
+            + " FROM v GROUP BY day_name) h ON d.day_name = h.day_name",
+        ),
+        "dash_heatmap_long": q(
+            "v", f'SELECT day_name, "hour", {msum("total_amount")} AS revenue FROM v GROUP BY day_name, "hour"'
+        ),
+        "dash_quarterly": q(
+            "v",
+            f"SELECT year, quarter, {msum('total_amount')} AS revenue, "
+            "CAST(year AS VARCHAR) || '-Q' || CAST(quarter AS VARCHAR) AS period FROM v GROUP BY year, quarter",
+        ),
+        "dash_discount_impact": q(
+            "v",
+            f"SELECT discount_pct, {msum('total_amount')} AS revenue, count(total_amount) AS orders FROM v GROUP BY discount_pct",
+        ),
+        "dash_weekend": q(
+            "v",
+            f"SELECT is_weekend, {msum('total_amount')} AS revenue, count(total_amount) AS orders, "
+            f"{mavg('total_amount')} AS avg_val, CASE is_weekend WHEN 0 THEN 'Weekday' WHEN 1 THEN 'Weekend' END AS type "
+            "FROM v GROUP BY is_weekend",
+        ),
+        "preview_rows": q("v", "SELECT * FROM v ORDER BY transaction_id LIMIT 500"),
+    }
+    sql["summary_scan"] = sql["summary_category"]
+    return sql
