@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import pinned
+
 
 def _range_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -49,11 +51,7 @@ def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | No
     hist = stacked.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
 
     n_parts = partitions or _range_partitions(df)
-    ranged = (
-        hist.repartitionByRange(n_parts, "k", "v")
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    ranged = pinned(hist.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
 
     per_part = ranged.groupBy("k", "_pid").agg(F.sum("c").alias("_pc"))
     before = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

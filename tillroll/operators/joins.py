@@ -16,6 +16,16 @@ def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     The check is a count over the checkpointed table (reliable storage, so lineage is cut
     and executor loss does not recompute it), reading at most ``max_rows + 1`` rows.
     """
-    small = small.checkpoint(eager=True)
+    small = pinned(small)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint computed once: persisted first so the checkpoint write
+    does not recompute the input, then released (later reads use the checkpoint files)."""
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

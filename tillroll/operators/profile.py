@@ -99,3 +99,19 @@ def dataset_summary(df: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("customers"),
         total_nulls.alias("null_values"),
     )
+
+
+def profile_pass(df: DataFrame, numeric: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
+    """Row count, NULLs per column and describe statistics of ``numeric`` in one aggregate
+    (one job, no shuffle beyond the single-partition merge of partial aggregates)."""
+    aggs = [F.count(F.lit(1)).alias("num_rows")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in df.columns]
+    for c in numeric:
+        x = F.col(c).cast("double")
+        aggs += [
+            F.avg(x).alias(f"mean__{c}"),
+            F.stddev_samp(x).alias(f"stddev__{c}"),
+            F.min(x).alias(f"min__{c}"),
+            F.max(x).alias(f"max__{c}"),
+        ]
+    return df.agg(*aggs)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import pinned
+
 
 def customer_txn_rank(
     df: DataFrame,
@@ -31,11 +33,10 @@ def customer_txn_rank(
 ) -> DataFrame:
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [customer, *order]
-    ranged = (
+    ranged = pinned(
         df.select(*keys)
         .repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys])
         .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
     )
     local = ranged.withColumn(
         "_local",

@@ -18,7 +18,8 @@ from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS
 from tillroll.plans.analysis import SUMMARIES
 from tillroll.plans.clean import clean_deduped
 from tillroll.plans.features import add_features, export_frame
-from tillroll.schema import FACT_SCHEMA
+from tillroll.operators.profile import profile_pass
+from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
 from tillroll.session import scratch_path
 from tillroll.sources.files import write_csv, write_parquet
 from tillroll.sources.star import raw_transactions
@@ -44,28 +45,61 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
-_FACTS: dict[tuple[str, str], str] = {}
+_TABLES: dict[tuple[str, str, str], str] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _TABLES.get(key)
+    if path is None:
+        path = build(scratch_path(spark, name))
+        _TABLES[key] = path
+    return path
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw transactions derived from the star tables in ``sf_dir``, written once per
+    application as Parquet (the counterpart of the reference's raw transaction file)."""
+    path = _memo(
+        spark, sf_dir, "raw", lambda p: write_parquet(raw_transactions(spark, sf_dir), p)
+    )
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature fact derived from the star tables in ``sf_dir``, built once per
     application and reused by every query of the registry."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _FACTS.get(key)
-    if path is None:
-        path = write_fact(raw_transactions(spark, sf_dir), scratch_path(spark, "fact"))
-        _FACTS[key] = path
+    path = _memo(spark, sf_dir, "fact", lambda p: write_fact(raw_table(spark, sf_dir), p))
     return read_fact(spark, path)
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str) -> dict[str, str]:
-    """Write the fact, the 21-column cleaned export (CSV and Parquet) and six summaries."""
+def run_pipeline(
+    spark: SparkSession,
+    raw: DataFrame,
+    out_dir: str,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> dict:
+    """The reference job end to end: profile the raw rows (one pass), clean, add features,
+    write the fact, the 21-column cleaned export (CSV and Parquet by year) and six
+    summaries. Returns the output paths and the profile as small driver-side values.
+
+    ``raw`` should be a file scan (it is read twice: profile, dedup); derive-and-write it
+    first when it comes from a join, as :func:`raw_table` does.
+    """
     out_dir = out_dir.rstrip("/")
-    paths = {"fact": write_fact(raw, f"{out_dir}/fact")}
+    prof = profile_pass(raw).first().asDict()
+    deduped = dedup_transactions(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prof["rows_after_dedup"] = deduped.count()
+        prof["duplicates"] = prof["num_rows"] - prof["rows_after_dedup"]
+        features = add_features(clean_deduped(deduped, max_broadcast_rows))
+        paths = {"fact": write_parquet(features, f"{out_dir}/fact", partition_by="year")}
+    finally:
+        deduped.unpersist()
     fact = read_fact(spark, paths["fact"])
     export = export_frame(fact)
     paths["cleaned_csv"] = write_csv(export, f"{out_dir}/grocery_cleaned.csv")
     paths["cleaned_parquet"] = write_parquet(export, f"{out_dir}/grocery_cleaned.parquet", partition_by="year")
     for name, fn in SUMMARIES.items():
         paths[name] = write_csv(fn(fact), f"{out_dir}/{name}.csv")
-    return paths
+    return {"paths": paths, "profile": prof}

@@ -28,7 +28,7 @@ from tillroll.plans.analysis import ANALYSES, SUMMARIES, summary_category
 from tillroll.plans.clean import null_total, with_parsed_date
 from tillroll.plans.dashboard import DASH_QUERIES
 from tillroll.plans.features import export_frame
-from tillroll.plans.pipeline import fact_table
+from tillroll.plans.pipeline import fact_table, raw_table
 from tillroll.plans.view import DEFAULT_SPEC, FilterSpec, coverage, date_bounds, filter_options, view
 from tillroll.schema import CLEANED_COLUMNS, SUMMARY_SCHEMAS
 from tillroll.session import scratch_path
@@ -52,7 +52,7 @@ SINGLE_FILTERS = {
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_transactions(spark, sf)
+    return raw_table(spark, sf)
 
 
 def _dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +79,7 @@ def _money_double(df: DataFrame) -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.write_csv(_raw(spark, sf), scratch_path(spark, "raw_csv"))
+    path = files.write_csv(raw_transactions(spark, sf), scratch_path(spark, "raw_csv"))
     return files.read_raw_csv(spark, path)
 
 

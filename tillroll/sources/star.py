@@ -7,11 +7,14 @@ transaction ids (line items sharing an order key and line number), so that every
 rule has work to do.
 
 Join plan. ``orders`` is joined to ``customer`` and ``nation`` first (order-sized), then
-``lineitem`` to that on the order key and to ``part`` on the part key. No hints: Catalyst
-broadcasts a side only when its size estimate is under ``autoBroadcastJoinThreshold``
-(the 25-row nation table always; customer/part only at small scale) and otherwise plans a
-sort-merge join, whose skewed partitions AQE splits at run time. Only the columns needed are
-read, so the Parquet scans carry a pruned ``ReadSchema``.
+``lineitem`` to that on the order key and to ``part`` on the part key. Line items to orders
+is a fact-to-fact join -- both sides grow with the data -- so it is pinned to a sort-merge
+join on the order key (``merge`` hint): neither side is ever broadcast, the work is spread
+over shuffle partitions even when a file is a single row group, and AQE splits skewed
+partitions at run time. The dimension joins are left to Catalyst, which broadcasts a side
+only when its size estimate is under ``autoBroadcastJoinThreshold`` (the 25-row nation
+table always; customer/part only at small scale) and otherwise plans a sort-merge join.
+Only the columns needed are read, so the Parquet scans carry a pruned ``ReadSchema``.
 """
 
 from __future__ import annotations
@@ -55,7 +58,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "n_name")
     )
-    j = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(
+    j = li.join(order_side.hint("merge"), li.l_orderkey == order_side.o_orderkey).join(
         part, li.l_partkey == part.p_partkey
     )
 
