@@ -47,7 +47,7 @@ def test_csv_round_trip_raw(spark, sf_small, tmp_out):
 
 
 def test_pipeline_outputs(spark, sf_small, tmp_out):
-    res = run_pipeline(spark, raw_table(spark, sf_small), tmp_out)
+    res = run_pipeline(spark, raw_table(spark, sf_small), tmp_out, write_parquet_export=True)
     paths, prof = res["paths"], res["profile"]
     assert prof["num_rows"] == 6000 and prof["duplicates"] == 6000 - prof["rows_after_dedup"]
     fact = read_fact(spark, paths["fact"])

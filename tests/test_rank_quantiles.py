@@ -64,10 +64,11 @@ def _linear(values, p):
 )
 def test_exact_quantiles_against_sorting(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x int")
-    r = exact_quantiles(df, ["x"], [p], ["q"], method="disc", partitions=5).first()
-    assert r.n == len(values) and r.q == _disc(values, p)
-    r = exact_quantiles(df, ["x"], [p], ["q"], method="linear", partitions=3).first()
-    assert r.q == pytest.approx(_linear(values, p), rel=1e-12, abs=1e-12)
+    for limit in (0, 10**6):  # 0 forces the range-partitioned path, else one window task
+        r = exact_quantiles(df, ["x"], [p], ["q"], method="disc", partitions=5, max_single_task_rows=limit).first()
+        assert r.n == len(values) and r.q == _disc(values, p)
+        r = exact_quantiles(df, ["x"], [p], ["q"], method="linear", partitions=3, max_single_task_rows=limit).first()
+        assert r.q == pytest.approx(_linear(values, p), rel=1e-12, abs=1e-12)
 
 
 def test_exact_quantiles_several_columns_one_hot_value(spark):
@@ -75,7 +76,12 @@ def test_exact_quantiles_several_columns_one_hot_value(spark):
     a = [7] * 5000 + [rnd.randrange(1000) for _ in range(2000)]  # one value holds most rows
     b = [rnd.random() * 100 for _ in range(len(a))]
     df = spark.createDataFrame(list(zip(a, b)), "a int, b double")
-    got = {r.column: r for r in exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], ["p10", "p50", "p90"], partitions=6).collect()}
+    got = {
+        r.column: r
+        for r in exact_quantiles(
+            df, ["a", "b"], [0.1, 0.5, 0.9], ["p10", "p50", "p90"], partitions=6, max_single_task_rows=0
+        ).collect()
+    }
     for col, vals in (("a", a), ("b", b)):
         assert got[col].n == len(vals)
         assert (got[col].p10, got[col].p50, got[col].p90) == tuple(float(_disc(vals, p)) for p in (0.1, 0.5, 0.9))

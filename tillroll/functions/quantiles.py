@@ -4,17 +4,17 @@ Spark's exact ``percentile`` keeps a map of every distinct value inside one fina
 which is fine for a small integer domain but not for a high-cardinality column at scale.
 Here the work is split instead:
 
-1. value histogram ``(column, value, count)`` -- a grouped count with map-side partial
-   aggregation, so a value held by a third of all rows is one histogram row;
-2. the histogram is range-partitioned by ``(column, value)`` and checkpointed with its
-   partition id, which pins one consistent assignment of values to ordered partitions
-   (range bounds come from sampling, so they must not be recomputed differently by
-   two branches of the plan);
-3. per-partition totals (at most ``partitions x columns`` rows) give each partition its
-   offset with a tiny window; that table is broadcast -- its size is bounded by the
-   partition count -- and a window inside each partition turns counts into cumulative
-   ranks;
-4. one grouped aggregate picks, per requested probability, the value whose rank interval
+1. value counts ``(k, v, c)`` per column ``k`` -- a grouped count with map-side partial
+   aggregation, so a value held by a third of all rows is one row; the counts are pinned
+   (checkpointed) and counted;
+2. when the counts table is within a proven bound (``max_single_task_rows``, checked by
+   that count) ranks come from one window per column; beyond it the counts are
+   range-partitioned by ``(k, v)`` and pinned with their partition id (range bounds come
+   from sampling, so the assignment must not be recomputed differently by two branches of
+   the plan); per-partition totals -- at most ``partitions x columns`` rows, broadcast --
+   give each partition its offset, and a window inside each partition turns counts into
+   cumulative ranks;
+3. one grouped aggregate picks, per requested probability, the value whose rank interval
    contains the target rank.
 
 Semantics match SQL ``percentile_disc`` (``method="disc"``: first value whose cumulative
@@ -31,14 +31,18 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
 
+# Distinct values per run up to which ranking happens in one window task.
+MAX_SINGLE_TASK_ROWS = 1_000_000
+
 
 def _range_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """``(k, v, c, _lo, _hi, _n)``: value ``v`` of column ``k`` occupies ranks (_lo, _hi]
-    among the ``_n`` non-null values of ``k`` (ranks are 1-based)."""
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(k, v, c)``: count of each non-null value ``v`` of each column ``k``.
+
+    With several columns values are compared as doubles; one column keeps its type."""
     if len(columns) == 1:
         (name,) = columns
         stacked = df.select(F.lit(name).alias("k"), F.col(name).alias("v"))
@@ -48,11 +52,35 @@ def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | No
                 F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in columns])
             ).alias("s")
         ).select("s.k", "s.v")
-    hist = stacked.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    return stacked.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
 
-    n_parts = partitions or _range_partitions(df)
-    ranged = pinned(hist.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
 
+def rank_counts(
+    counts: DataFrame,
+    partitions: int | None = None,
+    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+    pin: bool = True,
+) -> DataFrame:
+    """``(k, v, c, _lo, _hi, _n)``: value ``v`` of column ``k`` occupies ranks (_lo, _hi]
+    among the ``_n`` non-null values of ``k`` (ranks are 1-based).
+
+    ``pin=False`` when ``counts`` is already cheap and deterministic to recompute (e.g.
+    derived from a checkpointed table)."""
+    if pin:
+        counts = pinned(counts)
+    size = counts.limit(max_single_task_rows + 1).count()
+    if size <= max_single_task_rows:
+        # bounded by the check above: one task per column ranks all its distinct values
+        upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        return (
+            counts.withColumn("_hi", F.sum("c").over(upto))
+            .withColumn("_lo", F.col("_hi") - F.col("c"))
+            .withColumn("_n", F.sum("c").over(Window.partitionBy("k")))
+            .select("k", "v", "c", "_lo", "_hi", "_n")
+        )
+
+    n_parts = partitions or _range_partitions(counts)
+    ranged = pinned(counts.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
     per_part = ranged.groupBy("k", "_pid").agg(F.sum("c").alias("_pc"))
     before = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
@@ -71,25 +99,17 @@ def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | No
     )
 
 
+def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+    return rank_counts(value_counts(df, columns), partitions)
+
+
 def _value_at(rank: Column) -> Column:
     return F.max(F.when((F.col("_lo") < rank) & (rank <= F.col("_hi")), F.col("v")))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    names: Sequence[str] | None = None,
-    method: str = "disc",
-    partitions: int | None = None,
+def quantiles_from_ranks(
+    ranked: DataFrame, probs: Sequence[float], names: Sequence[str], method: str = "disc"
 ) -> DataFrame:
-    """One row per column that has non-null values: ``column, n, <names...>``.
-
-    With several columns the values are compared as doubles; with one column the value
-    keeps its type for ``method="disc"``.
-    """
-    names = list(names or [f"p{i}" for i in range(len(probs))])
-    ranked = ranked_histogram(df, columns, partitions)
     n = F.col("_n")
     aggs = [F.first("_n").alias("n")]
     for p, name in zip(probs, names):
@@ -117,6 +137,21 @@ def exact_quantiles(
     return out
 
 
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    names: Sequence[str] | None = None,
+    method: str = "disc",
+    partitions: int | None = None,
+    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """One row per column that has non-null values: ``column, n, <names...>``."""
+    names = list(names or [f"p{i}" for i in range(len(probs))])
+    ranked = rank_counts(value_counts(df, columns), partitions, max_single_task_rows)
+    return quantiles_from_ranks(ranked, probs, names, method)
+
+
 def percentile_disc(df: DataFrame, column: str, p: float, name: str = "value") -> DataFrame:
     """One-row frame ``(<name>)`` with the exact discrete percentile of ``column``."""
     return exact_quantiles(df, [column], [p], [name], method="disc").select(name)

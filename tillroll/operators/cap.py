@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.quantiles import percentile_disc
+from tillroll.functions.quantiles import percentile_disc, quantiles_from_ranks, rank_counts
 
 CAP_QUANTILE = 0.99
 
@@ -19,6 +19,11 @@ def quantile_cap(df: DataFrame, column: str = "quantity", p: float = CAP_QUANTIL
     return percentile_disc(df, column, p, name="cap")
 
 
+def cap_from_counts(counts: DataFrame, p: float = CAP_QUANTILE, pin: bool = False) -> DataFrame:
+    """One-row cap from precomputed ``(k, v, c)`` value counts of a single column."""
+    return quantiles_from_ranks(rank_counts(counts, pin=pin), [p], ["cap"], "disc").select("cap")
+
+
 def capped(value: Column, cap: Column) -> Column:
     """``value`` if not above ``cap``; NULL stays NULL; a NULL cap caps nothing."""
     return F.when(value > cap, cap).otherwise(value)

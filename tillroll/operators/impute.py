@@ -14,27 +14,47 @@ UNKNOWN_PAYMENT = "Unknown"
 NO_DISCOUNT = 0.0
 
 
-def store_city_mode(df: DataFrame) -> DataFrame:
-    """``(store_id, city_mode)``: most frequent non-null city per store, smallest on ties.
-
-    ``mode`` aggregates partially per map task (a map of city -> count per store), so a
-    store holding a third of all rows is not a hot reducer.
-    """
+def city_counts(df: DataFrame) -> DataFrame:
+    """``(store_id, city, c)`` for non-null cities: a grouped count with map-side partial
+    aggregation, so a store holding a third of all rows is not a hot reducer."""
     return (
         df.where(F.col("city").isNotNull())
+        .groupBy("store_id", "city")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+
+
+def city_mode_from_counts(counts: DataFrame) -> DataFrame:
+    """``(store_id, city_mode)``: the city with the highest count, smallest name on ties
+    (a second aggregate over the small counts table)."""
+    best = F.min(F.struct((-F.col("c")).alias("neg_c"), F.col("city").alias("city")))
+    return (
+        counts.where(F.col("city").isNotNull())
         .groupBy("store_id")
-        .agg(F.mode("city", deterministic=True).alias("city_mode"))
+        .agg(best.alias("m"))
+        .select("store_id", F.col("m.city").alias("city_mode"))
     )
 
 
-def impute_city(df: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def store_city_mode(df: DataFrame) -> DataFrame:
+    """``(store_id, city_mode)``: most frequent non-null city per store, smallest on ties."""
+    return city_mode_from_counts(city_counts(df))
+
+
+def impute_city(
+    df: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, modes: DataFrame | None = None
+) -> DataFrame:
     """Fill a NULL city with its store's modal city, else ``Unknown``.
 
     The mode table has one row per store; it is broadcast after a row-count check (no
     fan-out, no shuffle of the fact), and joined with a shuffle join beyond the limit. A
-    NULL ``store_id`` never matches and falls to ``Unknown``.
+    NULL ``store_id`` never matches and falls to ``Unknown``. ``modes`` may be given when
+    it was derived from an already pinned table.
     """
-    modes = broadcast_if_small(store_city_mode(df), max_broadcast_rows)
+    if modes is None:
+        modes = broadcast_if_small(store_city_mode(df), max_broadcast_rows)
+    else:
+        modes = broadcast_if_small(modes, max_broadcast_rows, pin=False)
     return (
         df.join(modes, on="store_id", how="left")
         .withColumn("city", F.coalesce(F.col("city"), F.col("city_mode"), F.lit(UNKNOWN_CITY)))

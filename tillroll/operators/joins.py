@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True) -> DataFrame:
     """Checkpoint ``small`` and broadcast it only if it has at most ``max_rows`` rows.
 
     The check is a count over the checkpointed table (reliable storage, so lineage is cut
     and executor loss does not recompute it), reading at most ``max_rows + 1`` rows.
+    ``pin=False`` skips the checkpoint when ``small`` is already derived from one.
     """
-    small = pinned(small)
+    if pin:
+        small = pinned(small)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 

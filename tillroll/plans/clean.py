@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import parse_date
 from tillroll.functions.money import line_amount
-from tillroll.operators.cap import cap_column
+from tillroll.operators.cap import cap_column, cap_from_counts
 from tillroll.operators.dedup import dedup_transactions
-from tillroll.operators.impute import impute_city, impute_defaults
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS
+from tillroll.operators.impute import city_mode_from_counts, impute_city, impute_defaults
+from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, pinned
 
 
 def with_parsed_date(df: DataFrame) -> DataFrame:
@@ -24,12 +24,29 @@ def with_amount(df: DataFrame) -> DataFrame:
     )
 
 
+def lookup_counts(deduped: DataFrame) -> DataFrame:
+    """Both small lookups of the cleaning rules from ONE pass over the deduplicated rows:
+    ``GROUPING SETS ((store_id, city), (quantity))`` with a count, partially aggregated per
+    map task. Pinned (checkpointed) -- it is a few rows per store plus one row per
+    quantity value."""
+    return pinned(
+        deduped.groupingSets([["store_id", "city"], ["quantity"]], "store_id", "city", "quantity").agg(
+            F.count(F.lit(1)).alias("c"), F.grouping("quantity").alias("_by_store")
+        )
+    )
+
+
 def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The cleaning rules after dedup (15 columns)."""
+    lookups = lookup_counts(deduped)
+    modes = city_mode_from_counts(lookups.where(F.col("_by_store") == 1).select("store_id", "city", "c"))
+    qty = lookups.where((F.col("_by_store") == 0) & F.col("quantity").isNotNull()).select(
+        F.lit("quantity").alias("k"), F.col("quantity").alias("v"), "c"
+    )
     df = with_parsed_date(deduped)
-    df = impute_city(df, max_broadcast_rows)
+    df = impute_city(df, max_broadcast_rows, modes=modes)
     df = impute_defaults(df)
-    df = cap_column(df, "quantity", "quantity_capped")
+    df = cap_column(df, "quantity", "quantity_capped", cap=cap_from_counts(qty))
     return with_amount(df)
 
 
