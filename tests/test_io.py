@@ -85,3 +85,15 @@ def test_summary_invariants(spark, sf_small):
 
     cap = quantile_cap(dedup_transactions(raw_table(spark, sf_small))).first().cap
     assert fact.agg(F.max("quantity_capped")).first()[0] <= cap
+
+
+def test_report_tables_equal_the_per_table_plans(spark, sf_small):
+    from tillroll.plans.analysis import ANALYSES, SUMMARIES
+    from tillroll.plans.report import report_tables
+
+    fact = fact_table(spark, sf_small)
+    tables = report_tables(fact)
+    for name, fn in {**ANALYSES, **SUMMARIES}.items():
+        want, got = fn(fact), tables[name]
+        assert got.columns == want.columns, name
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), name

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.dedup import dedup_transactions
 from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS
-from tillroll.plans.analysis import SUMMARIES
+from tillroll.plans.analysis import ANALYSES, SUMMARIES
 from tillroll.plans.clean import clean_deduped
 from tillroll.plans.features import add_features, export_frame
+from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
 from tillroll.session import scratch_path
@@ -82,7 +83,8 @@ def run_pipeline(
 ) -> dict:
     """The reference job end to end: profile the raw rows (one pass), clean, add features,
     write the fact (Parquet by year, a superset of the 21 exported columns), the 21-column
-    cleaned export as CSV (and as Parquet by year on request) and six summaries. Returns the output paths and the profile as small driver-side values.
+    cleaned export as CSV (and as Parquet by year on request) and six summaries. The seven
+    analysis tables come back as small lazy frames over the same pinned aggregates. Returns the output paths and the profile as small driver-side values.
 
     ``raw`` should be a file scan (it is read twice: profile, dedup); derive-and-write it
     first when it comes from a join, as :func:`raw_table` does.
@@ -102,6 +104,7 @@ def run_pipeline(
     paths["cleaned_csv"] = write_csv(export, f"{out_dir}/grocery_cleaned.csv")
     if write_parquet_export:
         paths["cleaned_parquet"] = write_parquet(export, f"{out_dir}/grocery_cleaned.parquet", partition_by="year")
-    for name, fn in SUMMARIES.items():
-        paths[name] = write_csv(fn(fact), f"{out_dir}/{name}.csv")
-    return {"paths": paths, "profile": prof}
+    tables = report_tables(fact)
+    for name in SUMMARIES:
+        paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
+    return {"paths": paths, "profile": prof, "tables": {k: v for k, v in tables.items() if k in ANALYSES}}
