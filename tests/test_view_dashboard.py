@@ -71,3 +71,16 @@ def test_shares_sum_to_one_and_topk_tie_break(spark):
     assert [r.product_name for r in top] == ["prod1", "prod0"]  # prod0 (40.0) and prod1 (30.0) vs prod2 (30.0): name breaks tie
     assert D.weekend(v).first().type == "Weekday"
     assert D.quarterly(v).first().period == "2024-Q1"
+
+
+def test_dashboard_composite_over_exported_csv(spark, sf_small, tmp_out):
+    from tillroll.plans.dashboard import dashboard
+    from tillroll.plans.pipeline import export, fact_table
+    from tillroll.sources.files import read_cleaned_csv
+
+    paths = export(fact_table(spark, sf_small), tmp_out, fmt="csv")
+    tables = dashboard(read_cleaned_csv(spark, paths["cleaned"]))
+    k = tables["kpis"].first()
+    c = tables["filter_coverage"].first()
+    assert k.total_orders == c.shown > 0
+    assert len(tables["dash_heatmap_wide"].collect()) == 7

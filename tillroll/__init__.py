@@ -14,5 +14,3 @@ Every public function takes and returns DataFrames (or Columns) and never collec
 to the driver; the only driver-side values are scalars (a row count used to decide a
 broadcast, file paths).
 """
-
-__all__ = ["schema"]

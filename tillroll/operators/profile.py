@@ -115,3 +115,13 @@ def profile_pass(df: DataFrame, numeric: Sequence[str] = DESCRIBE_COLUMNS) -> Da
             F.max(x).alias(f"max__{c}"),
         ]
     return df.agg(*aggs)
+
+
+def profile(df: DataFrame) -> dict[str, DataFrame]:
+    """The reference's profiling step as lazy frames: NULLs per column, duplicate ids and
+    describe statistics of the four numeric columns."""
+    return {
+        "null_counts": null_counts(df),
+        "duplicate_count": duplicate_count(df),
+        "describe_numeric": describe_numeric(df),
+    }

@@ -157,3 +157,21 @@ DASH_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "dash_weekend": weekend,
     "preview_rows": preview,
 }
+
+
+def dashboard(cleaned: DataFrame, spec=None) -> dict[str, DataFrame]:
+    """Every dashboard table for one filter state, over the exported cleaned fact (as read
+    by ``sources.files.read_cleaned_csv`` / ``read_cleaned_parquet``)."""
+    from tillroll.plans.view import DEFAULT_SPEC, coverage, date_bounds, filter_options, view
+
+    spec = DEFAULT_SPEC if spec is None else spec
+    v = view(cleaned, spec)
+    out = {name: fn(v) for name, fn in DASH_QUERIES.items()}
+    out.update(
+        {
+            "filter_date_bounds": date_bounds(cleaned),
+            "filter_options": filter_options(cleaned),
+            "filter_coverage": coverage(cleaned, spec),
+        }
+    )
+    return out

@@ -108,3 +108,20 @@ def run_pipeline(
     for name in SUMMARIES:
         paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
     return {"paths": paths, "profile": prof, "tables": {k: v for k, v in tables.items() if k in ANALYSES}}
+
+
+def export(features: DataFrame, out_dir: str, fmt: str = "csv") -> dict[str, str]:
+    """Write the 21-column cleaned export (``csv`` or ``parquet`` by year) and the six
+    summaries (CSV) from a feature frame, with Spark's distributed writers."""
+    out_dir = out_dir.rstrip("/")
+    cleaned = export_frame(features)
+    if fmt == "csv":
+        paths = {"cleaned": write_csv(cleaned, f"{out_dir}/grocery_cleaned.csv")}
+    elif fmt == "parquet":
+        paths = {"cleaned": write_parquet(cleaned, f"{out_dir}/grocery_cleaned.parquet", partition_by="year")}
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    tables = report_tables(features)
+    for name in SUMMARIES:
+        paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
+    return paths

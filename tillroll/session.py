@@ -30,6 +30,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Suggested settings for the full-scale job (~100 TB of raw transactions, ~1,000 executors).
+# Shuffle partitions start high and AQE coalesces them to ~256 MB each, so no reducer has to
+# hold more than it can sort in memory; input splits of 256 MB keep scan tasks in the tens
+# of thousands; skewed join partitions are split at run time; broadcasts are limited to
+# what the planner can prove small (derived lookups are additionally row-count checked in
+# operators/joins.py).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "200000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> SparkSession:
+    """Set runtime SQL settings on an existing session (only keys that are runtime-settable)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
     """Local session for tests/bench (the library itself never creates sessions)."""
     builder = (
