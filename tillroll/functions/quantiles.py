@@ -6,7 +6,7 @@ Here the work is split instead:
 
 1. value counts ``(k, v, c)`` per column ``k`` -- a grouped count with map-side partial
    aggregation, so a value held by a third of all rows is one row; the counts are pinned
-   (checkpointed) and counted;
+   (written once to the shared checkpoint folder) and counted;
 2. when the counts table is within a proven bound (``max_single_task_rows``, checked by
    that count) ranks come from one window per column; beyond it the counts are
    range-partitioned by ``(k, v)`` and pinned with their partition id (range bounds come
@@ -65,7 +65,7 @@ def rank_counts(
     among the ``_n`` non-null values of ``k`` (ranks are 1-based).
 
     ``pin=False`` when ``counts`` is already cheap and deterministic to recompute (e.g.
-    derived from a checkpointed table)."""
+    derived from a pinned table)."""
     if pin:
         counts = pinned(counts)
     size = counts.limit(max_single_task_rows + 1).count()

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import scratch_path
+
 # Rows up to which a derived lookup table is broadcast; beyond it the join stays a
 # shuffle join (sort-merge, with AQE splitting skewed partitions).
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True) -> DataFrame:
-    """Checkpoint ``small`` and broadcast it only if it has at most ``max_rows`` rows.
+    """Pin ``small`` and broadcast it only if it has at most ``max_rows`` rows.
 
-    The check is a count over the checkpointed table (reliable storage, so lineage is cut
-    and executor loss does not recompute it), reading at most ``max_rows + 1`` rows.
-    ``pin=False`` skips the checkpoint when ``small`` is already derived from one.
+    The check is a count over the pinned table (written to the shared checkpoint folder, so
+    lineage is cut and executor loss does not recompute it), reading at most
+    ``max_rows + 1`` rows. ``pin=False`` skips pinning when ``small`` is already derived
+    from a pinned table.
     """
     if pin:
         small = pinned(small)
@@ -24,10 +27,10 @@ def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint computed once: persisted first so the checkpoint write
-    does not recompute the input, then released (later reads use the checkpoint files)."""
-    df = df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    """Materialise ``df`` once as a written table in the shared checkpoint folder and read it
+    back: one job, lineage cut (a lost executor does not recompute it), columnar, and with
+    file statistics the planner can use. Values computed from non-deterministic expressions
+    (e.g. a partition id) are fixed from then on."""
+    path = scratch_path(df.sparkSession, "pinned")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

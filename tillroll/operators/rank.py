@@ -5,7 +5,7 @@ a guest/anonymous id can hold a large share of all rows. Instead:
 
 1. the three needed columns are range-partitioned by (customer, date, id) -- a total order,
    so one customer's rows are split over as many ordered partitions as their volume needs
-   -- and checkpointed with the partition id (pins one assignment; range bounds come from
+   -- and pinned (written once) with the partition id (fixes one assignment; range bounds come from
    sampling);
 2. ``row_number`` runs per (partition, customer): balanced, since a hot customer is split;
 3. a customer continued from earlier partitions gets the number of its rows in those

@@ -27,7 +27,7 @@ def with_amount(df: DataFrame) -> DataFrame:
 def lookup_counts(deduped: DataFrame) -> DataFrame:
     """Both small lookups of the cleaning rules from ONE pass over the deduplicated rows:
     ``GROUPING SETS ((store_id, city), (quantity))`` with a count, partially aggregated per
-    map task. Pinned (checkpointed) -- it is a few rows per store plus one row per
+    map task. Pinned (written once to the checkpoint folder) -- a few rows per store plus one row per
     quantity value."""
     return pinned(
         deduped.groupingSets([["store_id", "city"], ["quantity"]], "store_id", "city", "quantity").agg(
@@ -51,7 +51,7 @@ def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAS
 
 
 def clean(raw: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Raw 13 columns -> cleaned 15 columns (lazy, except the two small checkpointed
+    """Raw 13 columns -> cleaned 15 columns (lazy, except the two small pinned
     lookups: the store -> city table and the quantity histogram)."""
     return clean_deduped(dedup_transactions(raw), max_broadcast_rows)
 

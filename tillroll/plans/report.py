@@ -9,7 +9,7 @@ Here the fact is scanned three times instead:
 2. monthly revenue/orders/distinct customers, and 3. the same by city (exact distinct
    counts need their own (group, customer) level).
 
-Each result has one row per output group; they are pinned (checkpointed) and the 13 tables
+Each result has one row per output group; they are pinned (written once) and the 13 tables
 are projections/sorts of them. Values are identical to the per-table plans (tested).
 """
 
