@@ -60,15 +60,17 @@ def rank_counts(
     partitions: int | None = None,
     max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
     pin: bool = True,
+    size: int | None = None,
 ) -> DataFrame:
     """``(k, v, c, _lo, _hi, _n)``: value ``v`` of column ``k`` occupies ranks (_lo, _hi]
     among the ``_n`` non-null values of ``k`` (ranks are 1-based).
 
     ``pin=False`` when ``counts`` is already cheap and deterministic to recompute (e.g.
-    derived from a pinned table)."""
+    derived from a pinned table); ``size`` is its row count when already known."""
     if pin:
         counts = pinned(counts)
-    size = counts.limit(max_single_task_rows + 1).count()
+    if size is None:
+        size = counts.limit(max_single_task_rows + 1).count()
     if size <= max_single_task_rows:
         # bounded by the check above: one task per column ranks all its distinct values
         upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

@@ -19,9 +19,11 @@ def quantile_cap(df: DataFrame, column: str = "quantity", p: float = CAP_QUANTIL
     return percentile_disc(df, column, p, name="cap")
 
 
-def cap_from_counts(counts: DataFrame, p: float = CAP_QUANTILE, pin: bool = False) -> DataFrame:
+def cap_from_counts(
+    counts: DataFrame, p: float = CAP_QUANTILE, pin: bool = False, size: int | None = None
+) -> DataFrame:
     """One-row cap from precomputed ``(k, v, c)`` value counts of a single column."""
-    return quantiles_from_ranks(rank_counts(counts, pin=pin), [p], ["cap"], "disc").select("cap")
+    return quantiles_from_ranks(rank_counts(counts, pin=pin, size=size), [p], ["cap"], "disc").select("cap")
 
 
 def capped(value: Column, cap: Column) -> Column:

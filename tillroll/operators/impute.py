@@ -42,19 +42,22 @@ def store_city_mode(df: DataFrame) -> DataFrame:
 
 
 def impute_city(
-    df: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, modes: DataFrame | None = None
+    df: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    modes: DataFrame | None = None,
+    mode_rows: int | None = None,
 ) -> DataFrame:
     """Fill a NULL city with its store's modal city, else ``Unknown``.
 
     The mode table has one row per store; it is broadcast after a row-count check (no
     fan-out, no shuffle of the fact), and joined with a shuffle join beyond the limit. A
     NULL ``store_id`` never matches and falls to ``Unknown``. ``modes`` may be given when
-    it was derived from an already pinned table.
+    it was derived from an already pinned table (with its row count, if known).
     """
     if modes is None:
         modes = broadcast_if_small(store_city_mode(df), max_broadcast_rows)
     else:
-        modes = broadcast_if_small(modes, max_broadcast_rows, pin=False)
+        modes = broadcast_if_small(modes, max_broadcast_rows, pin=False, known_rows=mode_rows)
     return (
         df.join(modes, on="store_id", how="left")
         .withColumn("city", F.coalesce(F.col("city"), F.col("city_mode"), F.lit(UNKNOWN_CITY)))

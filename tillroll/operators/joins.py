@@ -12,17 +12,19 @@ from tillroll.session import scratch_path
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True) -> DataFrame:
+def broadcast_if_small(
+    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True, known_rows: int | None = None
+) -> DataFrame:
     """Pin ``small`` and broadcast it only if it has at most ``max_rows`` rows.
 
     The check is a count over the pinned table (written to the shared checkpoint folder, so
     lineage is cut and executor loss does not recompute it), reading at most
     ``max_rows + 1`` rows. ``pin=False`` skips pinning when ``small`` is already derived
-    from a pinned table.
+    from a pinned table; ``known_rows`` is its row count when the caller has it already.
     """
     if pin:
         small = pinned(small)
-    n = small.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 
 

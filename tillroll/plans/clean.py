@@ -36,18 +36,39 @@ def lookup_counts(deduped: DataFrame) -> DataFrame:
     )
 
 
-def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The cleaning rules after dedup (15 columns)."""
+def lookup_sizes(lookups: DataFrame) -> dict[str, int]:
+    """Sizes read off the pinned lookups in one small job: deduplicated rows (the quantity
+    set covers every row), stores with a known city (rows of the mode table) and distinct
+    quantity values (rows of the histogram)."""
+    by_store = F.col("_by_store") == 1
+    r = lookups.agg(
+        F.sum(F.when(~by_store, F.col("c"))).alias("rows"),
+        F.count_distinct(F.when(by_store & F.col("city").isNotNull(), F.col("store_id"))).alias("stores"),
+        F.count_if(~by_store & F.col("quantity").isNotNull()).alias("quantities"),
+    ).first()
+    return {"rows": int(r["rows"] or 0), "stores": int(r["stores"]), "quantities": int(r["quantities"])}
+
+
+def clean_deduped_with_sizes(
+    deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> tuple[DataFrame, dict[str, int]]:
+    """The cleaning rules after dedup (15 columns), plus the lookup sizes."""
     lookups = lookup_counts(deduped)
+    sizes = lookup_sizes(lookups)
     modes = city_mode_from_counts(lookups.where(F.col("_by_store") == 1).select("store_id", "city", "c"))
     qty = lookups.where((F.col("_by_store") == 0) & F.col("quantity").isNotNull()).select(
         F.lit("quantity").alias("k"), F.col("quantity").alias("v"), "c"
     )
     df = with_parsed_date(deduped)
-    df = impute_city(df, max_broadcast_rows, modes=modes)
+    df = impute_city(df, max_broadcast_rows, modes=modes, mode_rows=sizes["stores"])
     df = impute_defaults(df)
-    df = cap_column(df, "quantity", "quantity_capped", cap=cap_from_counts(qty))
-    return with_amount(df)
+    df = cap_column(df, "quantity", "quantity_capped", cap=cap_from_counts(qty, size=sizes["quantities"]))
+    return with_amount(df), sizes
+
+
+def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The cleaning rules after dedup (15 columns)."""
+    return clean_deduped_with_sizes(deduped, max_broadcast_rows)[0]
 
 
 def clean(raw: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators.dedup import dedup_transactions
 from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS
 from tillroll.plans.analysis import ANALYSES, SUMMARIES
-from tillroll.plans.clean import clean_deduped
+from tillroll.plans.clean import clean_deduped, clean_deduped_with_sizes
 from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
@@ -93,9 +93,10 @@ def run_pipeline(
     prof = profile_pass(raw).first().asDict()
     deduped = dedup_transactions(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prof["rows_after_dedup"] = deduped.count()
-        prof["duplicates"] = prof["num_rows"] - prof["rows_after_dedup"]
-        features = add_features(clean_deduped(deduped, max_broadcast_rows))
+        cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
+        prof["rows_after_dedup"] = sizes["rows"]
+        prof["duplicates"] = prof["num_rows"] - sizes["rows"]
+        features = add_features(cleaned)
         paths = {"fact": write_parquet(features, f"{out_dir}/fact", partition_by="year")}
     finally:
         deduped.unpersist()
