@@ -13,13 +13,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from ``spark.checkpoint.dir`` (or a directory already set on the context). Only
-    when neither is set -- a bare local session, as in tests -- a private temporary folder
-    is created and registered, so that later ``checkpoint()`` calls work too.
+    when neither is set on a local-mode session (tests) a private temporary folder is
+    created and registered; on a cluster a machine-local folder would not be shared by the
+    executors, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: tillroll writes its intermediate tables to "
+                "that shared folder; set it to a path every executor can reach."
+            )
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
