@@ -21,7 +21,7 @@ from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
-from tillroll.session import scratch_path
+from tillroll.session import app_id, scratch_path
 from tillroll.sources.files import write_csv, write_parquet
 from tillroll.sources.star import raw_transactions
 
@@ -50,7 +50,7 @@ _TABLES: dict[tuple[str, str, str], str] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (app_id(spark), os.path.abspath(sf_dir), name)
     path = _TABLES.get(key)
     if path is None:
         path = build(scratch_path(spark, name))

@@ -18,19 +18,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     executors, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: tillroll writes its intermediate tables to "
                 "that shared folder; set it to a path every executor can reach."
             )
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise on access
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
