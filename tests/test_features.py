@@ -32,3 +32,19 @@ def test_revenue_bucket_edges(spark):
     df = spark.createDataFrame([(Decimal(v) if v else None,) for v in vals], "a decimal(18,2)")
     got = [r.b for r in df.select(revenue_bucket("a").alias("b")).collect()]
     assert got == ["Low", "Medium", "Medium", "High", "High", "Premium", "Premium"]
+
+
+def test_features_with_rank(spark, sf_small):
+    from pyspark.sql import Window
+
+    from tillroll.plans.clean import clean
+    from tillroll.plans.pipeline import raw_table
+
+    c = clean(raw_table(spark, sf_small))
+    f = add_features(c, with_rank=True)
+    assert f.count() == c.count()
+    assert len(f.columns) == len(c.columns) + 11
+    w = Window.partitionBy("customer_id").orderBy("date", "transaction_id")
+    want = c.select("transaction_id", F.row_number().over(w).alias("r"))
+    got = f.select("transaction_id", F.col("cust_txn_rank").alias("r"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

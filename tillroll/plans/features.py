@@ -10,16 +10,25 @@ from tillroll.functions.calendar import calendar_columns
 from tillroll.schema import CLEAN_COLUMNS
 
 
-def add_features(cleaned: DataFrame) -> DataFrame:
+def add_features(cleaned: DataFrame, with_rank: bool = False) -> DataFrame:
     """Adds year, month, day_of_week, day_name, week_of_year, quarter, is_weekend,
     month_name, year_month and revenue_bucket. Catalyst collapses it into one Project.
 
-    The per-customer purchase rank is a separate operator
-    (:func:`tillroll.operators.rank.customer_txn_rank`) because it needs a shuffle.
+    The per-customer purchase rank (:func:`tillroll.operators.rank.customer_txn_rank`)
+    needs shuffles of its own, so it is attached only on request (``with_rank=True``), by a
+    1:1 join on the (deduplicated) transaction id; NULL ids match each other.
     """
     cols = calendar_columns("date")
     cols["revenue_bucket"] = revenue_bucket("total_amount_clean")
-    return cleaned.withColumns(cols)
+    out = cleaned.withColumns(cols)
+    if not with_rank:
+        return out
+    from tillroll.operators.rank import customer_txn_rank
+
+    ranks = customer_txn_rank(cleaned).select(
+        F.col("transaction_id").alias("_rid"), F.col("cust_txn_rank")
+    )
+    return out.join(ranks, out["transaction_id"].eqNullSafe(ranks["_rid"]), "left").drop("_rid")
 
 
 def export_frame(features: DataFrame) -> DataFrame:
