@@ -115,16 +115,20 @@ def dataset_summary(df: DataFrame) -> DataFrame:
         total_nulls = n if total_nulls is None else total_nulls + n
     distinct = distinct_counts(df)
     sub = distinct.select(F.struct(*distinct.columns).alias("d")).scalar()
-    return df.agg(
-        F.count(F.lit(1)).alias("num_rows"),
-        F.lit(len(df.columns)).alias("num_columns"),
-        F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"),
-        total_nulls.alias("null_values"),
-    ).select(
-        "num_rows", "num_columns", "min_date", "max_date",
-        *[sub.getField(n).alias(n) for n in DISTINCT_FIELDS],
-        "null_values",
+    return (
+        df.agg(
+            F.count(F.lit(1)).alias("num_rows"),
+            F.lit(len(df.columns)).alias("num_columns"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+            total_nulls.alias("null_values"),
+        )
+        .withColumn("_d", sub)  # one subquery; its fields are read in the next projection
+        .select(
+            "num_rows", "num_columns", "min_date", "max_date",
+            *[F.col(f"_d.{n}").alias(n) for n in DISTINCT_FIELDS],
+            "null_values",
+        )
     )
 
 
