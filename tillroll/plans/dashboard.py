@@ -1,16 +1,15 @@
 """Dashboard data: KPIs and the chart tables, each a lazy aggregate over the filtered view.
 
 Input is the exported 21-column fact (``quantity`` = capped, ``total_amount`` = recomputed).
-"Orders" here counts non-null amounts, as the dashboard does; shares divide by the total
-of the (small) grouped table through an unpartitioned window over at most one row per
-category / payment method.
+"Orders" here counts non-null amounts, as the dashboard does; shares divide by the grouped
+table's total, computed as a scalar subquery.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import DAY_ORDER, day_index, quarter_label, weekend_label
@@ -44,8 +43,10 @@ def category_revenue(v: DataFrame) -> DataFrame:
 
 
 def _with_share(counts: DataFrame) -> DataFrame:
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("count").cast("double") / total.cast("double"))
+    """share = count / total count, the total as a scalar subquery (a distributed global
+    sum), so no single-partition window has to hold the grouped table."""
+    total = counts.agg(F.sum("count").cast("double")).scalar()
+    return counts.withColumn("share", F.col("count").cast("double") / total)
 
 
 def category_share(v: DataFrame) -> DataFrame:
