@@ -7,7 +7,7 @@ Here the work is split instead:
 1. value counts ``(k, v, c)`` per column ``k`` -- a grouped count with map-side partial
    aggregation, so a value held by a third of all rows is one row; the counts are pinned
    (written once to the shared checkpoint folder) and counted;
-2. when the counts table is within a proven bound (``max_single_task_rows``, checked by
+2. when the counts table is within a proven bound (``max_single_task_rows``, 100k, checked by
    that count) ranks come from one window per column; beyond it the counts are
    range-partitioned by ``(k, v)`` and pinned with their partition id (range bounds come
    from sampling, so the assignment must not be recomputed differently by two branches of
@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
 
-# Distinct values per run up to which ranking happens in one window task.
-MAX_SINGLE_TASK_ROWS = 1_000_000
+# Distinct values per column up to which ranking happens in one window task; larger
+# histograms take the range-partitioned path (measured: one task over ~600k values is
+# slower than the parallel path on 8 cores).
+MAX_SINGLE_TASK_ROWS = 100_000
 
 
 def _range_partitions(df: DataFrame) -> int:
@@ -105,8 +107,12 @@ def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | No
     return rank_counts(value_counts(df, columns), partitions)
 
 
+def _holds(rank: Column) -> Column:
+    return (F.col("_lo") < rank) & (rank <= F.col("_hi"))
+
+
 def _value_at(rank: Column) -> Column:
-    return F.max(F.when((F.col("_lo") < rank) & (rank <= F.col("_hi")), F.col("v")))
+    return F.max(F.when(_holds(rank), F.col("v")))
 
 
 def quantiles_from_ranks(
@@ -114,17 +120,26 @@ def quantiles_from_ranks(
 ) -> DataFrame:
     n = F.col("_n")
     aggs = [F.first("_n").alias("n")]
+    targets: list[Column] = []
     for p, name in zip(probs, names):
         if method == "disc":
-            aggs.append(_value_at(F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1))).alias(name))
+            rank = F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1))
+            targets.append(rank)
+            aggs.append(_value_at(rank).alias(name))
         elif method == "linear":
             pos = (n - 1).cast("double") * F.lit(float(p))
+            targets += [F.floor(pos) + 1, F.ceil(pos) + 1]
             aggs.append(_value_at(F.floor(pos) + 1).cast("double").alias(f"_{name}_lo"))
             aggs.append(_value_at(F.ceil(pos) + 1).cast("double").alias(f"_{name}_hi"))
             aggs.append(F.first(pos - F.floor(pos)).alias(f"_{name}_frac"))
         else:
             raise ValueError(f"unknown method {method!r}")
-    out = ranked.groupBy(F.col("k").alias("column")).agg(*aggs)
+    # only the (at most 2 per probability) values whose rank interval holds a target rank
+    # reach the aggregate
+    hit = _holds(targets[0])
+    for r in targets[1:]:
+        hit = hit | _holds(r)
+    out = ranked.where(hit).groupBy(F.col("k").alias("column")).agg(*aggs)
     if method == "linear":
         out = out.select(
             "column",
