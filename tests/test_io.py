@@ -97,3 +97,14 @@ def test_report_tables_equal_the_per_table_plans(spark, sf_small):
         want, got = fn(fact), tables[name]
         assert got.columns == want.columns, name
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), name
+
+
+def test_scratch_folder_and_conf(spark):
+    from tillroll.session import CLUSTER_CONF, apply_conf, checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root and scratch_path(spark, "x").startswith(root + "/tillroll/x-")
+    before = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    apply_conf(spark, {"spark.sql.adaptive.skewJoin.enabled": CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"]})
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)

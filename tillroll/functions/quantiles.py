@@ -103,10 +103,6 @@ def rank_counts(
     )
 
 
-def ranked_histogram(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
-    return rank_counts(value_counts(df, columns), partitions)
-
-
 def _holds(rank: Column) -> Column:
     return (F.col("_lo") < rank) & (rank <= F.col("_hi"))
 
