@@ -108,3 +108,19 @@ def test_scratch_folder_and_conf(spark):
     apply_conf(spark, {"spark.sql.adaptive.skewJoin.enabled": CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"]})
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)
+
+
+def test_shape_and_profile_composite(spark, sf_small):
+    from tillroll.operators.profile import profile, profile_pass
+
+    raw = raw_table(spark, sf_small)
+    s = files.shape(raw).first()
+    assert (s.num_rows, s.num_columns) == (6000, 13)
+    p = profile(raw)
+    assert set(p) == {"null_counts", "duplicate_count", "describe_numeric"}
+    nulls = p["null_counts"].first().asDict()
+    one_pass = profile_pass(raw).first().asDict()
+    assert all(nulls[c] == one_pass[f"nulls__{c}"] for c in raw.columns)
+    d = p["duplicate_count"].first()
+    assert d.num_rows == 6000 and d.duplicates == 6000 - d.distinct_ids
+    assert {r.column for r in p["describe_numeric"].collect()} == {"quantity", "unit_price", "discount_pct", "total_amount"}
