@@ -1,13 +1,14 @@
-"""The pipeline's seven analyses and six summaries from three aggregate passes.
+"""The pipeline's seven analyses and six summaries from two aggregate passes.
 
 ``plans/analysis.py`` states each table as its own grouped aggregate (13 scans of the fact).
-Here the fact is scanned three times instead:
+Here the fact is scanned twice instead:
 
 1. ``GROUPING SETS ((category), (product_name, category), (year_month), (city),
    (payment_method), (is_weekend), (hour))`` with exact decimal revenue, row counts and
    quantity -- one scan, map-side partial aggregation, one small result;
-2. monthly revenue/orders/distinct customers, and 3. the same by city (exact distinct
-   counts need their own (group, customer) level).
+2. ``GROUPING SETS ((year_month), (city))`` with revenue, orders and exact distinct
+   customers -- the distinct count needs its own (group, customer) level, which Spark
+   pre-aggregates per map task.
 
 Each result has one row per output group; they are pinned (written once) and the 13 tables
 are projections/sorts of them. Values are identical to the per-table plans (tested).
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
-from tillroll.plans.analysis import AMOUNT, QTY, summary_city, summary_monthly
+from tillroll.plans.analysis import AMOUNT, QTY
 from tillroll.schema import MONEY
 
 # grouping set name -> its key columns
@@ -70,11 +71,35 @@ def _aov() -> F.Column:
     return F.try_divide(F.col("_rev").cast("double"), F.col("_n_amt"))
 
 
+def customer_totals(fact: DataFrame) -> DataFrame:
+    """Pass 2: month and city totals with exact distinct customers (pinned)."""
+    return pinned(
+        fact.groupingSets([["year_month"], ["city"]], "year_month", "city").agg(
+            F.sum(F.col(AMOUNT).cast(MONEY)).alias("_rev"),
+            F.count(F.lit(1)).alias("_n"),
+            F.count_distinct("customer_id").alias("_uc"),
+            F.grouping("city").alias("_by_month"),
+        )
+    )
+
+
 def report_tables(fact: DataFrame) -> dict[str, DataFrame]:
     """All 13 tables keyed like ``ANALYSES`` / ``SUMMARIES``."""
     t = grouped_totals(fact)
-    monthly = pinned(summary_monthly(fact))
-    city = pinned(summary_city(fact))
+    ct = customer_totals(fact)
+    monthly = (
+        ct.where(F.col("_by_month") == 1)
+        .select(
+            "year_month",
+            _revenue().alias("monthly_revenue"),
+            F.col("_n").alias("monthly_orders"),
+            F.col("_uc").alias("unique_customers"),
+        )
+        .orderBy("year_month")
+    )
+    city = ct.where(F.col("_by_month") == 0).select(
+        "city", _revenue().alias("revenue"), F.col("_n").alias("orders"), F.col("_uc").alias("unique_customers")
+    )
 
     cat = _set(t, "category")
     prod = _set(t, "product")
