@@ -120,3 +120,11 @@ def test_clean_end_to_end_columns_and_no_nulls_in_filled(spark, sf_small):
     nulls = c.agg(*[F.count_if(F.col(x).isNull()).alias(x) for x in ["city", "customer_id", "payment_method", "discount_pct"]]).first()
     assert all(v == 0 for v in nulls)
     assert null_total(c).first().remaining_nulls == 0
+
+
+def test_approximate_cap_option(spark):
+    rows = [(f"T{i}", "2024-01-01", 8, "C", "S", "X", "p", "c", i) for i in range(1, 1001)]
+    df = raw_rows(spark, rows)
+    exact = quantile_cap(df, "quantity").first().cap
+    approx = quantile_cap(df, "quantity", accuracy=10_000).first().cap
+    assert exact == 990 and abs(approx - exact) <= 1

@@ -14,9 +14,19 @@ from tillroll.functions.quantiles import percentile_disc, quantiles_from_ranks,
 CAP_QUANTILE = 0.99
 
 
-def quantile_cap(df: DataFrame, column: str = "quantity", p: float = CAP_QUANTILE) -> DataFrame:
-    """One-row frame with the exact discrete ``p`` quantile of ``column`` (same type)."""
-    return percentile_disc(df, column, p, name="cap")
+def quantile_cap(
+    df: DataFrame, column: str = "quantity", p: float = CAP_QUANTILE, accuracy: int | None = None
+) -> DataFrame:
+    """One-row frame with the ``p`` quantile of ``column`` (same type).
+
+    Exact discrete quantile by default. With ``accuracy`` set, Spark's
+    ``percentile_approx`` is used instead (a bounded-size sketch per task, merged; relative
+    rank error about 1/accuracy) -- the cheaper option where an exact cut is not required.
+    """
+    if accuracy is None:
+        return percentile_disc(df, column, p, name="cap")
+    dtype = df.schema[column].dataType
+    return df.agg(F.percentile_approx(column, p, accuracy).cast(dtype).alias("cap"))
 
 
 def cap_from_counts(
