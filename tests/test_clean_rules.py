@@ -128,3 +128,10 @@ def test_approximate_cap_option(spark):
     exact = quantile_cap(df, "quantity").first().cap
     approx = quantile_cap(df, "quantity", accuracy=10_000).first().cap
     assert exact == 990 and abs(approx - exact) <= 1
+
+
+def test_rejected_dates_count(spark):
+    from tillroll.plans.clean import rejected_dates
+
+    df = raw_rows(spark, [("T1", "2024-02-29"), ("T2", "2024-02-30"), ("T3", "garbage"), ("T4", None)])
+    assert rejected_dates(df).first().rejected_dates == 2

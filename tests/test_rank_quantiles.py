@@ -85,3 +85,12 @@ def test_exact_quantiles_several_columns_one_hot_value(spark):
     for col, vals in (("a", a), ("b", b)):
         assert got[col].n == len(vals)
         assert (got[col].p10, got[col].p50, got[col].p90) == tuple(float(_disc(vals, p)) for p in (0.1, 0.5, 0.9))
+
+
+def test_rank_can_leave_guests_unranked(spark):
+    df = _rank_frame(spark, n_hot=200)
+    got = {r.transaction_id: (r.customer_id, r.cust_txn_rank) for r in customer_txn_rank(df, unranked=("GUEST",)).collect()}
+    full = {r.transaction_id: r.cust_txn_rank for r in customer_txn_rank(df).collect()}
+    assert len(got) == len(full)
+    for tid, (cust, rank) in got.items():
+        assert rank is None if cust == "GUEST" else rank == full[tid]

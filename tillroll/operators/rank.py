@@ -30,9 +30,17 @@ def customer_txn_rank(
     order: tuple[str, ...] = ("date", "transaction_id"),
     out: str = "cust_txn_rank",
     partitions: int | None = None,
+    unranked: tuple[str, ...] = (),
 ) -> DataFrame:
+    """``unranked`` customer ids (e.g. an anonymous ``GUEST``) get a NULL rank and skip the
+    ranking work altogether."""
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [customer, *order]
+    if unranked:
+        skip = F.col(customer).isin(*unranked)
+        left_out = df.where(skip).select(*keys, F.lit(None).cast("int").alias(out))
+        ranked_part = customer_txn_rank(df.where(~skip | F.col(customer).isNull()), customer, order, out, partitions)
+        return ranked_part.unionByName(left_out)
     ranged = pinned(
         df.select(*keys)
         .repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys])
