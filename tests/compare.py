@@ -60,3 +60,20 @@ def compare(spark_df, con, sql, digits=None):
             if x != y:
                 return False, f"first diff: spark={x} duck={y} (cols {sorted(s_cols)})"
     return True, f"{len(s_rows)} rows"
+
+
+_SPARK_TO_DUCK = {
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "DoubleType()": "DOUBLE",
+    "StringType()": "VARCHAR",
+    "DateType()": "DATE",
+}
+
+
+def type_diff(spark_df, con, sql) -> dict:
+    """Columns whose Spark type and DuckDB result type differ (empty when aligned)."""
+    s = {f.name: _SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from tests.compare import compare, duck
+from tests.compare import compare, duck, type_diff
 
 SF = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
@@ -19,8 +19,10 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     assert name in SQL, f"{name} has no oracle SQL"
-    ok, msg = compare(entry.queries()[name](spark, SF), con, SQL[name])
+    df = entry.queries()[name](spark, SF)
+    ok, msg = compare(df, con, SQL[name])
     assert ok, msg
+    assert not type_diff(df, con, SQL[name]), type_diff(df, con, SQL[name])
 
 
 def test_entry_smoke(spark):

@@ -189,7 +189,7 @@ _CLEANED_COLS = (
     "CAST(total_amount_clean AS DOUBLE) AS total_amount_clean"
 )
 _NULL_TOTAL = " + ".join(
-    f'count_if("{c}" IS NULL)'
+    f'CAST(count_if("{c}" IS NULL) AS BIGINT)'
     for c in [
         "transaction_id", "date", "hour", "customer_id", "store_id", "city", "product_name",
         "category", "quantity", "unit_price", "discount_pct", "total_amount", "payment_method",
@@ -241,12 +241,12 @@ def oracle_sql() -> dict[str, str]:
         "project_cleaned": q("export", "SELECT * FROM export"),
         # profile
         "row_count": q("raw", "SELECT count(*) AS num_rows FROM raw"),
-        "null_counts": q("raw", "SELECT " + ", ".join(f'count_if("{c}" IS NULL) AS "{c}"' for c in _RAW_COLS) + " FROM raw"),
+        "null_counts": q("raw", "SELECT " + ", ".join(f'CAST(count_if("{c}" IS NULL) AS BIGINT) AS "{c}"' for c in _RAW_COLS) + " FROM raw"),
         "duplicate_count": q(
             "raw",
             "SELECT num_rows, distinct_ids, num_rows - distinct_ids AS duplicates FROM ("
             "SELECT count(*) AS num_rows, CAST(count(DISTINCT transaction_id) + "
-            "CASE WHEN count_if(transaction_id IS NULL) > 0 THEN 1 ELSE 0 END AS BIGINT) AS distinct_ids FROM raw)",
+            "CASE WHEN CAST(count_if(transaction_id IS NULL) AS BIGINT) > 0 THEN 1 ELSE 0 END AS BIGINT) AS distinct_ids FROM raw)",
         ),
         "describe_numeric": q("raw", _describe(["quantity", "unit_price", "discount_pct", "total_amount"])),
         "describe_quartiles": q(
@@ -257,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS num_rows, 13 AS num_columns, min(\"date\") AS min_date, max(\"date\") AS max_date, "
             "count(DISTINCT category) AS categories, count(DISTINCT product_name) AS products, "
             "count(DISTINCT city) AS cities, count(DISTINCT customer_id) AS customers, "
-            "(" + " + ".join(f'count_if("{c}" IS NULL)' for c in _RAW_COLS) + ") AS null_values FROM raw",
+            "(" + " + ".join(f'CAST(count_if("{c}" IS NULL) AS BIGINT)' for c in _RAW_COLS) + ") AS null_values FROM raw",
         ),
         # cleaning
         "dedup_transactions": q("dedup", "SELECT * FROM dedup"),
@@ -359,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
         **_filter_sql(),
         "filter_date_bounds": q("export", 'SELECT min("date") AS min_date, max("date") AS max_date FROM export'),
         "filter_coverage": q(
-            "export", f"SELECT count_if({pred_sql(DEFAULT_SPEC)}) AS shown, count(*) AS total FROM export"
+            "export", f"SELECT CAST(count_if({pred_sql(DEFAULT_SPEC)}) AS BIGINT) AS shown, count(*) AS total FROM export"
         ),
         "filter_options": q(
             "export",
