@@ -11,7 +11,8 @@ Here the work is split instead:
    that count) ranks come from one window per column; beyond it the counts are
    range-partitioned by ``(k, v)`` and pinned with their partition id (range bounds come
    from sampling, so the assignment must not be recomputed differently by two branches of
-   the plan); per-partition totals -- at most ``partitions x columns`` rows, broadcast --
+   the plan); per-partition totals -- at most ``partitions x columns`` rows (partitions <=
+   spark.sql.shuffle.partitions), broadcast --
    give each partition its offset, and a window inside each partition turns counts into
    cumulative ranks;
 3. one grouped aggregate picks, per requested probability, the value whose rank interval
@@ -37,10 +38,6 @@ from tillroll.operators.joins import pinned
 MAX_SINGLE_TASK_ROWS = 100_000
 
 
-def _range_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(k, v, c)``: count of each non-null value ``v`` of each column ``k``.
 
@@ -83,8 +80,10 @@ def rank_counts(
             .select("k", "v", "c", "_lo", "_hi", "_n")
         )
 
-    n_parts = partitions or _range_partitions(counts)
-    ranged = pinned(counts.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
+    # without an explicit count AQE sizes the range partitions (adjacent ranges merge, the
+    # order of partition ids is kept)
+    spread = counts.repartitionByRange(partitions, "k", "v") if partitions else counts.repartitionByRange("k", "v")
+    ranged = pinned(spread.withColumn("_pid", F.spark_partition_id()))
     per_part = ranged.groupBy("k", "_pid").agg(F.sum("c").alias("_pc"))
     before = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(

@@ -34,18 +34,18 @@ def customer_txn_rank(
 ) -> DataFrame:
     """``unranked`` customer ids (e.g. an anonymous ``GUEST``) get a NULL rank and skip the
     ranking work altogether."""
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [customer, *order]
     if unranked:
         skip = F.col(customer).isin(*unranked)
         left_out = df.where(skip).select(*keys, F.lit(None).cast("int").alias(out))
         ranked_part = customer_txn_rank(df.where(~skip | F.col(customer).isNull()), customer, order, out, partitions)
         return ranked_part.unionByName(left_out)
-    ranged = pinned(
-        df.select(*keys)
-        .repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys])
-        .withColumn("_pid", F.spark_partition_id())
-    )
+    # without an explicit count AQE sizes the range partitions; coalescing only merges
+    # adjacent ranges, so partition ids stay in key order
+    by = [F.col(k).asc_nulls_first() for k in keys]
+    spread = df.select(*keys)
+    spread = spread.repartitionByRange(partitions, *by) if partitions else spread.repartitionByRange(*by)
+    ranged = pinned(spread.withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_local",
         F.row_number().over(

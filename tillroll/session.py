@@ -63,6 +63,7 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "200000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -86,6 +87,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "8g"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
