@@ -124,3 +124,15 @@ def test_shape_and_profile_composite(spark, sf_small):
     d = p["duplicate_count"].first()
     assert d.num_rows == 6000 and d.duplicates == 6000 - d.distinct_ids
     assert {r.column for r in p["describe_numeric"].collect()} == {"quantity", "unit_price", "discount_pct", "total_amount"}
+
+
+def test_export_parquet_and_bad_format(spark, sf_small, tmp_out):
+    from tillroll.plans.pipeline import export
+
+    fact = fact_table(spark, sf_small)
+    paths = export(fact, tmp_out, fmt="parquet")
+    back = files.read_cleaned_parquet(spark, paths["cleaned"])
+    assert back.schema == CLEAN_SCHEMA and back.count() == fact.count()
+    assert set(SUMMARY_SCHEMAS) <= set(paths)
+    with pytest.raises(ValueError):
+        export(fact, tmp_out + "/x", fmt="orc")
