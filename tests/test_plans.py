@@ -35,11 +35,14 @@ def test_fact_to_fact_join_is_sort_merge(spark, sf_small):
     assert all("l_comment" not in s and "l_tax" not in s for s in scans)
 
 
-def test_no_python_evaluation_in_any_registered_query(spark, sf_small):
+def test_no_python_and_no_cross_join_in_any_registered_query(spark, sf_small):
     import __spark_entry__ as entry
 
     for name, fn in entry.queries().items():
         df = fn(spark, sf_small)
         text = df._jdf.queryExecution().executedPlan().toString()
-        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+        for marker in (
+            "BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+            "CartesianProduct", "BroadcastNestedLoopJoin",
+        ):
             assert marker not in text, (name, marker)
