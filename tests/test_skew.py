@@ -53,3 +53,16 @@ def test_rank_under_a_hot_guest(spark, sf_small):
     want = want.select(*got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.where(F.col("customer_id") == "GUEST").agg(F.max("cust_txn_rank")).first()[0] > 1000
+
+
+def test_pipeline_under_hot_keys(spark, sf_small, tmp_out):
+    from tillroll.plans.pipeline import read_fact, run_pipeline
+
+    raw = _hot(spark, sf_small)
+    res = run_pipeline(spark, raw, tmp_out)
+    fact = read_fact(spark, res["paths"]["fact"])
+    n = dedup_transactions(raw).count()
+    assert res["profile"]["rows_after_dedup"] == n == fact.count()
+    cat = res["tables"]["revenue_by_category"].agg(F.sum("num_transactions")).first()[0]
+    assert cat == n
+    assert fact.where(F.col("customer_id") == "GUEST").count() > n // 4
