@@ -194,9 +194,11 @@ def _sketched(ell: int, count: int, salt: int, with_bytes: bool):
 
 def sketch_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     rk, tk = row_key(docs, doc_id, text)
-    rows = docs.select(rk, tk, docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    schema = "_rk long, _tk long, doc_id long, omh array<long>, node binary, n int, least binary"
-    return rows.mapInPandas(_sketched(ELL, SKETCHES, 1, True), schema)
+    rows = docs.select(rk, tk, docs[doc_id].cast("string").alias("doc_id"), docs[text].alias("text"))
+    # ids travel as text: pandas would turn whole numbers with nulls into doubles
+    schema = "_rk long, _tk long, doc_id string, omh array<long>, node binary, n int, least binary"
+    found = rows.mapInPandas(_sketched(ELL, SKETCHES, 1, True), schema)
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def buckets(nodes: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.llm import (
     chat_format,
     histogram_shard,
+    kernel_language,
     order_minhash,
     pivotal_mix,
+    prefix_tokens,
     quality_rules,
     secret_scan,
     template_decontaminate,
@@ -26,6 +28,16 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(docs, secret_scan.train(secret_scan.corpus_samples(docs)))
 
 
+def op2_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of each document, whether it exceeds the limit and where to cut it."""
+    return prefix_tokens.report(table(spark, sf_dir, "documents"))
+
+
+def op3_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from those that are not held out."""
+    return kernel_language.report(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations and conversation -1, read back from their format."""
     return chat_format.report(chat_format.with_extra(table(spark, sf_dir, "conversations")))
@@ -65,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
+        op2_prefix_tokens,
+        op3_kernel_language,
         op4_chat_format,
         op5_order_minhash,
         op6_template_decontaminate,
