@@ -37,6 +37,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tillroll.llm.common import row_key, ship, without_rows
 from tillroll.llm.components import components
@@ -230,7 +231,7 @@ def component_pairs(members: DataFrame) -> DataFrame:
     return pairs.where(_close("n", "n2")).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), MIN_HASHES) for s in (a, b))
     return pd.Series((x == y).sum(axis=1, dtype=np.int32))
