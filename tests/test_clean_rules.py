@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import raw_rows
 from tillroll.functions.money import line_amount
+from tillroll.schema import CLEANED_COLUMNS
 from tillroll.operators.cap import cap_column, outliers, quantile_cap
 from tillroll.operators.dedup import dedup_transactions
 from tillroll.operators.impute import impute_city, impute_defaults, store_city_mode
@@ -115,13 +116,22 @@ def test_clean_end_to_end_columns_and_no_nulls_in_filled(spark, sf_small):
     from tillroll.plans.pipeline import raw_table
 
     c = clean(raw_table(spark, sf_small))
-    assert c.columns[:1] == ["store_id"] or "store_id" in c.columns
-    assert {"quantity_capped", "total_amount_clean"} <= set(c.columns)
+    assert sorted(c.columns) == sorted(CLEANED_COLUMNS)
     nulls = c.agg(*[F.count_if(F.col(x).isNull()).alias(x) for x in ["city", "customer_id", "payment_method", "discount_pct"]]).first()
     assert all(v == 0 for v in nulls)
     assert null_total(c).first().remaining_nulls == 0
 
 
+def test_amount_keeps_fractions(spark):
+    # fractional percent, price below the cent, quantities of seven and ten digits
+    df = spark.createDataFrame(
+        [(10.0, 1, 12.5), (90.101, 50, 0.0), (1.0, 1_000_001, 0.0), (0.01, 2_147_483_647, 50.0), (0.333333, 3, 0.0001)],
+        "p double, q int, d double",
+    )
+    out = [r.a for r in df.select(line_amount("p", "q", "d").alias("a")).collect()]
+    assert out == [Decimal(x) for x in ("8.75", "4505.05", "1000001.00", "10737418.24", "1.00")]
+
+
 def test_approximate_cap_option(spark):
     rows = [(f"T{i}", "2024-01-01", 8, "C", "S", "X", "p", "c", i) for i in range(1, 1001)]
     df = raw_rows(spark, rows)

@@ -23,7 +23,8 @@ def _row(i, date, day, hour, amount, cat="A", city="X", pay="P", wk=0):
     return dict(
         transaction_id=f"T{i}", date=date, day_name=day, hour=hour, total_amount=amount, category=cat,
         city=city, payment_method=pay, quantity=1, discount_pct=5.0, customer_id=f"C{i % 2}",
-        year=date.year, quarter=(date.month - 1) // 3 + 1, year_month=date.strftime("%Y-%m"), is_weekend=wk,
+        year=date and date.year, quarter=date and (date.month - 1) // 3 + 1,
+        year_month=date and date.strftime("%Y-%m"), is_weekend=wk,
         product_name=f"prod{i % 3}",
     )
 
@@ -63,6 +64,24 @@ def test_filter_spec_rules(spark):
     assert v.where(predicate(FilterSpec(cities=()))).count() == 0
 
 
+def test_rows_without_a_date_are_outside_every_view(spark):
+    v = _export_rows(spark, [_row(1, None, None, 8, 1.0), _row(2, dt.date(1997, 6, 2), "Monday", 8, 2.0)])
+    assert view(v, FilterSpec()).count() == 1
+    assert view(v, FilterSpec.from_range((dt.date(1996, 1, 1),))).count() == 1
+    c = coverage(v, FilterSpec()).first()
+    assert (c.shown, c.total) == (1, 2)
+
+
+def test_heatmap_holds_every_hour(spark):
+    hours = [0, 3, 6, 8, 23]
+    v = _export_rows(spark, [_row(i, dt.date(2024, 1, 1), "Monday", h, 1.5 + i) for i, h in enumerate(hours)])
+    wide = D.heatmap_wide(v).collect()
+    assert [r.day_name for r in wide][:1] == ["Monday"] and len(wide[0]) == 25
+    assert [wide[0][f"hour_{h}"] for h in hours] == [1.5, 2.5, 3.5, 4.5, 5.5]
+    total = sum(v for r in wide for k, v in r.asDict().items() if k != "day_name")
+    assert total == sum(r.revenue for r in D.heatmap_long(v).collect()) == 17.5
+
+
 def test_shares_sum_to_one_and_topk_tie_break(spark):
     v = _export_rows(spark, [_row(i, dt.date(2024, 1, 1), "Monday", 8, 10.0, cat="ABC"[i % 3]) for i in range(10)])
     s = D.category_share(v).collect()

@@ -1,6 +1,6 @@
 """Money arithmetic in decimal so that totals are exact and engine independent.
 
-Rule: amount = price x quantity x (100 - pct) / 100, rounded half-up to cents. Operands are
+Rule: amount = price x quantity x (1 - pct / 100), rounded half-up to cents. Operands are
 cast to decimals first, the product is exact, one rounding happens at the end. Totals are
 exact decimal sums converted to double last; averages are that total divided by the number
 of non-null amounts (never decimal ``avg``, whose result scale differs between engines).
@@ -21,13 +21,13 @@ def _c(c: Column | str) -> Column:
 def line_amount(unit_price: Column | str, quantity: Column | str, discount_pct: Column | str) -> Column:
     """price x qty x (1 - pct/100) as decimal(18,2), half-up at two places.
 
-    Assumes whole-number discount percents (the source domain); widen the percent cast to
-    decimal(7,2) for fractional percents.
+    The operands keep six places of the price and four of the percent, and any 32-bit
+    quantity; their product is exact and rounded once.
     """
-    price = _c(unit_price).cast("decimal(12,2)")
-    qty = _c(quantity).cast("decimal(6,0)")
-    keep = (F.lit(100) - _c(discount_pct)).cast("decimal(5,0)")
-    return (price * qty * keep * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)
+    price = _c(unit_price).cast("decimal(16,6)")
+    qty = _c(quantity).cast("decimal(10,0)")
+    keep = ((F.lit(100) - _c(discount_pct)) / F.lit(100)).cast("decimal(9,6)")
+    return (price * qty * keep).cast(MONEY)
 
 
 def money(c: Column | str) -> Column:

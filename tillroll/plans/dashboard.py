@@ -16,7 +16,7 @@ from tillroll.functions.calendar import DAY_ORDER, day_index, quarter_label, wee
 from tillroll.functions.money import money_avg, money_sum
 
 AMOUNT = "total_amount"
-HOURS = list(range(7, 23))  # fixed heatmap columns: trading hours 7..22
+HOURS = list(range(24))  # heatmap columns: every hour of the day, so no sale falls out
 
 
 def kpis(v: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def heatmap_long(v: DataFrame) -> DataFrame:
 
 
 def heatmap_wide(v: DataFrame) -> DataFrame:
-    """7 rows (Monday..Sunday) x revenue per hour 7..22, zero where there were no sales.
+    """7 rows (Monday..Sunday) x revenue per hour 0..23, zero where there were no sales.
 
     One aggregation (pivot with the hour values given, so no extra job to find them),
     then a left join from the fixed 7-row weekday list to the at most 8 pivoted rows.

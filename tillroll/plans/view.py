@@ -49,7 +49,8 @@ def _member(col: str, values: tuple[str, ...]) -> Column:
 
 
 def predicate(spec: FilterSpec, year_column: bool = False) -> Column:
-    preds: list[Column] = []
+    # without a range the data's own bounds hold, which a row without a date is not within
+    preds: list[Column] = [F.col("date").isNotNull()] if spec.date_from is None and spec.date_to is None else []
     if spec.date_from is not None:
         preds.append(F.col("date") >= F.lit(spec.date_from))
         if year_column:
