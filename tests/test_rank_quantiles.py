@@ -64,10 +64,10 @@ def _linear(values, p):
 )
 def test_exact_quantiles_against_sorting(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x int")
-    for limit in (0, 10**6):  # 0 forces the range-partitioned path, else one window task
-        r = exact_quantiles(df, ["x"], [p], ["q"], method="disc", partitions=5, max_single_task_rows=limit).first()
+    for limit in (5, 10**6):  # 5 forces brackets to be narrowed
+        r = exact_quantiles(df, ["x"], [p], ["q"], method="disc", accuracy=20, max_rows=limit).first()
         assert r.n == len(values) and r.q == _disc(values, p)
-        r = exact_quantiles(df, ["x"], [p], ["q"], method="linear", partitions=3, max_single_task_rows=limit).first()
+        r = exact_quantiles(df, ["x"], [p], ["q"], method="linear", accuracy=20, max_rows=limit).first()
         assert r.q == pytest.approx(_linear(values, p), rel=1e-12, abs=1e-12)
 
 
@@ -79,7 +79,7 @@ def test_exact_quantiles_several_columns_one_hot_value(spark):
     got = {
         r.column: r
         for r in exact_quantiles(
-            df, ["a", "b"], [0.1, 0.5, 0.9], ["p10", "p50", "p90"], partitions=6, max_single_task_rows=0
+            df, ["a", "b"], [0.1, 0.5, 0.9], ["p10", "p50", "p90"], accuracy=50, max_rows=40
         ).collect()
     }
     for col, vals in (("a", a), ("b", b)):

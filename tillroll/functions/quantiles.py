@@ -1,22 +1,19 @@
-"""Exact quantiles that stay distributed at any cardinality and any skew.
-
-Spark's exact ``percentile`` keeps a map of every distinct value inside one final task,
-which is fine for a small integer domain but not for a high-cardinality column at scale.
-Here the work is split instead:
-
-1. value counts ``(k, v, c)`` per column ``k`` -- a grouped count with map-side partial
-   aggregation, so a value held by a third of all rows is one row; the counts are pinned
-   (written once to the shared checkpoint folder) and counted;
-2. when the counts table is within a proven bound (``max_single_task_rows``, 100k, checked by
-   that count) ranks come from one window per column; beyond it the counts are
-   range-partitioned by ``(k, v)`` and pinned with their partition id (range bounds come
-   from sampling, so the assignment must not be recomputed differently by two branches of
-   the plan); per-partition totals -- at most ``partitions x columns`` rows (partitions <=
-   spark.sql.shuffle.partitions), broadcast --
-   give each partition its offset, and a window inside each partition turns counts into
-   cumulative ranks;
-3. one grouped aggregate picks, per requested probability, the value whose rank interval
-   contains the target rank.
+"""Exact quantiles by bracketing: no shuffle of the rows, at any cardinality and any skew.
+
+Spark's exact ``percentile`` keeps every distinct value in one final task. Here a target rank
+is closed in on instead:
+
+1. ``percentile_approx`` gives, per column and probability, two values that bracket the
+   target: its rank error is at most 1/accuracy of the rows, and the bracket is twice as wide
+   (one aggregate of mergeable sketches);
+2. an aggregate counts the rows below and inside each bracket, exactly. A bracket that holds
+   more than ``max_rows`` rows of more than one value is sketched and counted again, within
+   itself; each round narrows it about 2,500-fold, so 10^12 rows need three;
+3. the rows inside the brackets are counted by value with map-side partial aggregation (a
+   value held by a third of all rows is one row) and a window per bracket finds the value
+   whose rank interval contains the target.
+
+What reaches the driver is a handful of numbers per column and probability.
 
 Semantics match SQL ``percentile_disc`` (``method="disc"``: first value whose cumulative
 share reaches p) and ``percentile_cont`` (``method="linear"``: interpolation between the
@@ -25,127 +22,73 @@ values at ranks floor/ceil of (n-1)p).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import pinned
-
-# Distinct values per column up to which ranking happens in one window task; larger
-# histograms take the range-partitioned path (measured: one task over ~600k values is
-# slower than the parallel path on 8 cores).
-MAX_SINGLE_TASK_ROWS = 100_000
-
-
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(k, v, c)``: count of each non-null value ``v`` of each column ``k``.
-
-    With several columns values are compared as doubles; one column keeps its type."""
-    if len(columns) == 1:
-        (name,) = columns
-        stacked = df.select(F.lit(name).alias("k"), F.col(name).alias("v"))
-    else:
-        stacked = df.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in columns])
-            ).alias("s")
-        ).select("s.k", "s.v")
-    return stacked.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
-
-
-def rank_counts(
-    counts: DataFrame,
-    partitions: int | None = None,
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
-    pin: bool = True,
-    size: int | None = None,
-) -> DataFrame:
-    """``(k, v, c, _lo, _hi, _n)``: value ``v`` of column ``k`` occupies ranks (_lo, _hi]
-    among the ``_n`` non-null values of ``k`` (ranks are 1-based).
-
-    ``pin=False`` when ``counts`` is already cheap and deterministic to recompute (e.g.
-    derived from a pinned table); ``size`` is its row count when already known."""
-    if pin:
-        counts = pinned(counts)
-    if size is None:
-        size = counts.limit(max_single_task_rows + 1).count()
-    if size <= max_single_task_rows:
-        # bounded by the check above: one task per column ranks all its distinct values
-        upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            counts.withColumn("_hi", F.sum("c").over(upto))
-            .withColumn("_lo", F.col("_hi") - F.col("c"))
-            .withColumn("_n", F.sum("c").over(Window.partitionBy("k")))
-            .select("k", "v", "c", "_lo", "_hi", "_n")
-        )
-
-    # without an explicit count AQE sizes the range partitions (adjacent ranges merge, the
-    # order of partition ids is kept)
-    spread = counts.repartitionByRange(partitions, "k", "v") if partitions else counts.repartitionByRange("k", "v")
-    ranged = pinned(spread.withColumn("_pid", F.spark_partition_id()))
-    per_part = ranged.groupBy("k", "_pid").agg(F.sum("c").alias("_pc"))
-    before = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "k",
-        "_pid",
-        F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
-        F.sum("_pc").over(Window.partitionBy("k")).alias("_n"),
-    )
-    # offsets has at most (partitions x columns) rows: a proven bound for the broadcast
-    running = Window.partitionBy("k", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        ranged.join(F.broadcast(offsets), ["k", "_pid"])
-        .withColumn("_hi", F.col("_off") + F.sum("c").over(running))
-        .withColumn("_lo", F.col("_hi") - F.col("c"))
-        .select("k", "v", "c", "_lo", "_hi", "_n")
-    )
-
-
-def _holds(rank: Column) -> Column:
-    return (F.col("_lo") < rank) & (rank <= F.col("_hi"))
-
-
-def _value_at(rank: Column) -> Column:
-    return F.max(F.when(_holds(rank), F.col("v")))
-
-
-def quantiles_from_ranks(
-    ranked: DataFrame, probs: Sequence[float], names: Sequence[str], method: str = "disc"
-) -> DataFrame:
-    n = F.col("_n")
-    aggs = [F.first("_n").alias("n")]
-    targets: list[Column] = []
-    for p, name in zip(probs, names):
-        if method == "disc":
-            rank = F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1))
-            targets.append(rank)
-            aggs.append(_value_at(rank).alias(name))
-        elif method == "linear":
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            targets += [F.floor(pos) + 1, F.ceil(pos) + 1]
-            aggs.append(_value_at(F.floor(pos) + 1).cast("double").alias(f"_{name}_lo"))
-            aggs.append(_value_at(F.ceil(pos) + 1).cast("double").alias(f"_{name}_hi"))
-            aggs.append(F.first(pos - F.floor(pos)).alias(f"_{name}_frac"))
-        else:
-            raise ValueError(f"unknown method {method!r}")
-    # only the (at most 2 per probability) values whose rank interval holds a target rank
-    # reach the aggregate
-    hit = _holds(targets[0])
-    for r in targets[1:]:
-        hit = hit | _holds(r)
-    out = ranked.where(hit).groupBy(F.col("k").alias("column")).agg(*aggs)
-    if method == "linear":
-        out = out.select(
-            "column",
-            "n",
-            *[
-                (
-                    F.col(f"_{nm}_lo") + F.col(f"_{nm}_frac") * (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo"))
-                ).alias(nm)
-                for nm in names
-            ],
-        )
+ACCURACY = 10_000
+# Rows that one bracket may hold before its values are counted one by one.
+MAX_ROWS = 100_000
+
+
+def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
+    """The two 1-based target ranks and the weight of the second."""
+    if method == "disc":
+        r = max(math.ceil(p * n), 1)
+        return r, r, 0.0
+    if method != "linear":
+        raise ValueError(f"unknown method {method!r}")
+    pos = (n - 1) * p
+    return math.floor(pos) + 1, math.ceil(pos) + 1, pos - math.floor(pos)
+
+
+def _sketch(value: Column, lo: float, hi: float, accuracy: int) -> Column:
+    """Values that bracket the shares ``lo`` to ``hi`` of the rows."""
+    slack = 2 / accuracy
+    return F.percentile_approx(value, [max(lo - slack, 0.0), min(hi + slack, 1.0)], accuracy)
+
+
+def _inside(value: Column, b: dict) -> Column:
+    return value.between(F.lit(b["lo"]), F.lit(b["hi"]))
+
+
+def _brackets(df: DataFrame, values: dict[str, Column], probs: Sequence[float], method: str, accuracy: int, max_rows: int) -> list[dict]:
+    """Brackets of at most ``max_rows`` rows, or of one value, with the exact number of rows
+    below; one per column with values and probability."""
+    first = df.agg(
+        *[F.count(x).alias(f"n{i}") for i, x in enumerate(values.values())],
+        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(values.values())],
+        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(values.values())],
+    ).first()
+    out = []
+    for i, column in enumerate(values):
+        for p in probs if first[f"n{i}"] else ():
+            r1, r2, w = _ranks(first[f"n{i}"], float(p), method)
+            out.append({
+                "column": column, "p": p, "n": first[f"n{i}"], "r1": r1, "r2": r2, "w": w,
+                "below": 0, "inside": first[f"n{i}"], "lo": first[f"lo{i}"], "hi": first[f"hi{i}"],
+            })
+    while wide := [b for b in out if b["inside"] > max_rows and b["lo"] < b["hi"]]:
+        share = lambda b, r: (r - b["below"]) / b["inside"]
+        got = df.agg(*[
+            _sketch(F.when(_inside(values[b["column"]], b), values[b["column"]]), share(b, b["r1"]), share(b, b["r2"]), accuracy).alias(f"s{i}")
+            for i, b in enumerate(wide)
+        ]).first()
+        tighter = [b | {"lo": got[f"s{i}"][0], "hi": got[f"s{i}"][1]} for i, b in enumerate(wide)]
+        counts = df.agg(
+            *[F.count_if(values[b["column"]] < F.lit(b["lo"])).alias(f"below{i}") for i, b in enumerate(tighter)],
+            *[F.count_if(_inside(values[b["column"]], b)).alias(f"inside{i}") for i, b in enumerate(tighter)],
+        ).first()
+        stuck = True
+        for i, (b, t) in enumerate(zip(wide, tighter)):
+            below, inside = counts[f"below{i}"], counts[f"inside{i}"]
+            if below < b["r1"] and b["r2"] <= below + inside and inside < b["inside"]:
+                b.update(lo=t["lo"], hi=t["hi"], below=below, inside=inside)
+                stuck = False
+        if stuck:
+            break
     return out
 
 
@@ -155,15 +98,44 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     method: str = "disc",
-    partitions: int | None = None,
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+    accuracy: int = ACCURACY,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """One row per column that has non-null values: ``column, n, <names...>``."""
+    """One row per column that has non-null values: ``column, n, <names...>``.
+
+    With several columns values are compared as doubles; one column keeps its type. ``df`` is
+    read a few times, only the columns asked for: give a file scan or a written table.
+    """
     names = list(names or [f"p{i}" for i in range(len(probs))])
-    ranked = rank_counts(value_counts(df, columns), partitions, max_single_task_rows)
-    return quantiles_from_ranks(ranked, probs, names, method)
+    values = {c: F.col(c) if len(columns) == 1 else F.col(c).cast("double") for c in columns}
+    found = _brackets(df, values, probs, method, accuracy, max_rows)
+    kind = df.select(*values.values()).schema.fields[0].dataType
+    schema = "id int, column string, name string, n long, below long, r1 long, r2 long, w double"
+    name_of = dict(zip(probs, names))
+    targets = df.sparkSession.createDataFrame(
+        [(i, b["column"], name_of[b["p"]], b["n"], b["below"], b["r1"], b["r2"], b["w"]) for i, b in enumerate(found)], schema
+    )
+    hits = [
+        F.when(_inside(values[b["column"]], b), F.struct(F.lit(i).alias("id"), values[b["column"]].cast(kind).alias("v")))
+        for i, b in enumerate(found)
+    ]
+    empty = F.lit(None).cast(f"struct<id:int,v:{kind.simpleString()}>")
+    counts = df.select(F.explode(F.array(*hits) if hits else F.array(empty)).alias("s")).where("s is not null")
+    counts = counts.groupBy("s.id", "s.v").agg(F.count(F.lit(1)).alias("c"))
+    # one row per bracket in the broadcast, columns times probabilities in all
+    upto = Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(F.broadcast(targets), "id").withColumn("hi", F.col("below") + F.sum("c").over(upto))
+    at = lambda r: F.max(F.when((F.col("hi") - F.col("c") < F.col(r)) & (F.col(r) <= F.col("hi")), F.col("v")))
+    one = ranked.groupBy("id", "column", "name", "n", "w").agg(at("r1").alias("a"), at("r2").alias("b"))
+    if method == "linear":
+        a, b = F.col("a").cast("double"), F.col("b").cast("double")
+        one = one.withColumn("a", a + F.col("w") * (b - a))
+    return one.groupBy("column").agg(
+        F.max("n").alias("n"), *[F.max(F.when(F.col("name") == name, F.col("a"))).alias(name) for name in names]
+    )
 
 
 def percentile_disc(df: DataFrame, column: str, p: float, name: str = "value") -> DataFrame:
-    """One-row frame ``(<name>)`` with the exact discrete percentile of ``column``."""
+    """One-row frame ``(<name>)`` with the exact discrete percentile of ``column``; no row if
+    the column has no value."""
     return exact_quantiles(df, [column], [p], [name], method="disc").select(name)
