@@ -1,148 +1,42 @@
-"""The pipeline's seven analyses and six summaries from two aggregate passes.
+"""All analyses and summaries of plans/analysis.py from two aggregate passes over the fact.
 
-``plans/analysis.py`` states each table as its own grouped aggregate (13 scans of the fact).
-Here the fact is scanned twice instead:
-
-1. ``GROUPING SETS ((category), (product_name, category), (year_month), (city),
-   (payment_method), (is_weekend), (hour))`` with exact decimal revenue, row counts and
-   quantity -- one scan, map-side partial aggregation, one small result;
-2. ``GROUPING SETS ((year_month), (city))`` with revenue, orders and exact distinct
-   customers -- the distinct count needs its own (group, customer) level, which Spark
-   pre-aggregates per map task.
-
-Each result has one row per output group; they are pinned (written once) and the 13 tables
-are projections/sorts of them. Values are identical to the per-table plans (tested).
+Tables without distinct customers share one ``GROUPING SETS`` pass over their groupings;
+those with them share another, because the distinct count needs its own (group, customer)
+level, which Spark pre-aggregates per map task. The passes have one row per output group;
+they are written once and the tables are the projections that their definitions give.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
-from tillroll.plans.analysis import AMOUNT, QTY
-from tillroll.schema import MONEY
-
-# grouping set name -> its key columns
-SETS = {
-    "category": ["category"],
-    "product": ["product_name", "category"],
-    "year_month": ["year_month"],
-    "city": ["city"],
-    "payment": ["payment_method"],
-    "weekend": ["is_weekend"],
-    "hour": ["hour"],
-}
-_ALL_KEYS = ["category", "product_name", "year_month", "city", "payment_method", "is_weekend", "hour"]
-
-
-def _set_id(keys: list[str]) -> int:
-    """``grouping_id()`` of a set: bit i (from the right, last key = bit 0) is 1 when key i
-    is aggregated away."""
-    gid = 0
-    for i, k in enumerate(reversed(_ALL_KEYS)):
-        if k not in keys:
-            gid |= 1 << i
-    return gid
-
-
-def grouped_totals(fact: DataFrame) -> DataFrame:
-    """Pass 1: ``(<keys>, _gid, _rev, _n, _qty)`` for all grouping sets (pinned)."""
-    return pinned(
-        fact.groupingSets(list(SETS.values()), *_ALL_KEYS).agg(
-            F.sum(F.col(AMOUNT).cast(MONEY)).alias("_rev"),
-            F.count(F.lit(1)).alias("_n"),
-            F.count(AMOUNT).alias("_n_amt"),
-            F.sum(QTY).cast("bigint").alias("_qty"),
-            F.grouping_id().alias("_gid"),
-        )
-    )
-
-
-def _set(totals: DataFrame, name: str) -> DataFrame:
-    return totals.where(F.col("_gid") == _set_id(SETS[name]))
-
-
-def _revenue() -> F.Column:
-    return F.col("_rev").cast("double")
-
-
-def _aov() -> F.Column:
-    return F.try_divide(F.col("_rev").cast("double"), F.col("_n_amt"))
-
-
-def customer_totals(fact: DataFrame) -> DataFrame:
-    """Pass 2: month and city totals with exact distinct customers (pinned)."""
-    return pinned(
-        fact.groupingSets([["year_month"], ["city"]], "year_month", "city").agg(
-            F.sum(F.col(AMOUNT).cast(MONEY)).alias("_rev"),
-            F.count(F.lit(1)).alias("_n"),
-            F.count_distinct("customer_id").alias("_uc"),
-            F.grouping("city").alias("_by_month"),
-        )
-    )
-
-
-def report_tables(fact: DataFrame) -> dict[str, DataFrame]:
-    """All 13 tables keyed like ``ANALYSES`` / ``SUMMARIES``."""
-    t = grouped_totals(fact)
-    ct = customer_totals(fact)
-    monthly = (
-        ct.where(F.col("_by_month") == 1)
-        .select(
-            "year_month",
-            _revenue().alias("monthly_revenue"),
-            F.col("_n").alias("monthly_orders"),
-            F.col("_uc").alias("unique_customers"),
-        )
-        .orderBy("year_month")
-    )
-    city = ct.where(F.col("_by_month") == 0).select(
-        "city", _revenue().alias("revenue"), F.col("_n").alias("orders"), F.col("_uc").alias("unique_customers")
-    )
-
-    cat = _set(t, "category")
-    prod = _set(t, "product")
-    out = {
-        "summary_category": cat.select(
-            "category",
-            _revenue().alias("total_revenue"),
-            F.col("_n").alias("num_transactions"),
-            _aov().alias("avg_order_value"),
-            F.col("_qty").alias("total_quantity"),
-        ),
-        "summary_monthly": monthly,
-        "summary_city": city,
-        "summary_top_products": prod.select(
-            "product_name", "category", _revenue().alias("revenue"), F.col("_qty").alias("qty_sold")
-        )
-        .orderBy(F.desc("revenue"), "product_name", "category")
-        .limit(20),
-        "summary_hourly": _set(t, "hour").select("hour", F.col("_n").alias("txn_count")).orderBy("hour"),
-        "summary_payment": _set(t, "payment").select(
-            "payment_method", F.col("_n").alias("txn_count"), _revenue().alias("revenue")
-        ),
-    }
-    out.update(
-        {
-            "revenue_by_category": out["summary_category"]
-            .drop("total_quantity")
-            .orderBy(F.desc("total_revenue"), "category"),
-            "top15_products": prod.select("product_name", "category", _revenue().alias("revenue"))
-            .orderBy(F.desc("revenue"), "product_name", "category")
-            .limit(15),
-            "monthly_revenue": monthly.select("year_month", "monthly_revenue").orderBy("year_month"),
-            "city_performance": city.select("city", "revenue", "unique_customers").orderBy(F.desc("revenue"), "city"),
-            "payment_distribution": out["summary_payment"]
-            .select("payment_method", "txn_count")
-            .orderBy(F.desc("txn_count"), "payment_method"),
-            "weekend_vs_weekday": _set(t, "weekend").select(
-                "is_weekend",
-                _revenue().alias("total_revenue"),
-                _aov().alias("avg_order_value"),
-                F.col("_n").alias("num_orders"),
-            ),
-            "peak_hours": out["summary_hourly"],
-        }
-    )
-    return out
+from tillroll.plans.analysis import TABLES, distinct_customers, totals
+
+
+def _pass(fact: DataFrame, customers: bool) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
+    """Totals of every grouping that the tables of one kind use, and each one's grouping id
+    (bit i from the right is 1 when the i-th key from the right is aggregated away)."""
+    sets = list(dict.fromkeys(t.keys for t in TABLES.values() if t.customers == customers))
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    ids = {s: sum(1 << i for i, k in enumerate(reversed(keys)) if k not in s) for s in sets}
+    extra = [distinct_customers()] if customers else []
+    got = fact.groupingSets([list(s) for s in sets], *keys).agg(*totals(), *extra, F.grouping_id().alias("_gid"))
+    return got, ids
+
+
+def report_tables(fact: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All tables by name. ``keep`` writes a pass (given its name) and reads it back; by
+    default they are scratch tables."""
+    keep = keep or (lambda df, name: pinned(df))
+    out = {}
+    for customers, name in ((False, "totals"), (True, "customer_totals")):
+        got, ids = _pass(fact, customers)
+        got = keep(got, name)
+        for table, t in TABLES.items():
+            if t.customers == customers:
+                out[table] = t.finish(got.where(F.col("_gid") == ids[t.keys]))
+    return {name: out[name] for name in TABLES}
