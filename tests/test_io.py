@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,9 +59,62 @@ def test_pipeline_outputs(spark, sf_small, tmp_out):
         assert back.schema == CLEAN_SCHEMA
         assert export.exceptAll(back.select(*export.columns)).count() == 0
         assert back.count() == export.count() == prof["rows_after_dedup"]
+    from tillroll.plans.analysis import SUMMARIES
+
     for name in SUMMARY_SCHEMAS:
         s = files.read_summary(spark, paths[name], name)
-        assert s is not None and s.count() > 0
+        want = SUMMARIES[name](fact)
+        assert s.columns == want.columns
+        assert sorted(map(tuple, s.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), name
+
+
+def test_pipeline_accounts_for_every_row_and_leaves_no_scratch(spark, tmp_out):
+    from tillroll.session import checkpoint_root
+
+    p = os.path.join(tmp_out, "bad.csv")
+    good = ["T%d,2024-01-%02d,9,C%d,S1,Pune,p,c,2,1.5,0,3.0,Cash" % (i, i % 28 + 1, i % 3) for i in range(1, 41)]
+    with open(p, "w") as f:
+        f.write("\n".join([
+            ",".join(RAW_SCHEMA.fieldNames()), *good, good[0], good[1],
+            "T90,2024-01-01,9,C1,S1,Pune,p,c,two,1.5,0,3.0,Cash",  # malformed quantity
+            *[",2024-01-01,9,C1,S1,Pune,p,c,%d,1.5,0,3.0,Cash" % q for q in range(5)],  # no id
+            "T91,2024-01-01,24,C1,S1,Pune,p,c,2,1.5,0,3.0,Cash",  # no such hour
+            "T92,2024-02-30,9,C1,S1,Pune,p,c,2,1.5,0,3.0,Cash",  # no such day: stays, without a date
+        ]) + "\n")
+    scratch = os.path.join(checkpoint_root(spark).removeprefix("file:"), "tillroll")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    res = run_pipeline(spark, files.read_raw_csv(spark, p, with_corrupt=True), os.path.join(tmp_out, "out"))
+    prof = res["profile"]
+    assert (prof["num_rows"], prof["rows_after_dedup"], prof["duplicates"], prof["quarantined"]) == (50, 41, 2, 7)
+    assert prof["quarantined__missing_id"] == 5 and prof["quarantined__corrupt_record"] == 1
+    assert prof["quarantined__hour_out_of_range"] == 1 and prof["rejected_dates"] == 1
+    kept = spark.read.parquet(res["paths"]["quarantine"])
+    assert {r.reason: r["count"] for r in kept.groupBy("reason").count().collect()} == {
+        "missing_id": 5, "corrupt_record": 1, "hour_out_of_range": 1,
+    }
+    assert kept.where("_corrupt_record like 'T90%'").count() == 1
+    assert read_fact(spark, res["paths"]["fact"]).count() == 41
+    assert set(os.listdir(scratch)) <= before
+
+
+def test_derived_tables_follow_their_input(spark, sf_small, tmp_out):
+    import shutil
+
+    for t in ("lineitem", "orders", "customer", "nation", "part"):
+        shutil.copy(f"{sf_small}/{t}.parquet", tmp_out)
+    assert raw_table(spark, tmp_out).count() == 6000 >= fact_table(spark, tmp_out).count() > 1000
+    duckdb.sql(f"COPY (SELECT * FROM '{sf_small}/lineitem.parquet' LIMIT 1000) TO '{tmp_out}/lineitem.parquet'")
+    assert raw_table(spark, tmp_out).count() == 1000
+    assert fact_table(spark, tmp_out).count() <= 1000
+
+
+def test_year_output_has_few_files(spark, sf_small, tmp_out):
+    fact = fact_table(spark, sf_small).repartition(64)
+    path = files.write_parquet(fact, os.path.join(tmp_out, "by_year"), partition_by="year")
+    years = [d for d in os.listdir(path) if d.startswith("year=")]
+    counts = [len([f for f in os.listdir(os.path.join(path, y)) if f.endswith(".parquet")]) for y in years]
+    assert len(years) >= 5 and max(counts) <= 2
+    assert read_fact(spark, path).count() == fact.count()
 
 
 def test_summary_invariants(spark, sf_small):

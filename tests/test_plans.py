@@ -35,10 +35,10 @@ def test_fact_to_fact_join_is_sort_merge(spark, sf_small):
     assert all("l_comment" not in s and "l_tax" not in s for s in scans)
 
 
-def test_no_python_and_no_cross_join_in_any_registered_query(spark, sf_small):
-    import __spark_entry__ as entry
+def test_no_python_and_no_cross_join_in_any_query_of_the_registry(spark, sf_small):
+    from tillroll.registry import QUERIES
 
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_small)
         text = df._jdf.queryExecution().executedPlan().toString()
         for marker in (
@@ -46,3 +46,33 @@ def test_no_python_and_no_cross_join_in_any_registered_query(spark, sf_small):
             "CartesianProduct", "BroadcastNestedLoopJoin",
         ):
             assert marker not in text, (name, marker)
+
+
+def _exchanges_by_id(spark, run) -> int:
+    """Shuffles by transaction_id in the executed plans of all executions that ``run`` starts."""
+    jvm, store = spark.sparkContext._jvm, spark._jsparkSession.sharedState().statusStore()
+    known = lambda: {e.executionId(): e for e in jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.executionsList())}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    before = set(known())
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    found = 0
+    for i, e in known().items():
+        if i not in before:
+            # an adaptive plan lists its nodes twice: as they ran and as first planned
+            found += e.physicalPlanDescription().count("hashpartitioning(transaction_id") // 2
+    return found
+
+
+def test_one_dedup_shuffle_per_job(spark, sf_small, tmp_out):
+    from tillroll.plans.clean import clean
+    from tillroll.plans.pipeline import raw_table, run_pipeline
+    from tillroll.registry import QUERIES
+
+    raw = raw_table(spark, sf_small)
+    fact_table(spark, sf_small)
+    assert _exchanges_by_id(spark, lambda: clean(raw).write.format("noop").mode("overwrite").save()) == 1
+    assert _exchanges_by_id(spark, lambda: run_pipeline(spark, raw, tmp_out)) == 1
+    for key in ("impute_city_mode", "cap_outliers", "outlier_rows", "outlier_count"):
+        n = _exchanges_by_id(spark, lambda: QUERIES[key](spark, sf_small).write.format("noop").mode("overwrite").save())
+        assert n == 1, (key, n)

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.calendar import parse_date
 from tillroll.functions.quantiles import exact_quantiles
+from tillroll.sources.files import REASONS, rejection
 
 DESCRIBE_COLUMNS = ["quantity", "unit_price", "discount_pct", "total_amount"]
 QUARTILE_COLUMNS = ["hour", "quantity", "unit_price", "discount_pct", "total_amount"]
@@ -133,10 +135,13 @@ def dataset_summary(df: DataFrame) -> DataFrame:
 
 
 def profile_pass(df: DataFrame, numeric: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
-    """Row count, NULLs per column and describe statistics of ``numeric`` in one aggregate
+    """Row count, NULLs per column, dates that don't parse, rows to be set aside by reason and
+    describe statistics of ``numeric`` in one aggregate
     (one job, no shuffle beyond the single-partition merge of partial aggregates)."""
     aggs = [F.count(F.lit(1)).alias("num_rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in df.columns]
+    aggs.append(F.count_if(F.col("date").isNotNull() & parse_date("date").isNull()).alias("rejected_dates"))
+    aggs += [F.count_if(rejection(df) == r).alias(f"quarantined__{r}") for r in REASONS]
     for c in numeric:
         x = F.col(c).cast("double")
         aggs += [

@@ -12,8 +12,8 @@ a guest/anonymous id can hold a large share of all rows. Instead:
    partitions as an offset. Such (partition, customer) pairs are at most one per partition
    boundary, so the offset table has fewer rows than there are partitions: broadcast.
 
-Output: ``transaction_id, customer_id, date, cust_txn_rank`` (join on ``transaction_id`` to
-attach it to wider rows).
+Output: ``transaction_id, customer_id, date, cust_txn_rank``, or with ``keep_columns`` the
+whole rows with the rank added, which saves joining it back to them.
 """
 
 from __future__ import annotations
@@ -31,19 +31,23 @@ def customer_txn_rank(
     out: str = "cust_txn_rank",
     partitions: int | None = None,
     unranked: tuple[str, ...] = (),
+    keep_columns: bool = False,
 ) -> DataFrame:
     """``unranked`` customer ids (e.g. an anonymous ``GUEST``) get a NULL rank and skip the
     ranking work altogether."""
     keys = [customer, *order]
+    columns = df.columns if keep_columns else keys
     if unranked:
         skip = F.col(customer).isin(*unranked)
-        left_out = df.where(skip).select(*keys, F.lit(None).cast("int").alias(out))
-        ranked_part = customer_txn_rank(df.where(~skip | F.col(customer).isNull()), customer, order, out, partitions)
+        left_out = df.where(skip).select(*columns, F.lit(None).cast("int").alias(out))
+        ranked_part = customer_txn_rank(
+            df.where(~skip | F.col(customer).isNull()), customer, order, out, partitions, keep_columns=keep_columns
+        )
         return ranked_part.unionByName(left_out)
     # without an explicit count AQE sizes the range partitions; coalescing only merges
     # adjacent ranges, so partition ids stay in key order
     by = [F.col(k).asc_nulls_first() for k in keys]
-    spread = df.select(*keys)
+    spread = df.select(*columns)
     spread = spread.repartitionByRange(partitions, *by) if partitions else spread.repartitionByRange(*by)
     ranged = pinned(spread.withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
@@ -65,6 +69,6 @@ def customer_txn_rank(
         "left",
     )
     return joined.select(
-        *keys,
+        *columns,
         (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).cast("int").alias(out),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import parse_date
 from tillroll.functions.money import line_amount
-from tillroll.operators.cap import cap_column, cap_from_counts
+from tillroll.operators.cap import cap_column, quantile_cap
 from tillroll.operators.dedup import dedup_transactions
 from tillroll.operators.impute import city_mode_from_counts, impute_city, impute_defaults
 from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, pinned
@@ -31,45 +31,23 @@ def with_amount(df: DataFrame) -> DataFrame:
     )
 
 
-def lookup_counts(deduped: DataFrame) -> DataFrame:
-    """Both small lookups of the cleaning rules from ONE pass over the deduplicated rows:
-    ``GROUPING SETS ((store_id, city), (quantity))`` with a count, partially aggregated per
-    map task. Pinned (written once to the checkpoint folder) -- a few rows per store plus one row per
-    quantity value."""
-    return pinned(
-        deduped.groupingSets([["store_id", "city"], ["quantity"]], "store_id", "city", "quantity").agg(
-            F.count(F.lit(1)).alias("c"), F.grouping("quantity").alias("_by_store")
-        )
-    )
-
-
-def lookup_sizes(lookups: DataFrame) -> dict[str, int]:
-    """Sizes read off the pinned lookups in one small job: deduplicated rows (the quantity
-    set covers every row), stores with a known city (rows of the mode table) and distinct
-    quantity values (rows of the histogram)."""
-    by_store = F.col("_by_store") == 1
-    r = lookups.agg(
-        F.sum(F.when(~by_store, F.col("c"))).alias("rows"),
-        F.count_distinct(F.when(by_store & F.col("city").isNotNull(), F.col("store_id"))).alias("stores"),
-        F.count_if(~by_store & F.col("quantity").isNotNull()).alias("quantities"),
-    ).first()
-    return {"rows": int(r["rows"] or 0), "stores": int(r["stores"]), "quantities": int(r["quantities"])}
-
-
 def clean_deduped_with_sizes(
     deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 ) -> tuple[DataFrame, dict[str, int]]:
-    """The cleaning rules after dedup (15 columns), plus the lookup sizes."""
-    lookups = lookup_counts(deduped)
-    sizes = lookup_sizes(lookups)
-    modes = city_mode_from_counts(lookups.where(F.col("_by_store") == 1).select("store_id", "city", "c"))
-    qty = lookups.where((F.col("_by_store") == 0) & F.col("quantity").isNotNull()).select(
-        F.lit("quantity").alias("k"), F.col("quantity").alias("v"), "c"
-    )
+    """The cleaning rules after dedup (15 columns), plus the number of rows.
+
+    ``deduped`` should be a written table: the (store, city) counts, the quantity quantile and
+    the rows each read it, the first two only their columns."""
+    # a few rows per store, partially aggregated per map task
+    counts = pinned(deduped.groupBy("store_id", "city").agg(F.count(F.lit(1)).alias("c")))
+    sizes = counts.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("rows"),
+        F.count_distinct(F.when(F.col("city").isNotNull(), F.col("store_id"))).alias("stores"),
+    ).first().asDict()
     df = with_parsed_date(deduped)
-    df = impute_city(df, max_broadcast_rows, modes=modes, mode_rows=sizes["stores"])
+    df = impute_city(df, max_broadcast_rows, modes=city_mode_from_counts(counts), mode_rows=sizes["stores"])
     df = impute_defaults(df)
-    df = cap_column(df, "quantity", "quantity_capped", cap=cap_from_counts(qty, size=sizes["quantities"]))
+    df = cap_column(df, "quantity", "quantity_capped", cap=quantile_cap(deduped, "quantity"))
     return with_amount(df), sizes
 
 
@@ -79,9 +57,10 @@ def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAS
 
 
 def clean(raw: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Raw 13 columns -> cleaned 15 columns (lazy, except the two small pinned
-    lookups: the store -> city table and the quantity histogram)."""
-    return clean_deduped(dedup_transactions(raw), max_broadcast_rows)
+    """Raw 13 columns -> cleaned 15 columns. The deduplicated rows are written once and read
+    for both lookups (the store -> city table and the quantity histogram, small written
+    tables themselves) and for the rows."""
+    return clean_deduped(pinned(dedup_transactions(raw)), max_broadcast_rows)
 
 
 def null_total(df: DataFrame) -> DataFrame:

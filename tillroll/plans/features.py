@@ -7,28 +7,20 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.buckets import revenue_bucket
 from tillroll.functions.calendar import calendar_columns
+from tillroll.operators.rank import customer_txn_rank
 from tillroll.schema import CLEAN_COLUMNS
 
 
-def add_features(cleaned: DataFrame, with_rank: bool = False) -> DataFrame:
+def add_features(cleaned: DataFrame, with_rank: bool = True) -> DataFrame:
     """Adds year, month, day_of_week, day_name, week_of_year, quarter, is_weekend,
-    month_name, year_month and revenue_bucket. Catalyst collapses it into one Project.
-
-    The per-customer purchase rank (:func:`tillroll.operators.rank.customer_txn_rank`)
-    needs shuffles of its own, so it is attached only on request (``with_rank=True``), by a
-    1:1 join on the (deduplicated) transaction id; NULL ids match each other.
+    month_name, year_month and revenue_bucket (one Project), and cust_txn_rank, the
+    per-customer purchase rank (:func:`tillroll.operators.rank.customer_txn_rank`), which
+    range-partitions the rows once. ``with_rank=False`` leaves the rank and its shuffle out.
     """
     cols = calendar_columns("date")
     cols["revenue_bucket"] = revenue_bucket("total_amount_clean")
     out = cleaned.withColumns(cols)
-    if not with_rank:
-        return out
-    from tillroll.operators.rank import customer_txn_rank
-
-    ranks = customer_txn_rank(cleaned).select(
-        F.col("transaction_id").alias("_rid"), F.col("cust_txn_rank")
-    )
-    return out.join(ranks, out["transaction_id"].eqNullSafe(ranks["_rid"]), "left").drop("_rid")
+    return customer_txn_rank(out, keep_columns=True) if with_rank else out
 
 
 def export_frame(features: DataFrame) -> DataFrame:

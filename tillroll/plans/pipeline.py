@@ -8,49 +8,49 @@ instead of recomputing dedup and imputation per query.
 
 from __future__ import annotations
 
-import os
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators.dedup import dedup_transactions
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS
+from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, pinned
 from tillroll.plans.analysis import ANALYSES, SUMMARIES
-from tillroll.plans.clean import clean_deduped, clean_deduped_with_sizes
+from tillroll.plans.clean import clean_deduped_with_sizes
 from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
-from tillroll.session import app_id, scratch_path
-from tillroll.sources.files import write_csv, write_parquet
+from tillroll.session import app_id, input_state, scratch_path, scratch_scope
+from tillroll.sources.files import CORRUPT, REASONS, quarantine, read_summary, write_csv, write_parquet
 from tillroll.sources.star import raw_transactions
 
 
-def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> str:
-    """Clean + features, written as Parquet partitioned by year.
+def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """Clean + features, written as Parquet clustered and partitioned by year; returns the
+    number of rows after dedup.
 
-    The deduplicated rows feed three consumers (store -> city table, quantity histogram,
-    the fact itself); they are persisted (memory, spilling to disk -- lineage kept, so a
-    lost executor only recomputes its blocks) for the duration of the write.
+    The deduplicated rows are written once to the shared scratch folder and read by their
+    consumers (store -> city table, quantity histogram, the rows themselves). All scratch is
+    deleted when the fact is written.
     """
-    deduped = dedup_transactions(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        features = add_features(clean_deduped(deduped, max_broadcast_rows))
-        write_parquet(features, path, partition_by="year")
-    finally:
-        deduped.unpersist()
-    return path
+    with scratch_scope(raw.sparkSession):
+        deduped = pinned(dedup_transactions(raw))
+        cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
+        write_parquet(add_features(cleaned), path, partition_by="year")
+    return sizes["rows"]
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
-_TABLES: dict[tuple[str, str, str], str] = {}
+_TABLES: dict[tuple[str, ...], str] = {}
+_INPUTS = ("lineitem", "orders", "customer", "nation", "part")
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    key = (app_id(spark), os.path.abspath(sf_dir), name)
+    """Path of a derived table, built once per application and state of its input files."""
+    state = [input_state(spark, f"{sf_dir}/{t}.parquet") for t in _INPUTS]
+    key = (app_id(spark), sf_dir, name, *state)
     path = _TABLES.get(key)
     if path is None:
         path = build(scratch_path(spark, name))
@@ -70,8 +70,12 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature fact derived from the star tables in ``sf_dir``, built once per
     application and reused by every query of the registry."""
-    path = _memo(spark, sf_dir, "fact", lambda p: write_fact(raw_table(spark, sf_dir), p))
-    return read_fact(spark, path)
+
+    def build(path: str) -> str:
+        write_fact(quarantine(raw_table(spark, sf_dir))[0], path)
+        return path
+
+    return read_fact(spark, _memo(spark, sf_dir, "fact", build))
 
 
 def run_pipeline(
@@ -81,48 +85,80 @@ def run_pipeline(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     write_parquet_export: bool = False,
 ) -> dict:
-    """The reference job end to end: profile the raw rows (one pass), clean, add features,
-    write the fact (Parquet by year, a superset of the 21 exported columns), the 21-column
-    cleaned export as CSV (and as Parquet by year on request) and six summaries. The seven
-    analysis tables come back as small lazy frames over the same pinned aggregates. Returns the output paths and the profile as small driver-side values.
-
-    ``raw`` should be a file scan (it is read twice: profile, dedup); derive-and-write it
-    first when it comes from a join, as :func:`raw_table` does.
+    """The reference job end to end: profile the raw rows (one pass), set bad rows aside,
+    clean, add features, write the fact (Parquet by year, a superset of the 21 exported
+    columns), the 21-column cleaned export as CSV (and as Parquet by year on request) and six
+    summaries. The seven analysis tables come back as small frames over the written report
+    passes. Returns the output paths and the profile as small driver-side values.
+
+    ``raw`` should be a file scan; derive-and-write it first when it comes from a join, as
+    :func:`raw_table` does. A CSV scan with its corrupt lines
+    (``read_raw_csv(..., with_corrupt=True)``) is landed once, because which lines are
+    malformed depends on the columns that a query parses. Every input row is a clean row, a
+    duplicate or in the quarantine: ``num_rows = rows_after_dedup + duplicates + quarantined``.
     """
     out_dir = out_dir.rstrip("/")
-    prof = profile_pass(raw).first().asDict()
-    deduped = dedup_transactions(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
-        prof["rows_after_dedup"] = sizes["rows"]
-        prof["duplicates"] = prof["num_rows"] - sizes["rows"]
-        features = add_features(cleaned)
-        paths = {"fact": write_parquet(features, f"{out_dir}/fact", partition_by="year")}
-    finally:
-        deduped.unpersist()
+    with scratch_scope(spark):
+        if CORRUPT in raw.columns:
+            raw = pinned(raw)
+        prof = profile_pass(raw).first().asDict()
+        good, rejected = quarantine(raw)
+        paths = {"quarantine": write_parquet(rejected, f"{out_dir}/quarantine"), "fact": f"{out_dir}/fact"}
+        prof["rows_after_dedup"] = write_fact(good, paths["fact"], max_broadcast_rows)
+    prof["quarantined"] = sum(prof[f"quarantined__{r}"] for r in REASONS)
+    prof["duplicates"] = prof["num_rows"] - prof["quarantined"] - prof["rows_after_dedup"]
     fact = read_fact(spark, paths["fact"])
-    export = export_frame(fact)
-    paths["cleaned_csv"] = write_csv(export, f"{out_dir}/grocery_cleaned.csv")
-    if write_parquet_export:
-        paths["cleaned_parquet"] = write_parquet(export, f"{out_dir}/grocery_cleaned.parquet", partition_by="year")
-    tables = report_tables(fact)
+    paths |= _write_export(fact, out_dir, ["csv", "parquet"] if write_parquet_export else ["csv"])
+    tables = _write_summaries(fact, out_dir, paths)
+    return {"paths": paths, "profile": prof, "tables": {k: v for k, v in tables.items() if k in ANALYSES}}
+
+
+def _write_export(features: DataFrame, out_dir: str, formats: list[str]) -> dict[str, str]:
+    cleaned, paths = export_frame(features), {}
+    if "csv" in formats:
+        paths["cleaned_csv"] = write_csv(cleaned, f"{out_dir}/cleaned.csv")
+    if "parquet" in formats:
+        paths["cleaned_parquet"] = write_parquet(cleaned, f"{out_dir}/cleaned.parquet", partition_by="year")
+    return paths
+
+
+def _write_summaries(features: DataFrame, out_dir: str, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The report passes and the six summaries, written next to the fact."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        at = write_parquet(df, f"{out_dir}/report/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(at)
+
+    tables = report_tables(features, keep)
     for name in SUMMARIES:
         paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
-    return {"paths": paths, "profile": prof, "tables": {k: v for k, v in tables.items() if k in ANALYSES}}
+    return tables
 
 
 def export(features: DataFrame, out_dir: str, fmt: str = "csv") -> dict[str, str]:
     """Write the 21-column cleaned export (``csv`` or ``parquet`` by year) and the six
     summaries (CSV) from a feature frame, with Spark's distributed writers."""
-    out_dir = out_dir.rstrip("/")
-    cleaned = export_frame(features)
-    if fmt == "csv":
-        paths = {"cleaned": write_csv(cleaned, f"{out_dir}/grocery_cleaned.csv")}
-    elif fmt == "parquet":
-        paths = {"cleaned": write_parquet(cleaned, f"{out_dir}/grocery_cleaned.parquet", partition_by="year")}
-    else:
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}")
-    tables = report_tables(features)
-    for name in SUMMARIES:
-        paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
+    out_dir = out_dir.rstrip("/")
+    paths = _write_export(features, out_dir, [fmt])
+    paths["cleaned"] = paths[f"cleaned_{fmt}"]
+    _write_summaries(features, out_dir, paths)
     return paths
+
+
+def published_summaries(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The six written summaries, read back and stacked: ``summary``, ``key`` (the grouping
+    values), ``measure``, ``value``."""
+    out = None
+    for name in SUMMARIES:
+        t, table = SUMMARIES[name], read_summary(spark, paths[name], name)
+        measures = [c for c in table.columns if c not in t.keys]
+        pairs = [x for m in measures for x in (F.lit(m), F.col(m).cast("double"))]
+        long = table.select(
+            F.lit(name).alias("summary"),
+            F.concat(*[x for i, k in enumerate(t.keys) for x in ([F.lit("|")] if i else []) + [F.col(k).cast("string")]]).alias("key"),
+            F.stack(F.lit(len(measures)), *pairs).alias("measure", "value"),
+        )
+        out = long if out is None else out.union(long)
+    return out

@@ -16,6 +16,8 @@ from pyspark.sql.types import (
 # Money is carried as decimal(18,2) inside the plans and exposed as double at the edges.
 MONEY = DecimalType(18, 2)
 
+# Names and types of the input and output columns below.
+
 # Raw transaction file: 13 columns, read with this schema and never inferred.
 RAW_SCHEMA = StructType(
     [
@@ -73,8 +75,8 @@ CLEANED_COLUMNS = [
     "quantity_capped", "total_amount_clean",
 ]
 
-# Feature fact written by the pipeline: cleaned columns plus the calendar features and the
-# revenue bucket (the per-customer rank is a separate operator, see operators/rank.py).
+# Feature fact written by the pipeline: cleaned columns plus the calendar features, the
+# revenue bucket and the per-customer purchase rank.
 FACT_SCHEMA = StructType(
     [
         StructField("transaction_id", StringType(), True),
@@ -101,6 +103,7 @@ FACT_SCHEMA = StructType(
         StructField("month_name", StringType(), True),
         StructField("year_month", StringType(), True),
         StructField("revenue_bucket", StringType(), True),
+        StructField("cust_txn_rank", IntegerType(), True),
         # partition column of the written fact; Spark appends it last on read
         StructField("year", IntegerType(), True),
     ]

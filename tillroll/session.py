@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,23 +48,83 @@ def app_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
+_SCOPES: list[list[str]] = []
+_LIVE: set[str] = set()
 
 
-# Suggested settings for the full-scale job (~100 TB of raw transactions, ~1,000 executors).
-# Shuffle partitions start high and AQE coalesces them to ~256 MB each, so no reducer has to
-# hold more than it can sort in memory; input splits of 256 MB keep scan tasks in the tens
-# of thousands; skewed join partitions are split at run time; broadcasts are limited to
-# what the planner can prove small (derived lookups are additionally row-count checked in
-# operators/joins.py).
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared checkpoint folder. Inside a
+    :func:`scratch_scope` it is deleted when the scope ends, else when the program ends."""
+    path = f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
+    if not _LIVE:
+        atexit.register(_drop_live)
+    _LIVE.add(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table whose readers are done."""
+    _LIVE.discard(path)
+    if _context(spark) is not None:
+        at, fs = _file_system(spark, path)
+        fs.delete(at, True)
+
+
+def _drop_live() -> None:
+    spark = SparkSession.getActiveSession()
+    for path in list(_LIVE):
+        try:
+            drop_scratch(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended; the folder is the cluster's to clean
+            return
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch tables made inside are deleted at the end; frames that read them must have
+    been used by then."""
+    _SCOPES.append([])
+    try:
+        yield _SCOPES[-1]
+    finally:
+        for path in _SCOPES.pop():
+            drop_scratch(spark, path)
+
+
+def input_state(spark: SparkSession, path: str) -> str:
+    """Name, length and modification time of the files under a path, as one string."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        return "missing"
+    files, out = fs.listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return ",".join(sorted(out))
+
+
+# Suggested settings for the full-scale job (~100 TB of raw transactions, ~1,000 executors of
+# 4 cores). Input splits of 1 GB make 100,000 map tasks, 25 waves on 4,000 cores. 20,000
+# shuffle partitions hold 5 GB of raw rows each before column pruning and compression, about
+# 1 GB shuffled, and AQE merges small ones towards 1 GB. Map tasks times partitions is 2e9
+# blocks of about 50 KB, which is what push-based shuffle is for: it merges them per
+# partition on the way, so a reducer reads large chunks. Skewed join partitions are split at
+# run time; broadcasts are limited to what the planner can prove small (derived lookups are
+# additionally row-count checked in operators/joins.py).
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.shuffle.partitions": "200000",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1g",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "1g",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -69,6 +132,13 @@ CLUSTER_CONF = {
 }
 
 
+# To be given when the session is made: not settable at run time.
+CLUSTER_STATIC_CONF = {
+    "spark.shuffle.push.enabled": "true",
+    "spark.shuffle.service.enabled": "true",
+}
+
+
 def apply_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> SparkSession:
     """Set runtime SQL settings on an existing session (only keys that are runtime-settable)."""
     for k, v in conf.items():

@@ -4,9 +4,9 @@ distributed writers -- never through the driver)."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.schema import CLEAN_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMAS
 
@@ -34,9 +34,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "PE
     return _guard(reader.csv, path, what)
 
 
-def read_raw_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Raw 13-column transactions. In PERMISSIVE mode a malformed field becomes NULL."""
-    return read_csv(spark, path, RAW_SCHEMA, mode, "raw transactions")
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE", with_corrupt: bool = False) -> DataFrame:
+    """Raw 13-column transactions. In PERMISSIVE mode a malformed field becomes NULL; with
+    ``with_corrupt`` the line it stood in comes along as ``_corrupt_record``, for
+    :func:`quarantine`."""
+    schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType(), True)]) if with_corrupt else RAW_SCHEMA
+    return read_csv(spark, path, schema, mode, "raw transactions")
+
+
+# Why a raw row is set aside, in the order in which it is asked.
+REASONS = ("corrupt_record", "missing_id", "hour_out_of_range")
+
+
+def rejection(df: DataFrame) -> Column:
+    """The reason why a raw row is set aside; NULL for a good row."""
+    why = F.when(F.col("transaction_id").isNull(), REASONS[1]).when(~F.col("hour").between(0, 23), REASONS[2])
+    return F.when(F.col(CORRUPT).isNotNull(), REASONS[0]).otherwise(why) if CORRUPT in df.columns else why
+
+
+def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` raw rows; the rejected ones with their ``reason`` and, if it was
+    read, the corrupt line."""
+    marked = df.withColumn("reason", rejection(df))
+    return marked.where(F.col("reason").isNull()).drop("reason", CORRUPT), marked.where(F.col("reason").isNotNull())
 
 
 def split_missing_ids(df: DataFrame, key: str = "transaction_id") -> tuple[DataFrame, DataFrame]:
@@ -68,10 +91,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> str:
-    w = df.write.mode(mode)
+    """With ``partition_by`` the rows are first rebalanced by that column: adaptive execution
+    packs small values together and splits large ones, so a value gets a few files of the
+    advisory size instead of one per task."""
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        df.hint("rebalance", F.col(partition_by)).write.mode(mode).partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
     return path
 
 
