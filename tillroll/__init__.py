@@ -1,4 +1,4 @@
-"""tillroll: retail transaction analytics as lazy Spark DataFrame plans.
+"""tillroll: retail transaction analytics on Spark DataFrames.
 
 Layout
 ------
@@ -8,9 +8,10 @@ functions/  column-level building blocks (money arithmetic, calendar features, b
 operators/  DataFrame -> DataFrame steps (dedup, imputation, capping, ranking, profiling,
             size-checked broadcast)
 plans/      composites: clean, features, analyses, summaries, dashboard view, pipeline
-streaming/  intentionally empty: the reference has no streaming workload
+llm/        operators for training data, an optional part that nothing else imports
 
-Every public function takes and returns DataFrames (or Columns) and never collects rows
-to the driver; the only driver-side values are scalars (a row count used to decide a
-broadcast, file paths).
+Every public function takes and returns DataFrames (or Columns). Most are lazy; those that
+need a small result first (row counts for a broadcast, brackets of a quantile, tables written
+once to the shared scratch folder) run Spark jobs when called, which their docstrings say. No
+rows are collected to the driver, only such scalars and file paths.
 """

@@ -102,8 +102,8 @@ FROM imputed i
 """
 
 CLEANED = """
-SELECT *, CAST(CAST(unit_price AS DECIMAL(12,2)) * CAST(quantity_capped AS DECIMAL(6,0))
-               * CAST(100 - discount_pct AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2))
+SELECT *, CAST(CAST(unit_price AS DECIMAL(16,6)) * CAST(quantity_capped AS DECIMAL(10,0))
+               * CAST((100 - discount_pct) / 100 AS DECIMAL(9,6))
           AS DECIMAL(18,2)) AS total_amount_clean
 FROM capped
 """
@@ -152,8 +152,9 @@ def view_sql(spec: FilterSpec = DEFAULT_SPEC) -> str:
     ):
         if values is not None:
             preds.append(f"{col} IN ({_in_list(values)})" if values else "FALSE")
-    where = " AND ".join(preds) if preds else "TRUE"
-    return f"SELECT * FROM export WHERE {where}"
+    if spec.date_from is None and spec.date_to is None:
+        preds.append('"date" IS NOT NULL')  # the data's own bounds hold, no undated row is within them
+    return f"SELECT * FROM export WHERE {' AND '.join(preds)}"
 
 
 CHAIN = [
@@ -226,7 +227,32 @@ def _filter_sql() -> dict[str, str]:
     return out
 
 
-_HOURS = list(range(7, 23))
+# summary -> its key columns and measures
+_PUBLISHED = {
+    "summary_category": (["category"], ["total_revenue", "num_transactions", "avg_order_value", "total_quantity"]),
+    "summary_monthly": (["year_month"], ["monthly_revenue", "monthly_orders", "unique_customers"]),
+    "summary_city": (["city"], ["revenue", "orders", "unique_customers"]),
+    "summary_top_products": (["product_name", "category"], ["revenue", "qty_sold"]),
+    "summary_hourly": (['"hour"'], ["txn_count"]),
+    "summary_payment": (["payment_method"], ["txn_count", "revenue"]),
+}
+
+
+def _published(sql: dict[str, str]) -> str:
+    """The six summaries stacked to (summary, key, measure, value)."""
+    ctes, parts = [], []
+    for name, (keys, measures) in _PUBLISHED.items():
+        ctes.append(f"{name} AS ({sql[name].split(q('feat', ''), 1)[1]})")
+        key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+        parts += [
+            f"SELECT '{name}' AS summary, {key} AS \"key\", '{m}' AS measure, CAST({m} AS DOUBLE) AS \"value\" FROM {name}"
+            for m in measures
+        ]
+    chain = q("feat", "").rstrip()
+    return chain + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+_HOURS = list(range(24))
 _DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
@@ -300,6 +326,11 @@ def oracle_sql() -> dict[str, str]:
             'SELECT customer_id, "date", transaction_id, CAST(row_number() OVER (PARTITION BY customer_id '
             'ORDER BY "date" ASC NULLS FIRST, transaction_id ASC NULLS FIRST) AS INTEGER) AS cust_txn_rank FROM feat',
         ),
+        "features_with_rank": q(
+            F,
+            'SELECT transaction_id, customer_id, "date", revenue_bucket, CAST(row_number() OVER (PARTITION BY customer_id '
+            'ORDER BY "date" ASC NULLS FIRST, transaction_id ASC NULLS FIRST) AS INTEGER) AS cust_txn_rank FROM feat',
+        ),
         # analyses
         "revenue_by_category": q(
             F,
@@ -431,4 +462,5 @@ def oracle_sql() -> dict[str, str]:
         "preview_rows": q("v", "SELECT * FROM v ORDER BY transaction_id LIMIT 500"),
     }
     sql["summary_scan"] = sql["summary_category"]
+    sql["pipeline_summaries"] = _published(sql)
     return sql
