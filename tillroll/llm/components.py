@@ -20,9 +20,10 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     up = both.where("b > a")
     # the node itself keeps its link to the least
+    # (repeats are left to the small star)
     return up.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
         least.where("m < a").select("a", F.col("m").alias("b"))
-    ).where("a <> b").distinct()
+    ).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

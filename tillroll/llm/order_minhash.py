@@ -12,14 +12,21 @@ How candidates are found without all pairs of a bucket:
 1. Equal word sequences are one node; all else works on nodes.
 2. Star: in each bucket, all members are compared with its centre only, the member that
    shares most buckets with others. Copies of one text are mostly linked here.
-3. Rest: buckets that still hold more than one component. In small ones all pairs of
-   different components are compared. Nodes of large ones get deep sketches (more k-mers in
-   each, so that only very similar texts still meet) and all pairs of different components
-   that share a deep bucket are compared. No bucket is capped.
+3. Small buckets that still hold more than one component: all pairs of different components.
+4. Large ones are looked at from their consensus, the k-mers that over half of the members
+   have. A member x has X(x) k-mers beyond it and lacks A(x) of it. A link from x to c needs
+   at most (x + c) / 9 k-mers that only one of them has, which are X(x) + X(c) - 2 s +
+   |A(x) - A(c)| or more, where s counts the k-mers beyond the consensus that both have. So
+   all members are compared with the one nearest to the consensus; then those that may be
+   linked with s = 0 are compared; and for s > 0 members are put into new buckets by their
+   k-mers beyond the consensus, of which each needs only the rarest, up to the point where
+   s of them can't be left (k-mers that no one else has stand first). Steps 2 to 4 are
+   done on the new buckets, after ``MAX_LEVELS`` rounds with all pairs of components.
+   No pair of a bucket is lost by this, and no bucket is capped.
 
 Pairs that differ too much in length, or whose 64 one-byte minimum hashes agree in under
 ``MIN_AGREE``, five standard deviations below 0.8, are not aligned. A pair of similarity 0.8
-shares none of the 16 sketches with probability 1e-5, of the 96 deep ones with 2e-8.
+shares none of the 16 sketches with probability 1e-5, more similar ones with less.
 
 Defined results: null texts and texts without words are no one's duplicate and their class
 is their own id; texts of any length are read whole; repeated rows are copies; a null id is
@@ -31,7 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,17 +46,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tillroll.llm.common import row_key, ship, without_rows
+from tillroll.llm.common import broadcast_checked, row_key, ship, without_rows
 from tillroll.llm.components import components
 from tillroll.operators.joins import pinned
 
 K = 5
 SIMILARITY = 0.8
 ELL, SKETCHES = 3, 16
-DEEP_ELL, DEEP_SKETCHES = 8, 96
 MIN_HASHES = 64
 MIN_AGREE = 35  # of 64
 SMALL_BUCKET = 16
+MAX_LEVELS = 4
 
 ship(__name__)
 
@@ -164,41 +171,30 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return m / (len(a) + len(b) - m) if len(a) + len(b) > m else 0.0
 
 
-def _sketched(ell: int, count: int, salt: int, with_bytes: bool):
-    """A function for mapInPandas from (id columns, text) to sketches."""
-    seeds, byte_seeds = _seeds(count, salt), _seeds(MIN_HASHES, 77)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame.drop(columns="text")
-            nodes, sizes, sketches, least = [], [], [], []
-            for text in frame["text"]:
-                h = kmers(text or "")
-                sizes.append(len(h))
-                if len(h):
-                    sketches.append(order_sketches(h, ell, seeds).view(np.int64))
-                    if with_bytes:
-                        words = b" ".join(text.lower().encode("utf-8", "replace").split())
-                        nodes.append(hashlib.blake2b(words, digest_size=16).digest())
-                        least.append(min_bytes(h, byte_seeds))
-                else:
-                    sketches.append(None)
-                    nodes.append(None)
-                    least.append(None)
-            out["omh"] = sketches
-            if with_bytes:
-                out["node"], out["n"], out["least"] = nodes, sizes, least
-            yield out
-
-    return run
+def _sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From (id columns, text) to (id columns, sketches, node, size, minimum hashes)."""
+    seeds, byte_seeds = _seeds(SKETCHES, 1), _seeds(MIN_HASHES, 77)
+    for frame in frames:
+        out = frame.drop(columns="text")
+        nodes, sizes, sketches, least = [], [], [], []
+        for text in frame["text"]:
+            h = kmers(text or "")
+            some = len(h) > 0
+            words = b" ".join(text.lower().encode("utf-8", "replace").split()) if some else b""
+            sizes.append(len(h))
+            sketches.append(order_sketches(h, ELL, seeds).view(np.int64) if some else None)
+            nodes.append(hashlib.blake2b(words, digest_size=16).digest() if some else None)
+            least.append(min_bytes(h, byte_seeds) if some else None)
+        out["omh"], out["node"], out["n"], out["least"] = sketches, nodes, sizes, least
+        yield out
 
 
 def sketch_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     rk, tk = row_key(docs, doc_id, text)
-    rows = docs.select(rk, tk, docs[doc_id].cast("string").alias("doc_id"), docs[text].alias("text"))
     # ids travel as text: pandas would turn whole numbers with nulls into doubles
+    rows = docs.select(rk, tk, docs[doc_id].cast("string").alias("doc_id"), docs[text].alias("text"))
     schema = "_rk long, _tk long, doc_id string, omh array<long>, node binary, n int, least binary"
-    found = rows.mapInPandas(_sketched(ELL, SKETCHES, 1, True), schema)
+    found = rows.mapInPandas(_sketched, schema)
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
@@ -217,11 +213,16 @@ def _close(a: str, b: str):
     return F.least(F.col(a), F.col(b)) >= F.greatest(F.col(a), F.col(b)) * SIMILARITY
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
+def with_centre(members: DataFrame) -> DataFrame:
+    """Adds the bucket's ``centre`` and its size ``cn``."""
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     centres = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("c"))
-    pairs = members.join(centres.select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("cn")), "key")
-    return pairs.where(F.col("node") != F.col("centre")).where(_close("n", "cn")).select(*_pair("node", "centre")).distinct()
+    return members.join(centres.select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("cn")), "key")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    away = members.where((F.col("node") != F.col("centre")) & _close("n", "cn"))
+    return away.select(*_pair("node", "centre")).distinct()
 
 
 def component_pairs(members: DataFrame) -> DataFrame:
@@ -237,21 +238,80 @@ def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).sum(axis=1, dtype=np.int32))
 
 
+class _Kmers(dict):
+    """k-mers by node, kept while few."""
+
+    size = 0
+
+    def of(self, node: bytes, text: str) -> np.ndarray:
+        if node not in self:
+            if self.size > 1_000_000:
+                self.clear()
+                self.size = 0
+            self[node] = kmers(text)
+            self.size += len(self[node])
+        return self[node]
+
+
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last: dict[bytes, np.ndarray] = {}
+    known = _Kmers()
     for frame in frames:
-        keep = []
-        for a, b, ta, tb in frame.itertuples(index=False):
-            if a not in last:
-                last[a] = kmers(ta)
-            if b not in last:
-                last[b] = kmers(tb)
-            keep.append(similarity(last[a], last[b]) >= SIMILARITY)
-            if sum(map(len, last.values())) > 1_000_000 if len(last) % 64 == 0 else False:
-                last.clear()
+        keep = [
+            similarity(known.of(a, ta), known.of(b, tb)) >= SIMILARITY
+            for a, b, ta, tb in frame.itertuples(index=False)
+        ]
         yield frame.loc[keep, ["a", "b"]]
 
 
+def _listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield pd.DataFrame({"node": frame["node"], "k": [kmers(t).view(np.int64) for t in frame["text"]]})
+
+
+def consensus(members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """For groups of members (``centre``, ``node``, ``n``): per member ``x`` and ``a``, the
+    numbers of k-mers beyond the group's consensus and lacked of it; and the k-mers beyond it
+    that two members have at least, with their frequency ``df``."""
+    listed = pinned(texts(members.select("node").distinct()).mapInPandas(_listed, "node binary, k array<long>"))
+    tokens = members.join(listed, "node").select("centre", "node", "n", F.explode("k").alias("k"))
+    size = members.groupBy("centre").agg(F.count("*").alias("size"))
+    df = pinned(tokens.groupBy("centre", "k").agg(F.count("*").alias("df")).where("df > 1").join(size, "centre"))
+    common = df.where("df * 2 > size").groupBy("centre").agg(F.count("*").alias("common"))
+    of = tokens.join(df, ["centre", "k"])
+    shares = of.where("df * 2 > size").groupBy("centre", "node").agg(F.count("*").alias("held"))
+    seen = members.join(shares, ["centre", "node"], "left").join(common, "centre", "left")
+    held, common = F.coalesce("held", F.lit(0)), F.coalesce("common", F.lit(0))
+    seen = seen.select("centre", "node", "n", (F.col("n") - held).alias("x"), (common - held).alias("a"))
+    return pinned(seen), of.where("df * 2 <= size").select("centre", "node", "n", "k", "df")
+
+
+def apart_pairs(seen: DataFrame) -> DataFrame:
+    """Pairs of different ``comp`` that can be linked without sharing a k-mer beyond the
+    consensus. ``near`` is the component of the member nearest to it."""
+    near = seen.where(F.col("x") <= F.col("n") / 4)
+    other = near.select(
+        "centre", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "x", "a", "comp")]
+    )
+    pairs = near.where(F.col("comp") != F.col("near")).join(other, "centre").where(
+        (F.col("comp") != F.col("comp2"))
+        & (F.col("x") + F.col("x2") + F.abs(F.col("a") - F.col("a2")) <= (F.col("n") + F.col("n2")) / 9)
+    )
+    return pairs.where(_close("n", "n2")).select(*_pair("node", "node2")).distinct()
+
+
+def finer_buckets(seen: DataFrame, beyond: DataFrame) -> DataFrame:
+    """Buckets by the k-mers beyond the consensus, of each member the rarest it needs."""
+    per = Window.partitionBy("centre", "node")
+    tokens = beyond.join(seen.select("centre", "node", "x"), ["centre", "node"])
+    ranked = tokens.select(
+        "*", F.row_number().over(per.orderBy("df", "k")).alias("at"), (F.col("x") - F.count("*").over(per)).alias("alone")
+    )
+    # of any length allowed for a partner, at most n / 4 k-mers may be unshared
+    needed = ranked.where(F.col("at") + F.col("alone") <= F.floor(F.col("n") / 4) + 1)
+    placed = needed.select(F.xxhash64("centre", "k").alias("key"), "node", "n")
+    return placed.join(placed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
+
+
 def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that are similar. ``texts`` has ``node`` and ``text``."""
     least = nodes.select("node", "least")
@@ -274,37 +334,67 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
     def texts(needed: DataFrame) -> DataFrame:
-        """The text of each node, read from one of its documents."""
+        """The text of each node, read from one of its documents. The corpus is not shuffled
+        as long as the nodes asked for can be broadcast."""
         reps = needed.join(nodes.select("node", F.col("rep._rk").alias("_rk"), F.col("rep._tk").alias("_tk")), "node")
         rk, tk = row_key(docs, doc_id, text)
-        return reps.join(docs.select(rk, tk, docs[text].alias("text")).dropDuplicates(["_rk", "_tk"]), ["_rk", "_tk"]).select("node", "text")
-
-    members = pinned(buckets(nodes))
-    tried = pinned(star_pairs(members))
-    found = links(tried, nodes, texts)
-    comps = pinned(components(found))
-
-    def labelled(m: DataFrame) -> DataFrame:
-        """Members of the buckets that hold more than one component."""
-        m = m.join(comps.toDF("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        return pinned(m.join(mixed, "key", "left_semi"))
-
-    rest = labelled(members)
-    pairs = component_pairs(rest.where(F.col("size") <= SMALL_BUCKET))
-    crowd = rest.where(F.col("size") > SMALL_BUCKET).select("node").distinct()
-    crowd = pinned(crowd)
-    if not crowd.isEmpty():
-        deep = pinned(
-            texts(crowd).mapInPandas(_sketched(DEEP_ELL, DEEP_SKETCHES, 2, False), "node binary, omh array<long>")
+        found = docs.select(rk, tk, docs[text].alias("text")).join(broadcast_checked(reps), ["_rk", "_tk"])
+        return found.select("node", "text").dropDuplicates(["node"])
+
+    found = comps = tried = None
+
+    def compare(pairs: DataFrame) -> None:
+        """Compare pairs not compared before; new links join components."""
+        nonlocal found, comps, tried
+        new = pinned(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if tried is not None and new.isEmpty():
+            return
+        tried = new if tried is None else tried.union(new)
+        linked = links(new, nodes, texts)
+        if comps is None:
+            found, comps = linked, pinned(components(linked))
+            return
+        found = found.union(linked)
+        # components of the components that the new links join, few as a rule
+        ends = with_comp(with_comp(linked, "a", "ca"), "b", "cb").select("ca", "cb").where("ca <> cb")
+        ends = pinned(ends)
+        if ends.isEmpty():
+            return
+        joined = broadcast_checked(components(ends, "ca", "cb").toDF("comp", "top"))
+        before = comps.toDF("node", "comp").union(ends.select(F.explode(F.array("ca", "cb")).alias("node")).select("node", F.col("node").alias("comp")))
+        comps = pinned(
+            before.distinct().join(joined, "comp", "left").select("node", F.coalesce("top", "comp").alias("component"))
         )
-        deep = buckets(deep.join(nodes.select("node", "n"), "node"))
-        pairs = pairs.union(component_pairs(labelled(deep))).distinct()
-    pairs = pinned(pairs.join(tried, ["a", "b"], "left_anti"))
-    if not pairs.isEmpty():
-        more = links(pairs, nodes, texts)
-        found = pinned(found.union(more))
-        comps = pinned(components(found)) if not more.isEmpty() else comps
+
+    def with_comp(t: DataFrame, node: str = "node", comp: str = "comp") -> DataFrame:
+        return t.join(comps.toDF(node, comp), node, "left").withColumn(comp, F.coalesce(comp, node))
+
+    def mixed(m: DataFrame) -> DataFrame:
+        """Members, with their component, of the buckets that hold more than one."""
+        m = with_comp(m)
+        keys = m.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+        return pinned(m.join(keys, "key", "left_semi"))
+
+    members = pinned(with_centre(buckets(nodes)))
+    for level in range(MAX_LEVELS):
+        compare(star_pairs(members))
+        rest = mixed(members)
+        last = level == MAX_LEVELS - 1
+        large = rest.where(F.col("size") > SMALL_BUCKET)
+        if last or large.isEmpty():
+            compare(component_pairs(rest))
+            break
+        group = pinned(large.select("centre", "node", "n").distinct())
+        seen, beyond = consensus(group, texts)
+        nearest = seen.groupBy("centre").agg(F.min(F.struct((F.col("x") + F.col("a")).alias("d"), "node", "n")).alias("m"))
+        nearest = pinned(nearest.select("centre", F.col("m.node").alias("nearest"), F.col("m.n").alias("cn")))
+        away = seen.join(nearest, "centre").where((F.col("node") != F.col("nearest")) & _close("n", "cn"))
+        away = with_comp(with_comp(away), "nearest", "near").where(F.col("comp") != F.col("near"))
+        few = component_pairs(rest.where(F.col("size") <= SMALL_BUCKET))
+        compare(away.select(*_pair("node", "nearest")).union(few).distinct())
+        labelled = pinned(with_comp(with_comp(seen.join(nearest, "centre")), "nearest", "near"))
+        compare(apart_pairs(labelled))
+        members = pinned(with_centre(finer_buckets(seen, beyond)))
     degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = nodes.select("node").join(comps.toDF("node", "comp"), "node", "left").join(degree, "node", "left")
     of = of.select("node", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
