@@ -56,7 +56,7 @@ ELL, SKETCHES = 3, 16
 MIN_HASHES = 64
 MIN_AGREE = 35  # of 64
 SMALL_BUCKET = 16
-MAX_LEVELS = 4
+MAX_LEVELS = 3
 
 ship(__name__)
 
@@ -376,7 +376,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         return pinned(m.join(keys, "key", "left_semi"))
 
     members = pinned(with_centre(buckets(nodes)))
-    for level in range(MAX_LEVELS):
+    for level in range(MAX_LEVELS):  # each level is some thirty jobs
         compare(star_pairs(members))
         rest = mixed(members)
         last = level == MAX_LEVELS - 1
