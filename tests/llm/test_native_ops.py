@@ -259,6 +259,24 @@ def test_leaks_of_the_test_data_against_search(spark):
     assert {(r.doc_id, r.item_id) for r in template_decontaminate.report(docs, items).collect()} == want and want
 
 
+def _leaked(spark, items, texts):
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in template_decontaminate.report(docs, items).collect()}
+
+
+def test_leaks_check_only_the_slots_under_the_windows(spark):
+    run = " ".join(f"plain{i}" for i in range(30))
+    item = f"{run} then Ann met Bob and Carl and gave 12 to Dora and 15 to Emil"
+    names = " ".join(f"when Ann saw number{i} of the things" for i in range(8))
+    texts = [
+        f"{run} but Zoe and Zoe and Zoe and Zoe and 7 and 7 and Zoe Zoe Zoe Zoe Zoe",  # foreign words after the passage
+        names.replace("Ann", "Eve", 1),  # one of eight changed in 48 words
+        item.replace("Ann", "Ina"),
+    ]
+    assert _leaked(spark, [item, names], texts) == {(0, 0), (1, 1), (2, 0)}
+
+
 def _rule(host, path):
     best = None
     for verdict, h, p in url_filter.RULES:
