@@ -277,6 +277,20 @@ def test_leaks_check_only_the_slots_under_the_windows(spark):
     assert _leaked(spark, [item, names], texts) == {(0, 0), (1, 1), (2, 0)}
 
 
+def test_leaks_with_edited_words(spark):
+    words = [f"plain{i}" for i in range(38)]
+    put = lambda w, at, x, drop=0: " ".join([*w[:at], *x, *w[at + drop :]])
+    texts = [
+        "so it is " + put(words, 19, ["extra"]) + " and on", put(words, 19, [], 1), put(words, 19, ["pla", "in19"], 1),
+        put(words[:15], 7, ["other"], 1), put(words[:16], 8, ["other"], 1), " ".join(words[:10] + ["x"] * 40 + words[28:]),
+        "aa bb cc dd ee ff gg hh ii jj",
+    ]
+    repeated = " ".join(["aa bb cc dd ee ff gg hh ii jj"] + ["ee ff gg hh ii jj"] * 2)
+    got = _leaked(spark, [" ".join(words), " ".join(words[:15]), " ".join(words[:16]), repeated], texts)
+    assert {d for d, i in got if i == 0} == {0, 1, 2} and {(3, 1), (4, 2)} <= got
+    assert not {d for d, _ in got} & {5, 6}
+
+
 def _rule(host, path):
     best = None
     for verdict, h, p in url_filter.RULES:

@@ -3,15 +3,17 @@
 Words become templates: numbers, names and units are replaced with typed placeholders, other
 words are lower-cased without punctuation. Windows of template words of the benchmark are
 hash-joined with those of the documents, so a question with other numbers or names in it
-still matches. Matches of one document and item on one alignment (document position minus
-item position) are put together; the slot values under them, and no others, must then be
+still matches. Matches of one document and item are put together whose alignments (document
+position minus item position) differ by a few words at most, so words put in, left out or
+split don't break an item. The slot values under them, and no others, must then be
 consistent: a value of the item always became the same value of the document and no two
 became one. Slots outside the best such mapping (verbatim ones first) deviate. Built-in
 functions only.
 
-A document is reported for an item if windows on one alignment cover at least ``min_cover``
-of the item's words and no slot deviates, or ``min_run`` words without the deviating ones,
-of which there may be one, or a quarter of the slots.
+A document is reported for an item if windows in one band of alignments cover at least
+``min_cover`` of the item's words and no slot deviates, or ``min_run`` words without the
+deviating ones, of which there may be one, or a quarter of the slots. What is covered counts
+in the item and in the document, and the smaller number holds.
 
 Defined results: null and empty texts, and items of fewer than ``MIN_ITEM`` words, match
 nothing; texts of any length are compared whole; repeated documents are reported once per
@@ -27,7 +29,9 @@ from tillroll.llm.common import broadcast_checked, let, row_key, split_words, te
 from tillroll.operators.joins import pinned
 
 WINDOW = 8
+SHORT_ITEM, SHORT_WINDOW = 25, 5  # items of fewer words have shorter windows
 MIN_ITEM = 5
+BAND = 6  # words put in or left out between the matches of one place
 MIN_LITERAL = 3  # words of a window that are no placeholders
 MIN_COVER = 0.7
 MIN_RUN = 25
@@ -90,11 +94,15 @@ def _literal_windows(words: Column, length: int) -> Column:
 
 def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``h``, ``item_id``, ``at``, ``length``, ``n_words`` of the windows of every item; an
-    item shorter than the window is one window."""
+    item shorter than ``window`` is one window, and items of fewer than ``SHORT_ITEM`` words
+    have windows of ``SHORT_WINDOW`` besides."""
     rows = items.select(items[item_id].alias("item_id"), split_words(text_of(items[text])).alias("w")).where(F.size("w") >= MIN_ITEM)
     out = None
     for length in range(MIN_ITEM, window + 1):
-        some = rows.where(F.size("w") >= length if length == window else F.size("w") == length)
+        mine = F.size("w") >= length if length == window else F.size("w") == length
+        if length == SHORT_WINDOW:
+            mine = mine | F.size("w").between(length, SHORT_ITEM - 1)
+        some = rows.where(mine)
         part = some.select(
             "item_id",
             F.size("w").alias("n_words"),
@@ -150,24 +158,40 @@ def _deviating(pairs: Column) -> Column:
     return F.when(F.forall(pairs, lambda p: p["a"] == p["b"]), 0).otherwise(F.aggregate(ranked, start, step, lambda a: a["n"]))
 
 
+def _union(spans: Column) -> Column:
+    """Words under sorted (at, length) spans."""
+    step = lambda acc, x: F.struct(
+        F.greatest(acc["end"], x["at"] + x["length"]).alias("end"),
+        (acc["n"] + F.greatest(F.lit(0), x["at"] + x["length"] - F.greatest(acc["end"], x["at"]))).alias("n"),
+    )
+    return F.aggregate(spans, F.struct(F.lit(-1_000_000).alias("end"), F.lit(0).alias("n")), step, lambda a: a["n"])
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-          item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER, min_run: int = MIN_RUN) -> DataFrame:
+          item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER, min_run: int = MIN_RUN,
+          band: int = BAND) -> DataFrame:
     """``_rk``, ``_tk``, ``doc_id``, ``item_id``, ``start`` (word of the document where the
-    item begins), ``covered`` and ``n_words`` (words of the item), ``n_slots``."""
+    item begins), ``covered`` and ``n_words`` (words of the item), ``n_slots`` under the
+    windows. One place may be reported with two starts that differ by ``band`` at most."""
     found = matches(docs, items, doc_id, text, window, item_id, item_text)
-    lined = found.groupBy("_rk", "_tk", "doc_id", "item_id", "shift", "n_words").agg(
-        F.array_sort(F.collect_set(F.struct("at", "length"))).alias("hits")
+    keys = ["_rk", "_tk", "doc_id", "item_id", "n_words"]
+    lined = found.groupBy(*keys, "shift").agg(F.array_sort(F.collect_set(F.struct("at", "length"))).alias("hits"))
+    # zones of alignments: any two that differ by the band at most share one
+    zones = [(F.floor((F.col("shift") + k * band) / (2 * band)) * 2 + k).alias("zone") for k in (0, 1)]
+    lined = lined.select("*", F.explode(F.array(*zones)).alias("zone")).groupBy(*keys, "zone").agg(
+        F.array_sort(F.collect_list(F.struct((-F.size("hits")).alias("w"), "shift", "hits"))).alias("lines")
     )
+    # every hit, those of the alignment with most of them first
+    hits = F.flatten(F.transform("lines", lambda x: F.transform(x["hits"], lambda y: F.struct(y["at"].alias("at"), y["length"].alias("length"), x["shift"].alias("shift")))))
+    lined = lined.withColumn("hits", hits).drop("lines")
+    in_item = F.array_sort(F.transform("hits", lambda x: F.struct(x["at"].alias("at"), x["length"].alias("length"))))
+    in_doc = F.array_sort(F.transform("hits", lambda x: F.struct((x["at"] + x["shift"]).alias("at"), x["length"].alias("length"))))
     # words of the item under the windows: at most as many as the item has
-    step = lambda acc, x: F.struct(
-        (x["at"] + x["length"]).alias("end"),
-        (acc["n"] + F.least(x["length"], x["at"] + x["length"] - acc["end"])).alias("n"),
-    )
-    covered = F.aggregate("hits", F.struct(F.lit(-1_000_000).alias("end"), F.lit(0).alias("n")), step, lambda a: a["n"])
-    lined = lined.withColumn("covered", covered).where(
+    lined = lined.withColumn("covered", F.least(_union(in_item), _union(in_doc))).where(
         (F.col("covered") >= F.col("n_words") * min_cover) | (F.col("covered") >= min_run)
     )
-    lined = pinned(lined)
+    first = F.array_min(F.transform("hits", lambda x, i: F.struct(x["at"].alias("at"), i.alias("i"), x["shift"].alias("shift"))))
+    lined = pinned(lined.withColumn("shift", first["shift"]).drop("zone").distinct())
     # slots: the item's placeholder words under the windows against the document's words there
     w = items.select(items[item_id].alias("item_id"), split_words(text_of(items[item_text])).alias("iw"))
     w = w.withColumn("it", templates(F.col("iw")))
@@ -177,8 +201,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     )
     w = w.select("item_id", slots.alias("slots"))
     some = lined.join(broadcast_checked(w), "item_id")
-    under = lambda s: F.exists("hits", lambda x: (x["at"] <= s["i"]) & (s["i"] < x["at"] + x["length"]))
-    some = some.withColumn("slots", F.filter("slots", under))
+    # the alignments on which a slot stands under a window
+    over = lambda s: F.array_distinct(F.transform(
+        F.filter("hits", lambda x: (x["at"] <= s["i"]) & (s["i"] < x["at"] + x["length"])), lambda x: x["shift"]
+    ))
+    at = F.transform("slots", lambda s: F.struct(s["i"].alias("i"), s["t"].alias("t"), s["a"].alias("a"), over(s).alias("over")))
+    some = some.withColumn("slots", F.filter(at, lambda s: F.size(s["over"]) > 0))
     plain = some.where("size(slots) = 0").select(*lined.columns, F.lit(0).alias("n_slots"))
     slotted = pinned(some.where("size(slots) > 0"))
     rk, tk = row_key(docs, doc_id, text)
@@ -186,10 +214,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     wanted = broadcast_checked(slotted.select("_rk", "_tk").distinct())
     texts = texts.join(wanted, ["_rk", "_tk"], "left_semi").dropDuplicates(["_rk", "_tk"])
     bare = lambda x: F.regexp_replace(F.lower(x), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    values = lambda s: F.transform(s["over"], lambda d: F.coalesce(bare(F.get("w", s["i"] + d)), F.lit("")))
+    read = F.transform("slots", lambda s: F.struct(s["t"].alias("t"), bare(s["a"]).alias("a"), values(s).alias("b")))
     pairs = F.transform(
-        "slots",
+        read,
         lambda s: F.struct(
-            s["t"].alias("t"), bare(s["a"]).alias("a"), F.coalesce(bare(F.get("w", s["i"] + F.col("shift"))), F.lit("")).alias("b")
+            s["t"].alias("t"), s["a"].alias("a"), F.when(F.array_contains(s["b"], s["a"]), s["a"]).otherwise(s["b"][0]).alias("b")
         ),
     )
     checked = slotted.join(texts, ["_rk", "_tk"]).withColumn("dev", let(pairs, _deviating)).where(
@@ -204,9 +234,16 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """One row per document and leaked item: the best alignment."""
     found = leaks(docs, items, **options)
     best = F.max(F.struct("covered", (-F.col("start")).alias("s"), "n_words", "n_slots"))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b"), F.count("*").alias("n_places")).select(
+    band = options.get("band", BAND)
+    step = lambda acc, x: F.struct(
+        F.when(x > acc["end"] + band, x).otherwise(acc["end"]).alias("end"),
+        (acc["n"] + (x > acc["end"] + band).cast("long")).alias("n"),
+    )
+    apart = F.aggregate("starts", F.struct(F.lit(-1_000_000).alias("end"), F.lit(0).cast("long").alias("n")), step, lambda a: a["n"])
+    rows = found.groupBy("doc_id", "item_id").agg(best.alias("b"), F.array_sort(F.collect_set("start")).alias("starts"))
+    return rows.select(
         "doc_id", "item_id", (-F.col("b.s")).cast("long").alias("start_word"), F.col("b.covered").cast("long").alias("covered_words"),
-        F.col("b.n_words").cast("long").alias("item_words"), F.col("b.n_slots").cast("long").alias("n_slots"), "n_places",
+        F.col("b.n_words").cast("long").alias("item_words"), F.col("b.n_slots").cast("long").alias("n_slots"), apart.alias("n_places"),
     )
 
 
