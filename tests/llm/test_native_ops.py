@@ -291,6 +291,18 @@ def test_leaks_with_edited_words(spark):
     assert not {d for d, _ in got} & {5, 6}
 
 
+def test_verbatim_leaks_always_match(spark):
+    items = [
+        "12 + 34 - 5 * 6 = ?", "Rivers carry sand to sea", "Who wrote it?", "7 8 9 10 11 12 13 14 15 16 17 18",
+        "Smith has some old red books there",
+    ]
+    texts = [
+        "Compute now: 12 + 34 - 5 * 6 = ? Thanks", 'A heading "Rivers carry sand to sea" and more', "and so, Who wrote it? Nobody",
+        "x 7 8 9 10 11 12 13 14 15 16 17 18 y", "12 + 35 - 5 / 6 = ?", "who wrote that", "Jones has some old red books there",
+    ]
+    assert _leaked(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 4)}
+
+
 def _rule(host, path):
     best = None
     for verdict, h, p in url_filter.RULES:

@@ -3,7 +3,8 @@
 Words become templates: numbers, names and units are replaced with typed placeholders, other
 words are lower-cased without punctuation. Windows of template words of the benchmark are
 hash-joined with those of the documents, so a question with other numbers or names in it
-still matches. Matches of one document and item are put together whose alignments (document
+still matches; windows of plain words are in the same join, so a verbatim copy matches
+whatever its words are and whatever stands around it. Matches of one document and item are put together whose alignments (document
 position minus item position) differ by a few words at most, so words put in, left out or
 split don't break an item. The slot values under them, and no others, must then be
 consistent: a value of the item always became the same value of the document and no two
@@ -15,8 +16,8 @@ A document is reported for an item if windows in one band of alignments cover at
 deviating ones, of which there may be one, or a quarter of the slots. What is covered counts
 in the item and in the document, and the smaller number holds.
 
-Defined results: null and empty texts, and items of fewer than ``MIN_ITEM`` words, match
-nothing; texts of any length are compared whole; repeated documents are reported once per
+Defined results: null and empty texts match nothing; items of fewer than ``MIN_ITEM`` words
+match word for word only; texts of any length are compared whole; repeated documents are reported once per
 id, repeated items by their ids; empty tables give no rows. Extra columns are not used.
 """
 
@@ -30,7 +31,8 @@ from tillroll.operators.joins import pinned
 
 WINDOW = 8
 SHORT_ITEM, SHORT_WINDOW = 25, 5  # items of fewer words have shorter windows
-MIN_ITEM = 5
+TINY_ITEM, LEAST_WINDOW = 11, 3  # and of still fewer plain words
+MIN_ITEM = 5  # shorter ones match as plain words only
 BAND = 6  # words put in or left out between the matches of one place
 MIN_LITERAL = 3  # words of a window that are no placeholders
 MIN_COVER = 0.7
@@ -46,70 +48,125 @@ UNITS = (
 ).split()
 
 
-def templates(words: Column) -> Column:
-    """The template word of each word."""
+def readings(words: Column) -> Column:
+    """Of each word its template word ``t``, its plain word ``e`` (numbers by value, other
+    words without punctuation, those of nothing else as they are), ``bare``, and whether it
+    begins with a capital (``up``) or is a unit word (``unit``)."""
     units = F.array(*[F.lit(u) for u in UNITS])
-    is_number = lambda w: F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}"))
 
-    def one(w: Column, i: Column) -> Column:
+    def parts(w: Column) -> Column:
         low = F.lower(w)
-        bare = F.regexp_replace(low, r"[^\p{L}\p{N}]+", "")
-        before = F.get(words, i - 1)
-        # a capital that doesn't begin the text or a sentence begins a name
-        name = (w != low) & (i > 0) & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}")) & ~F.regexp_like(before, F.lit(r"[.!?:|]$"))
-        return (
-            F.when(is_number(w), NUMBER)
-            .when(name, NAME)
-            .when(F.array_contains(units, bare) & (i > 0) & F.coalesce(is_number(before), F.lit(False)), UNIT)
-            .otherwise(bare)
-        )
-
-    return F.transform(words, one)
-
-
-def window_hashes(words: Column, length: int) -> Column:
-    """Hash of the template window that starts at each position; null if it has too few
-    literal words."""
-
-    def windows(h: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(h) - length)
-        return F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(length)], F.lit(length)))
-
-    return F.when(
-        F.size(words) >= length, let(F.transform(templates(words), lambda t: F.xxhash64(t)), windows)
-    ).otherwise(F.array().cast("array<bigint>"))
-
-
-def _literal_windows(words: Column, length: int) -> Column:
-    """Whether the window at each position has enough literal words."""
-    slots = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT), F.lit(""))
-    return let(
-        F.transform(templates(words), lambda t: F.array_contains(slots, t).cast("int")),
-        lambda s: F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(s) - length, F.lit(0))),
-            lambda i: F.aggregate(F.slice(s, i + 1, length), F.lit(0), lambda a, x: a + x) <= length - min(MIN_LITERAL, length),
+        return F.struct(
+            low.alias("low"), F.regexp_replace(low, r"[^\p{L}\p{N}]+", "").alias("bare"),
+            F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}")).alias("number"),
+            ((w != low) & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}"))).alias("up"),
+            F.substr(w, F.lit(-1), F.lit(1)).isin(*".!?:|").alias("end"),
+        )
+
+    def of(known: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            before = F.get(known, i - 1)
+            # a capital that doesn't begin the text or a sentence begins a name
+            name = x["up"] & (i > 0) & ~before["end"]
+            unit = F.array_contains(units, x["bare"])
+            template = (
+                F.when(x["number"], NUMBER).when(name, NAME)
+                .when((i > 0) & F.coalesce(before["number"], F.lit(False)) & unit, UNIT).otherwise(x["bare"])
+            )
+            plain = (
+                F.when(x["number"], F.regexp_replace(x["low"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+                .when(x["bare"] == "", x["low"]).otherwise(x["bare"])
+            )
+            return F.struct(template.alias("t"), plain.alias("e"), x["bare"].alias("bare"), x["up"].alias("up"), unit.alias("unit"))
+
+        return F.transform(known, one)
+
+    return let(F.transform(words, parts), of)
+
+
+def _hash(words: list[Column], length: int) -> Column:
+    return F.xxhash64(*words, F.lit(length))
+
+
+def windows_of(words: Column, template: list[int], plain: list[int]) -> Column:
+    """Per position the hashes of the windows that start there: of template words (with the
+    first word also read as a name, if a capital begins it) and of plain words."""
+    name = F.xxhash64(F.lit(NAME))
+
+    def at(x: Column) -> Column:
+        def one(i: Column) -> Column:
+            out, first = [], F.get(x, i)
+            for length in template:
+                rest = [F.get(x, i + k)["t"] for k in range(1, length)]
+                fits = i + length <= F.size(x)
+                out.append(F.when(fits, _hash([first["t"], *rest], length)))
+                out.append(F.when(fits & first["named"], _hash([name, *rest], length)))
+            for length in plain:
+                out.append(F.when(i + length <= F.size(x), _hash([F.get(x, i + k)["e"] for k in range(length)], length)))
+            # a window without slots reads the same both ways
+            return F.array_distinct(F.array_compact(F.array(*out))) if out else F.array().cast("array<bigint>")
+
+        return F.transform(F.sequence(F.lit(0), F.size(x) - 1), one)
+
+    hashed = F.transform(
+        readings(words),
+        lambda r: F.struct(
+            F.xxhash64(r["t"]).alias("t"), F.xxhash64(r["e"]).alias("e"), (r["up"] & (r["t"] == r["bare"])).alias("named")
         ),
     )
+    return F.when(F.size(words) > 0, let(hashed, at)).otherwise(F.array().cast("array<array<bigint>>"))
 
 
 def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``h``, ``item_id``, ``at``, ``length``, ``n_words`` of the windows of every item; an
-    item shorter than ``window`` is one window, and items of fewer than ``SHORT_ITEM`` words
-    have windows of ``SHORT_WINDOW`` besides."""
-    rows = items.select(items[item_id].alias("item_id"), split_words(text_of(items[text])).alias("w")).where(F.size("w") >= MIN_ITEM)
-    out = None
-    for length in range(MIN_ITEM, window + 1):
-        mine = F.size("w") >= length if length == window else F.size("w") == length
+    """``h``, ``item_id``, ``at``, ``length``, ``plain``, ``n_words`` of the windows of every
+    item. Template windows: an item shorter than ``window`` is one, and items of fewer than
+    ``SHORT_ITEM`` words have windows of ``SHORT_WINDOW`` besides; the first word is read in
+    every way that its context may make of it. Plain windows: of ``SHORT_WINDOW`` words, of
+    ``LEAST_WINDOW`` in items of fewer than ``TINY_ITEM``, the whole of a shorter item."""
+    words = items.select(items[item_id].alias("item_id"), split_words(text_of(items[text])).alias("w"))
+    words = words.where(F.size("w") > 0)
+    rows = words.select("item_id", F.size("w").alias("n_words"), readings(F.col("w")).alias("r"))
+    slots = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT), F.lit(""))
+    n = F.col("n_words")
+
+    def placed(some: DataFrame, length: int) -> DataFrame:
+        return some.select("item_id", "n_words", F.explode(F.sequence(F.lit(0), n - length)).alias("at"), "r").select(
+            "item_id", "n_words", "at", F.slice("r", F.col("at") + 1, length).alias("x")
+        )
+
+    columns = ["h", "item_id", "at", "length", "plain", "n_words"]
+    out = []
+    for length in sorted({*range(MIN_ITEM, window + 1), SHORT_WINDOW}):
+        mine = (n >= length) if length == window else (n == length) & (n < window)
+        if length == SHORT_WINDOW:
+            mine = mine | n.between(max(length, MIN_ITEM), SHORT_ITEM - 1)
+        x0 = F.get("x", F.lit(0))
+        ways = F.array_distinct(F.array_compact(F.array(
+            x0["t"], F.when(x0["t"].isin(NAME, UNIT), x0["bare"]), F.when(x0["up"] & (x0["t"] == x0["bare"]), NAME),
+            F.when(x0["unit"], UNIT),
+        )))
+        part = placed(rows.where(mine), length).select("*", F.explode(ways).alias("t0"))
+        read = F.concat(F.array("t0"), F.transform(F.slice("x", 2, length), lambda r: r["t"]))
+        part = part.withColumn("read", read)
+        literal = length - F.size(F.filter("read", lambda t: F.array_contains(slots, t)))
+        out.append(part.where(literal >= min(MIN_LITERAL, length)).select(
+            _hash([F.xxhash64(F.get("read", F.lit(k))) for k in range(length)], length).alias("h"),
+            "item_id", "at", F.lit(length).alias("length"), F.lit(False).alias("plain"), "n_words",
+        ))
+    for length in sorted({*range(1, MIN_ITEM), LEAST_WINDOW, SHORT_WINDOW}):
+        mine = n == length if length < MIN_ITEM else F.lit(False)
+        if length == LEAST_WINDOW:
+            mine = mine | n.between(MIN_ITEM, TINY_ITEM - 1)
         if length == SHORT_WINDOW:
-            mine = mine | F.size("w").between(length, SHORT_ITEM - 1)
-        some = rows.where(mine)
-        part = some.select(
-            "item_id",
-            F.size("w").alias("n_words"),
-            F.posexplode(F.arrays_zip(window_hashes(F.col("w"), length).alias("h"), _literal_windows(F.col("w"), length).alias("ok"))).alias("at", "x"),
-        ).where("x.ok").select(F.col("x.h").alias("h"), "item_id", "at", F.lit(length).alias("length"), "n_words")
-        out = part if out is None else out.union(part)
-    return out.distinct()
+            mine = mine | (n >= TINY_ITEM)
+        out.append(placed(rows.where(mine), length).select(
+            _hash([F.xxhash64(F.get("x", F.lit(k))["e"]) for k in range(length)], length).alias("h"),
+            "item_id", "at", F.lit(length).alias("length"), F.lit(True).alias("plain"), "n_words",
+        ))
+    both = out[0]
+    for part in out[1:]:
+        both = both.union(part)
+    return both.select(*columns).distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
@@ -117,18 +174,16 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """``_rk``, ``_tk``, ``doc_id``, ``item_id``, ``shift``, ``at`` (of the item), ``length``,
     ``n_words``: every window of an item that stands in a document."""
     bench = pinned(benchmark_windows(items, item_id, item_text, window))
-    lengths = sorted(r[0] for r in bench.select("length").distinct().collect())  # at most window values
-    sides = broadcast_checked(bench)
+    kinds = [tuple(r) for r in bench.select("plain", "length").distinct().collect()]  # at most window + 5
+    sides = broadcast_checked(bench.drop("plain").distinct())
     rk, tk = row_key(docs, doc_id, text)
     rows = docs.select(rk, tk, docs[doc_id].alias("doc_id"), split_words(text_of(docs[text])).alias("w"))
-    out = None
-    for length in lengths or [window]:
-        found = rows.select("_rk", "_tk", "doc_id", F.posexplode(window_hashes(F.col("w"), length)).alias("p", "h"))
-        part = found.join(sides.where(F.col("length") == length), "h").select(
-            "_rk", "_tk", "doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", "length", "n_words"
-        )
-        out = part if out is None else out.union(part)
-    return out
+    hashes = windows_of(F.col("w"), sorted(n for p, n in kinds if not p), sorted(n for p, n in kinds if p))
+    found = rows.select("_rk", "_tk", "doc_id", F.posexplode(hashes).alias("p", "hs"))
+    found = found.select("_rk", "_tk", "doc_id", "p", F.explode("hs").alias("h"))
+    return found.join(sides, "h").select(
+        "_rk", "_tk", "doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", "length", "n_words"
+    )
 
 
 def _deviating(pairs: Column) -> Column:
@@ -194,11 +249,14 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     lined = pinned(lined.withColumn("shift", first["shift"]).drop("zone").distinct())
     # slots: the item's placeholder words under the windows against the document's words there
     w = items.select(items[item_id].alias("item_id"), split_words(text_of(items[item_text])).alias("iw"))
-    w = w.withColumn("it", templates(F.col("iw")))
+    w = w.withColumn("it", readings(F.col("iw")))
+    # words that begin with a capital are names in some contexts
     slots = F.filter(
-        F.transform("it", lambda t, i: F.struct(i.alias("i"), t.alias("t"), F.lower(F.get("iw", i)).alias("a"))),
-        lambda s: (s["t"] == NUMBER) | (s["t"] == NAME) | (s["t"] == UNIT),
-    )
+        F.transform("it", lambda r, i: F.struct(
+            i.alias("i"), F.when(r["up"] & ~r["t"].isin(NUMBER, UNIT), NAME).otherwise(r["t"]).alias("t"), F.lower(F.get("iw", i)).alias("a")
+        )),
+        lambda s: s["t"].isin(NUMBER, NAME, UNIT),
+    )
     w = w.select("item_id", slots.alias("slots"))
     some = lined.join(broadcast_checked(w), "item_id")
     # the alignments on which a slot stands under a window
