@@ -80,6 +80,25 @@ def test_chat_round_trip_of_every_layout(spark):
     assert [t.role for t in back[1].turns] == ["user", "assistant"]
 
 
+def test_chat_records_with_fields_of_two_layouts(spark):
+    said = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    speak = [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]
+    qa = [("user", "q"), ("assistant", "a")]
+    cases = [
+        ({"prompt": "p", "messages": said}, "messages", qa),
+        ({"system": "s", "conversations": speak}, "share_system", [("system", "s"), *qa]),
+        ({"system": None, "messages": said}, "messages_system", qa),
+        ({"system": "s", "instruction": "i", "input": "n", "output": "o"}, "instruction_input_system",
+         [("system", "s"), ("user", "i"), ("user", "n"), ("assistant", "o")]),
+        ({"question": "q", "answer": "a", "system": "s"}, "question_system", [("system", "s"), *qa]),
+        ({"messages": [{"role": "user", "content": "q", "text": "x"}, {"role": "assistant", "text": "a"}]}, "messages", qa),
+        ({"messages": [], "prompt": "q", "response": "a", "completion": "c"}, "prompt", qa),
+        ({"system": "s", "prompt": "q"}, None, []),
+    ]
+    made = chat_format.format_records(spark.createDataFrame([(json.dumps(x),) for x, _, _ in cases], "record string")).collect()
+    assert [(r.layout, [(t.role, t.text) for t in r.turns]) for r in made] == [(n, t) for _, n, t in cases]
+
+
 def test_chat_query_equals_sql_and_takes_odd_rows(spark):
     from tests.compare import compare, duck
 

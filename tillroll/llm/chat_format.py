@@ -1,23 +1,24 @@
-"""Chat formatting by schema fingerprints.
+"""Chat formatting by schema fingerprints (sets of field paths).
 
-A record is a JSON object in one of several layouts. The set of its nested field paths, cut
-down to the names that layouts use, is hashed; the hash selects a declarative mapping (where
-the turns are, which fields hold role and text, how role names translate) that converts the
-record into canonical turns. Turns are written under a template that marks them; control
+A record is a JSON object in one of several layouts. The set of its nested field paths selects
+a declarative mapping (where the turns are, which fields hold role and text, how role names
+translate), the first one all of whose paths the record has, and it converts the record into
+canonical turns. Turns are written under a template that marks them; control
 strings inside texts are escaped so that reading back gives the very same turns. A loss mask
 goes with the output as run lengths. Built-in functions only.
 
 Defined results: a null text is the empty text, a null role the empty role; a record that is
 null, no JSON object or in no known layout gets layout null and no turns; repeated rows of a
 conversation table stay separate turns, ordered by turn, role, text; a null conversation id
-is a conversation of its own; an empty table gives no rows; extra fields of a record and
-extra columns don't change its layout.
+is a conversation of its own; an empty table gives no rows; extra fields of a record, also
+those of layouts further down the list, and extra columns don't change its layout.
 """
 
 from __future__ import annotations
 
-import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,10 @@ TURNS = "array<struct<role:string,text:string>>"
 
 @dataclass(frozen=True)
 class Layout:
-    """A mapping: ``turns`` is the field of an array of objects with ``role`` and ``text``
-    fields, or, without it, ``single`` names (role, field) pairs at the top, those absent or
-    null giving no turn. ``roles`` translates role names, others stay."""
+    """A mapping: ``single`` names (role, field) pairs at the top, those null giving no turn;
+    after them, ``turns`` is the field of an array of objects with ``role`` and ``text``
+    fields, where ``also`` is read if ``text`` is absent or null. ``roles`` translates role
+    names, others stay."""
 
     name: str
     turns: str = ""
@@ -40,32 +42,31 @@ class Layout:
     text: str = ""
     single: tuple[tuple[str, str], ...] = ()
     roles: tuple[tuple[str, str], ...] = ()
+    also: str = ""
 
     def paths(self) -> tuple[str, ...]:
-        if self.turns:
-            return tuple(sorted((self.turns, f"{self.turns}.{self.role}", f"{self.turns}.{self.text}")))
-        return tuple(sorted(f for _, f in self.single))
+        inner = (self.turns, f"{self.turns}.{self.role}", f"{self.turns}.{self.text}") if self.turns else ()
+        return tuple(sorted((*inner, *(f for _, f in self.single))))
 
-
-def fingerprint_of(paths: tuple[str, ...]) -> str:
-    return hashlib.sha256(",".join(paths).encode()).hexdigest()
+    def with_system(self) -> Layout:
+        return replace(self, name=f"{self.name}_system", single=(("system", "system"), *self.single))
 
 
 SPEAKERS = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))
-# Layouts that are in public use; the ones with fewer fields are those whose
-# optional fields are absent.
-LAYOUTS = (
-    Layout("messages", "messages", "role", "content"),
+# Layouts that are in public use, by priority: whole conversations before single
+# fields, and of the same kind the one with more fields first.
+_PLAIN = (
+    Layout("messages", "messages", "role", "content", also="text"),
     Layout("messages_text", "messages", "role", "text"),
     Layout("share", "conversations", "from", "value", roles=SPEAKERS),
     Layout("share_role", "conversations", "role", "content"),
     Layout("prompt", single=(("user", "prompt"), ("assistant", "response"))),
-    Layout("prompt_system", single=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
     Layout("completion", single=(("user", "prompt"), ("assistant", "completion"))),
-    Layout("instruction", single=(("user", "instruction"), ("assistant", "output"))),
     Layout("instruction_input", single=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
+    Layout("instruction", single=(("user", "instruction"), ("assistant", "output"))),
     Layout("question", single=(("user", "question"), ("assistant", "answer"))),
 )
+LAYOUTS = tuple(y for x in _PLAIN for y in (x.with_system(), x))
 NAMES = sorted({p for x in LAYOUTS for p in x.paths()})
 
 
@@ -85,43 +86,53 @@ def field_paths(record: Column) -> Column:
     return F.array_sort(F.array_intersect(found, F.array(*[F.lit(n) for n in NAMES])))
 
 
-def fingerprint(record: Column) -> Column:
-    return F.sha2(F.array_join(field_paths(record), ","), 256)
+def layout_of(record: Column) -> Column:
+    """The name of the first layout all of whose paths the record has."""
+
+    def first(paths: Column) -> Column:
+        out = F
+        for x in LAYOUTS:
+            out = out.when(reduce(and_, [F.array_contains(paths, p) for p in x.paths()]), x.name)
+        return out
+
+    return let(field_paths(record), first)
 
 
 def _turns(record: Column, layout: Layout) -> Column:
     roles = F.create_map(*[F.lit(x) for pair in layout.roles for x in pair]) if layout.roles else None
     named = (lambda r: F.coalesce(F.try_element_at(roles, r), r)) if layout.roles else (lambda r: r)
+    fields = [f"`{f}`:string" for _, f in layout.single]
     if layout.turns:
-        schema = f"struct<`{layout.turns}`:array<struct<`{layout.role}`:string,`{layout.text}`:string>>>"
-        items = F.from_json(record, schema)[layout.turns]
-        return F.transform(
-            F.coalesce(items, F.array().cast(f"array<struct<`{layout.role}`:string,`{layout.text}`:string>>")),
+        inner = ",".join(f"`{f}`:string" for f in (layout.role, layout.text, layout.also) if f)
+        fields.append(f"`{layout.turns}`:array<struct<{inner}>>")
+
+    def read(r: Column) -> Column:
+        top = F.filter(
+            F.array(*[F.struct(F.lit(role).alias("role"), r[f].alias("text")) for role, f in layout.single]).cast(TURNS),
+            lambda t: t["text"].isNotNull(),
+        )
+        if not layout.turns:
+            return top
+        texts = lambda i: [i[f] for f in (layout.text, layout.also) if f]
+        listed = F.transform(
+            F.coalesce(r[layout.turns], F.array().cast(f"array<struct<{inner}>>")),
             lambda i: F.struct(
                 F.coalesce(named(i[layout.role]), F.lit("")).alias("role"),
-                F.coalesce(i[layout.text], F.lit("")).alias("text"),
+                F.coalesce(*texts(i), F.lit("")).alias("text"),
             ),
         )
-    schema = "struct<" + ",".join(f"`{f}`:string" for _, f in layout.single) + ">"
-    return let(
-        F.from_json(record, schema),
-        lambda r: F.filter(
-            F.array(*[F.struct(F.lit(role).alias("role"), r[f].alias("text")) for role, f in layout.single]),
-            lambda t: t["text"].isNotNull(),
-        ),
-    )
+        return F.concat(top, listed.cast(TURNS)) if layout.single else listed
+
+    return let(F.from_json(record, f"struct<{','.join(fields)}>"), read)
 
 
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
-    """Adds ``layout`` and ``turns`` by each record's fingerprint."""
-    marked = records.withColumn("_print", fingerprint(F.col(record)))
-    name, turns = None, None
+    """Adds ``layout`` and ``turns`` by each record's field paths."""
+    marked = records.withColumn("layout", layout_of(F.col(record)))
+    turns = F
     for x in LAYOUTS:
-        hit = F.col("_print") == fingerprint_of(x.paths())
-        value = _turns(F.col(record), x).cast(TURNS)
-        name = F.when(hit, x.name) if name is None else name.when(hit, x.name)
-        turns = F.when(hit, value) if turns is None else turns.when(hit, value)
-    return marked.withColumns({"layout": name, "turns": F.coalesce(turns, F.array().cast(TURNS))}).drop("_print")
+        turns = turns.when(F.col("layout") == x.name, _turns(F.col(record), x).cast(TURNS))
+    return marked.withColumn("turns", F.coalesce(turns, F.array().cast(TURNS)))
 
 
 def escape(text: Column) -> Column:
