@@ -159,6 +159,15 @@ def test_near_duplicates_of_odd_rows(spark):
     assert order_minhash.report(empty(spark)).count() == 0 == order_minhash.keep_one(empty(spark)).count()
 
 
+def test_near_duplicates_return_only_what_is_exact(spark):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = [(i, _edited(rnd, base, 1), None, None) for i in range(12)]  # a class whose members are not all compared
+    got = order_minhash.report(documents(spark, texts))
+    assert got.columns == ["doc_id", "class_id"]
+    assert {(r.doc_id, r.class_id) for r in got.collect()} == {(i, 0) for i in range(12)}
+
+
 def test_pipeline_stages_by_hand(spark):
     import corpus_pipeline as P
     from tests.llm.test_native_ops import _statistics

@@ -324,8 +324,9 @@ def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``_rk``, ``_tk``, ``doc_id``, ``class_id`` (the least id of the class) and
-    ``n_links`` (of the document's text to other texts) of every document."""
+    """``_rk``, ``_tk``, ``doc_id``, ``class_id`` (the least id of the class) and ``comp`` of
+    every document. Numbers of links are not given: members of one class are not all compared
+    with each other."""
     table = pinned(sketch_table(docs, doc_id, text))
     nodes = pinned(
         table.where("node is not null")
@@ -341,20 +342,19 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         found = docs.select(rk, tk, docs[text].alias("text")).join(broadcast_checked(reps), ["_rk", "_tk"])
         return found.select("node", "text").dropDuplicates(["node"])
 
-    found = comps = tried = None
+    comps = tried = None
 
     def compare(pairs: DataFrame) -> None:
         """Compare pairs not compared before; new links join components."""
-        nonlocal found, comps, tried
+        nonlocal comps, tried
         new = pinned(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if tried is not None and new.isEmpty():
             return
         tried = new if tried is None else tried.union(new)
         linked = links(new, nodes, texts)
         if comps is None:
-            found, comps = linked, pinned(components(linked))
+            comps = pinned(components(linked))
             return
-        found = found.union(linked)
         # components of the components that the new links join, few as a rule
         ends = with_comp(with_comp(linked, "a", "ca"), "b", "cb").select("ca", "cb").where("ca <> cb")
         ends = pinned(ends)
@@ -395,21 +395,19 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         labelled = pinned(with_comp(with_comp(seen.join(nearest, "centre")), "nearest", "near"))
         compare(apart_pairs(labelled))
         members = pinned(with_centre(finer_buckets(seen, beyond)))
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    of = nodes.select("node").join(comps.toDF("node", "comp"), "node", "left").join(degree, "node", "left")
-    of = of.select("node", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    of = nodes.select("node").join(comps.toDF("node", "comp"), "node", "left")
+    of = of.select("node", F.coalesce("comp", "node").alias("comp"))
     rows = table.select("_rk", "_tk", "doc_id", "node").join(of, "node", "left")
     first = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     return rows.join(first, "comp", "left").select(
         "_rk", "_tk", "doc_id",
         F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "comp",
     )
 
 
 def report(docs: DataFrame, **names) -> DataFrame:
-    return classes(docs, **names).select("doc_id", "class_id", "n_links")
+    return classes(docs, **names).select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
