@@ -51,37 +51,40 @@ UNITS = (
 def readings(words: Column) -> Column:
     """Of each word its template word ``t``, its plain word ``e`` (numbers by value, other
     words without punctuation, those of nothing else as they are), ``bare``, and whether it
-    begins with a capital (``up``) or is a unit word (``unit``)."""
+    begins with a capital (``up``)."""
     units = F.array(*[F.lit(u) for u in UNITS])
-
-    def parts(w: Column) -> Column:
-        low = F.lower(w)
+    starts = lambda w, a, b: (w >= a) & (w < b)  # noqa: E731  # most words need no pattern
+    # without punctuation, but for words of nothing else, so words stay in their places
+    rest = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
+    text = F.regexp_replace(F.lower(F.array_join(words, " ")), rf"(?<=[\p{{L}}\p{{N}}]){rest}|{rest}(?=[\p{{L}}\p{{N}}])", "")
+
+    def parts(w: Column, e: Column) -> Column:
+        small = starts(w, "a", "{")
+        up = starts(w, "A", "[") | (~small & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}")) & (w != F.lower(w)))
+        bare = F.when(starts(e, "a", "{") | F.regexp_like(e, F.lit(r"[\p{L}\p{N}]")), e).otherwise("")
         return F.struct(
-            low.alias("low"), F.regexp_replace(low, r"[^\p{L}\p{N}]+", "").alias("bare"),
-            F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}")).alias("number"),
-            ((w != low) & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}"))).alias("up"),
-            F.substr(w, F.lit(-1), F.lit(1)).isin(*".!?:|").alias("end"),
+            w.alias("w"), e.alias("e"), bare.alias("bare"), up.alias("up"),
+            (~small & ~starts(w, "A", "[") & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}"))).alias("number"),
         )
 
     def of(known: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
             before = F.get(known, i - 1)
             # a capital that doesn't begin the text or a sentence begins a name
-            name = x["up"] & (i > 0) & ~before["end"]
-            unit = F.array_contains(units, x["bare"])
+            name = x["up"] & (i > 0) & ~F.substr(before["w"], F.lit(-1), F.lit(1)).isin(*".!?:|")
             template = (
                 F.when(x["number"], NUMBER).when(name, NAME)
-                .when((i > 0) & F.coalesce(before["number"], F.lit(False)) & unit, UNIT).otherwise(x["bare"])
-            )
-            plain = (
-                F.when(x["number"], F.regexp_replace(x["low"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-                .when(x["bare"] == "", x["low"]).otherwise(x["bare"])
+                .when((i > 0) & F.coalesce(before["number"], F.lit(False)) & F.array_contains(units, x["bare"]), UNIT)
+                .otherwise(x["bare"])
             )
-            return F.struct(template.alias("t"), plain.alias("e"), x["bare"].alias("bare"), x["up"].alias("up"), unit.alias("unit"))
+            trimmed = F.regexp_replace(F.lower(x["w"]), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+            return F.struct(
+                template.alias("t"), F.when(x["number"], trimmed).otherwise(x["e"]).alias("e"), x["bare"].alias("bare"), x["up"].alias("up")
+            )
 
         return F.transform(known, one)
 
-    return let(F.transform(words, parts), of)
+    return let(F.zip_with(words, split_words(text), parts), of)
 
 
 def _hash(words: list[Column], length: int) -> Column:
@@ -90,7 +93,7 @@ def _hash(words: list[Column], length: int) -> Column:
 
 def windows_of(words: Column, template: list[int], plain: list[int]) -> Column:
     """Per position the hashes of the windows that start there: of template words (with the
-    first word also read as a name, if a capital begins it) and of plain words."""
+    first word also read as a name, if a capital begins it) and of plain words, with nulls."""
     name = F.xxhash64(F.lit(NAME))
 
     def at(x: Column) -> Column:
@@ -103,8 +106,7 @@ def windows_of(words: Column, template: list[int], plain: list[int]) -> Column:
                 out.append(F.when(fits & first["named"], _hash([name, *rest], length)))
             for length in plain:
                 out.append(F.when(i + length <= F.size(x), _hash([F.get(x, i + k)["e"] for k in range(length)], length)))
-            # a window without slots reads the same both ways
-            return F.array_distinct(F.array_compact(F.array(*out))) if out else F.array().cast("array<bigint>")
+            return F.array(*out).cast("array<bigint>")
 
         return F.transform(F.sequence(F.lit(0), F.size(x) - 1), one)
 
@@ -143,7 +145,7 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
         x0 = F.get("x", F.lit(0))
         ways = F.array_distinct(F.array_compact(F.array(
             x0["t"], F.when(x0["t"].isin(NAME, UNIT), x0["bare"]), F.when(x0["up"] & (x0["t"] == x0["bare"]), NAME),
-            F.when(x0["unit"], UNIT),
+            F.when(x0["bare"].isin(*UNITS), UNIT),
         )))
         part = placed(rows.where(mine), length).select("*", F.explode(ways).alias("t0"))
         read = F.concat(F.array("t0"), F.transform(F.slice("x", 2, length), lambda r: r["t"]))
@@ -180,7 +182,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(rk, tk, docs[doc_id].alias("doc_id"), split_words(text_of(docs[text])).alias("w"))
     hashes = windows_of(F.col("w"), sorted(n for p, n in kinds if not p), sorted(n for p, n in kinds if p))
     found = rows.select("_rk", "_tk", "doc_id", F.posexplode(hashes).alias("p", "hs"))
-    found = found.select("_rk", "_tk", "doc_id", "p", F.explode("hs").alias("h"))
+    found = found.select("_rk", "_tk", "doc_id", "p", F.explode("hs").alias("h")).where("h is not null")
     return found.join(sides, "h").select(
         "_rk", "_tk", "doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", "length", "n_words"
     )
