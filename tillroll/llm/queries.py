@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
     chat_format,
+    curve_clusters,
     histogram_shard,
     kernel_language,
     order_minhash,
     pivotal_mix,
     prefix_tokens,
+    private_data,
     quality_rules,
     secret_scan,
     template_decontaminate,
+    token_alignment,
     url_filter,
 )
 from tillroll.llm.common import table
@@ -44,7 +47,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of near-duplicates and number of links of each document."""
+    """Class of near-duplicates of each document."""
     return order_minhash.report(table(spark, sf_dir, "documents"))
 
 
@@ -73,6 +76,21 @@ def op10_histogram_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shard.report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' encodings of each document."""
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op12_curve_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector after three rounds."""
+    return curve_clusters.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data per document."""
+    return private_data.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,8 +104,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_pivotal_mix,
         op10_histogram_shard,
+        op11_token_alignment,
+        op12_curve_clusters,
+        op13_private_data,
     )
 }
 
 # SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": chat_format.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_format": chat_format.ORACLE,
+    "op12_curve_clusters": curve_clusters.oracle(),
+}
