@@ -141,7 +141,7 @@ def test_approximate_cap_option(spark):
 
 
 def test_rejected_dates_count(spark):
-    from tillroll.plans.clean import rejected_dates
+    from tillroll.operators.profile import profile_pass
 
     df = raw_rows(spark, [("T1", "2024-02-29"), ("T2", "2024-02-30"), ("T3", "garbage"), ("T4", None)])
-    assert rejected_dates(df).first().rejected_dates == 2
+    assert profile_pass(df).first().rejected_dates == 2

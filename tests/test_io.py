@@ -26,7 +26,7 @@ def test_bad_csv_permissive_and_quarantine(spark, tmp_out):
     rows = {r.transaction_id: r for r in df.collect()}
     assert rows["T1"].quantity is None  # malformed int -> NULL in PERMISSIVE mode
     assert rows["T2"].city is None and rows["T2"].discount_pct is None and rows["T2"].payment_method is None
-    valid, quarantined = files.split_missing_ids(df)
+    valid, quarantined = files.quarantine(df)
     assert valid.count() == 2 and quarantined.count() == 1
     from tillroll.plans.clean import with_parsed_date
 
@@ -39,6 +39,81 @@ def test_missing_input_guard(spark, tmp_out):
     assert files.read_summary(spark, os.path.join(tmp_out, "nope.csv"), "summary_city") is None
 
 
+def _file(folder, name, *lines, encoding="utf-8"):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding=encoding) as f:
+        f.write("".join(line + "\n" for line in lines))
+    return path
+
+
+ROW = dict(zip(RAW_SCHEMA.fieldNames(), "T1,2024-01-01,9,C1,S1,Pune,p,c,2,1.5,0.5,3.0,Cash".split(",")))
+TYPED = ("T1", "2024-01-01", 9, "C1", "S1", "Pune", "p", "c", 2, 1.5, 0.5, 3.0, "Cash")
+
+
+def test_columns_are_bound_by_header_name(spark, tmp_out):
+    """Any order, further columns (one without a name), capitals, blanks, a byte order mark."""
+    names = [*reversed(RAW_SCHEMA.fieldNames())]
+    header = ["", "\ufeff" + names[0], names[1].upper(), " " + names[2], *names[3:6], "note", *names[6:]]
+    line = ["0", *[ROW[n] for n in names[:6]], "seen", *[ROW[n] for n in names[6:]]]
+    path = _file(tmp_out, "mixed.csv", ",".join(header), ",".join(line))
+    for corrupt in (False, True):
+        got = files.read_raw_csv(spark, path, with_corrupt=corrupt)
+        assert got.columns == RAW_SCHEMA.fieldNames() + [files.CORRUPT] * corrupt
+        assert tuple(got.first()) == TYPED + (None,) * corrupt
+        assert [tuple(r) for r in got.select("city", "quantity").collect()] == [("Pune", 2)]
+    swapped = _file(tmp_out, "summary.csv", "total_quantity,avg_order_value,num_transactions,total_revenue,category", "7,2.5,3,7.5,x")
+    assert tuple(files.read_summary(spark, swapped, "summary_category").first()) == ("x", 7.5, 3, 2.5, 7)
+    clean = {f.name: "1" for f in CLEAN_SCHEMA} | {"date": "2024-01-01", "city": "Pune"}
+    turned = _file(tmp_out, "clean.csv", ",".join(reversed(clean)), ",".join(reversed(clean.values())))
+    row = files.read_cleaned_csv(spark, turned).first()
+    assert (row.city, str(row.date), row.quantity, row.year_month) == ("Pune", "2024-01-01", 1, "1")
+
+
+def test_a_header_without_a_declared_column_is_refused(spark, tmp_out):
+    names = RAW_SCHEMA.fieldNames()
+    path = _file(tmp_out, "short.csv", ",".join(n for n in names if n not in ("city", "hour")), "T1")
+    with pytest.raises(files.HeaderError, match="hour, city"):
+        files.read_raw_csv(spark, path)
+    with pytest.raises(files.HeaderError):
+        files.read_summary(spark, path, "summary_city")
+    data = _file(tmp_out, "bare.csv", ",".join(ROW.values()))  # no header at all
+    with pytest.raises(files.HeaderError):
+        files.read_raw_csv(spark, data)
+
+
+def test_files_of_one_folder_must_have_one_header(spark, tmp_out):
+    names = RAW_SCHEMA.fieldNames()
+    folder = os.path.join(tmp_out, "parts")
+    _file(folder, "a.csv", ",".join(names), ",".join(ROW.values()))
+    _file(folder, "b.csv", ",".join(names), ",".join(ROW.values()))
+    assert files.read_raw_csv(spark, folder).count() == 2
+    turned = ["city", *[n for n in names if n != "city"]]
+    _file(folder, "c.csv", ",".join(turned), ",".join(ROW[n] for n in turned))
+    with pytest.raises(Exception, match="(?s)CSV header does not conform|header"):
+        files.read_raw_csv(spark, folder).collect()
+
+
+def test_files_without_rows_or_lines(spark, tmp_out):
+    only = _file(tmp_out, "only.csv", ",".join(reversed(RAW_SCHEMA.fieldNames())))
+    assert files.read_raw_csv(spark, only).collect() == []
+    nothing = _file(tmp_out, "nothing.csv")
+    assert files.read_raw_csv(spark, nothing).collect() == []
+    _file(os.path.join(tmp_out, "hidden"), "_SUCCESS")
+    back = files.read_raw_csv(spark, os.path.join(tmp_out, "hidden"))
+    assert back.collect() == [] and back.columns == RAW_SCHEMA.fieldNames()
+
+
+def test_malformed_lines_of_a_reordered_file(spark, tmp_out):
+    names = ["payment_method", *RAW_SCHEMA.fieldNames()[:-1]]
+    bad = ROW | {"quantity": "two", "transaction_id": "T2"}
+    path = _file(tmp_out, "bad.csv", ",".join(names), ",".join(ROW[n] for n in names), ",".join(bad[n] for n in names))
+    raw = files.read_raw_csv(spark, path, with_corrupt=True)
+    good, rejected = files.quarantine(raw.cache())
+    assert [r.transaction_id for r in good.collect()] == ["T1"]
+    assert [(r.reason, r.payment_method) for r in rejected.collect()] == [("corrupt_record", "Cash")]
+
+
 def test_csv_round_trip_raw(spark, sf_small, tmp_out):
     raw = raw_table(spark, sf_small)
     path = files.write_csv(raw, os.path.join(tmp_out, "raw_csv"))

@@ -17,13 +17,6 @@ def with_parsed_date(df: DataFrame) -> DataFrame:
     return df.withColumn("date", parse_date("date"))
 
 
-def rejected_dates(raw: DataFrame) -> DataFrame:
-    """One row: how many non-empty date strings do not parse (they become NULL dates)."""
-    return raw.agg(
-        F.count_if(F.col("date").isNotNull() & parse_date("date").isNull()).alias("rejected_dates")
-    )
-
-
 def with_amount(df: DataFrame) -> DataFrame:
     """``total_amount_clean``: recomputed from price, capped quantity and discount."""
     return df.withColumn(

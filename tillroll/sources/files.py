@@ -11,6 +11,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tillroll.schema import CLEAN_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMAS
 
 
+class HeaderError(ValueError):
+    """A file's header lacks a declared column."""
+
+
 class MissingInputError(FileNotFoundError):
     """An input path does not exist (run the pipeline that produces it first)."""
 
@@ -24,14 +28,59 @@ def _guard(read, path: str, what: str) -> DataFrame:
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "PERMISSIVE", what: str = "input") -> DataFrame:
+def _header(spark: SparkSession, path: str, what: str) -> list[str]:
+    """The column names in the first line that the files have; none if they have no line."""
+    names = spark.read.option("header", "true").option("inferSchema", "false")
+    try:
+        return _guard(names.csv, path, what).columns
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):  # no file, or only hidden ones
+            return []
+        raise
+
+
+def _bound(header: list[str], schema: StructType, what: str) -> tuple[StructType, list[tuple[str, str]]]:
+    """The schema in the header's order, and each declared column with its name in the file.
+    Columns that are not declared are strings and not read."""
+    spelled = {name.lstrip("\ufeff").strip().lower(): name for name in reversed(header)}
+    declared = {f.name.lower(): f for f in schema.fields}
+    missing = [f.name for f in schema.fields if f.name.lower() not in spelled]
+    if missing:
+        raise HeaderError(f"{what}: no column {', '.join(missing)} in the header ({', '.join(header)})")
+    of = {spelled[k]: f for k, f in declared.items()}
+    order = [StructField(n, of[n].dataType if n in of else StringType(), True) for n in header]
+    return StructType(order), [(f.name, spelled[f.name.lower()]) for f in schema.fields]
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    mode: str = "PERMISSIVE",
+    what: str = "input",
+    corrupt: str | None = None,
+) -> DataFrame:
+    """The declared columns of CSV files, bound by the names in their header: in whatever order
+    they stand there, and whatever columns stand between them (capitals, blanks around a name
+    and a byte order mark don't matter). A declared column that the header lacks is refused
+    here; a file whose header differs from the first one's is refused when it is read. Files
+    without any line give no rows. ``corrupt`` adds a column with the lines that don't parse.
+    """
+    header = _header(spark, path, what)
+    in_file, names = _bound(header, schema, what) if header else (schema, [(n, n) for n in schema.fieldNames()])
+    if corrupt:
+        in_file, names = in_file.add(corrupt, StringType()), [*names, (corrupt, corrupt)]
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(in_file)
         .option("header", "true")
+        .option("enforceSchema", "false")  # the header of every file is compared with the names
         .option("mode", mode)
         .option("dateFormat", "yyyy-MM-dd")
     )
-    return _guard(reader.csv, path, what)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    read = _guard(reader.csv, path, what)
+    return read.select(*[F.col(f"`{at}`").alias(name) for name, at in names])
 
 
 CORRUPT = "_corrupt_record"
@@ -41,8 +90,7 @@ def read_raw_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE", with_
     """Raw 13-column transactions. In PERMISSIVE mode a malformed field becomes NULL; with
     ``with_corrupt`` the line it stood in comes along as ``_corrupt_record``, for
     :func:`quarantine`."""
-    schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType(), True)]) if with_corrupt else RAW_SCHEMA
-    return read_csv(spark, path, schema, mode, "raw transactions")
+    return read_csv(spark, path, RAW_SCHEMA, mode, "raw transactions", CORRUPT if with_corrupt else None)
 
 
 # Why a raw row is set aside, in the order in which it is asked.
@@ -62,11 +110,6 @@ def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where(F.col("reason").isNull()).drop("reason", CORRUPT), marked.where(F.col("reason").isNotNull())
 
 
-def split_missing_ids(df: DataFrame, key: str = "transaction_id") -> tuple[DataFrame, DataFrame]:
-    """``(valid, quarantined)``: the declared not-null id is enforced here (CSV ignores it)."""
-    return df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
-
-
 def read_cleaned_csv(spark: SparkSession, path: str) -> DataFrame:
     """The exported cleaned fact, with ``date`` parsed by the declared schema."""
     return read_csv(spark, path, CLEAN_SCHEMA, what="processed data")
