@@ -73,6 +73,6 @@ def test_one_dedup_shuffle_per_job(spark, sf_small, tmp_out):
     fact_table(spark, sf_small)
     assert _exchanges_by_id(spark, lambda: clean(raw).write.format("noop").mode("overwrite").save()) == 1
     assert _exchanges_by_id(spark, lambda: run_pipeline(spark, raw, tmp_out)) == 1
-    for key in ("impute_city_mode", "cap_outliers", "outlier_rows", "outlier_count"):
+    for key in ("impute_city_mode", "cap_outliers", "outlier_rows", "outlier_count", "quantity_p99"):
         n = _exchanges_by_id(spark, lambda: QUERIES[key](spark, sf_small).write.format("noop").mode("overwrite").save())
         assert n == 1, (key, n)

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.quantiles import exact_quantiles
+from tillroll.functions.quantiles import code_of, codes, column_ranges, exact_quantiles, rank_values
 from tillroll.operators.rank import customer_txn_rank
 
 
@@ -94,3 +94,50 @@ def test_rank_can_leave_guests_unranked(spark):
     assert len(got) == len(full)
     for tid, (cust, rank) in got.items():
         assert rank is None if cust == "GUEST" else rank == full[tid]
+
+
+ODD_DOUBLES = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.0, 1.0 - 2**-53, 1.0 + 2**-52, 2.0, 2.0 - 2**-52,
+               8.0, 8.0 - 2**-50, 1e300, 1.7976931348623157e308, float("inf"), float("-inf"), float("nan"), 0.1, -0.1, 1e-310, 3.0]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.floats(), min_size=1, max_size=200))
+def test_codes_keep_the_order_of_doubles(spark, values):
+    values = values + ODD_DOUBLES + [2.0**e * m for e in range(-1022, 1023, 97) for m in (1.0, 1.0 - 2**-53, 1.0 + 2**-52)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = codes(df, {"x": df.schema["x"].dataType}).select("x", "_code_x").collect()
+    kind = df.schema["x"].dataType
+    assert all(r["_code_x"] == code_of(r["x"], kind) for r in got)
+    ordered = sorted((r for r in got if not math.isnan(r["x"])), key=lambda r: r["x"])
+    for a, b in zip(ordered, ordered[1:]):
+        assert (a["x"] < b["x"]) == (a["_code_x"] < b["_code_x"])
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "bigint", "float", "double", "date", "decimal(10,2)"])
+def test_quantiles_of_every_kind(spark, kind):
+    rnd = random.Random(8)
+    raw = [rnd.randrange(-100, 100) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in raw] + [(None,)], "v int")
+    df = df.select((F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("v")) if kind == "date" else (F.col("v") / 4 if "d" in kind[:3] or kind == "float" else F.col("v")).cast(kind)).alias("x"))
+    values = sorted(r.x for r in df.collect() if r.x is not None)
+    for p in (0.0, 0.3, 0.99, 1.0):
+        r = exact_quantiles(df, ["x"], [p], ["q"], accuracy=16, max_rows=10).first()
+        assert r.q == _disc(values, p) and r.n == 400
+    with pytest.raises(TypeError):
+        exact_quantiles(df.select(F.col("x").cast("string")), ["x"], [0.5], ["q"])
+
+
+def test_scans_do_not_depend_on_the_data(spark):
+    """Doubles over all magnitudes, tight clusters and one hot value: at most four scans."""
+    rnd = random.Random(4)
+    rows = [(rnd.choice([-1, 1]) * 2.0 ** rnd.uniform(-1000, 1000), 1.0 + rnd.randrange(3000) * 2**-52, 7.0 if i % 3 else rnd.random()) for i in range(9000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    ranks = {c: {1, 2250, 4500, 8999} for c in "abc"}
+    found, scans = rank_values(df, column_ranges(df, "abc"), ranks, max_rows=1)
+    for i, c in enumerate("abc"):
+        ordered = sorted(r[i] for r in rows)
+        assert [found[c, r] for r in sorted(ranks[c])] == [ordered[r - 1] for r in sorted(ranks[c])]
+    assert scans <= 4
+    few = spark.createDataFrame([(i % 50,) for i in range(1000)], "q int")
+    assert rank_values(few, column_ranges(few, ["q"]), {"q": {990}}, max_rows=1) == ({("q", 990): 49}, 1)
+    assert exact_quantiles(few.where("q < 0"), ["q"], [0.5], ["m"]).count() == 0

@@ -1,19 +1,20 @@
-"""Exact quantiles by bracketing: no shuffle of the rows, at any cardinality and any skew.
+"""Exact quantiles by a radix histogram over order-preserving codes, in a fixed number of scans.
 
-Spark's exact ``percentile`` keeps every distinct value in one final task. Here a target rank
-is closed in on instead:
+Spark's exact ``percentile`` keeps every distinct value in one final task. Here every value has
+a 64-bit code of the same order (a whole number itself; of a double its exponent and mantissa),
+and the target ranks are closed in on digit by digit, for all columns and probabilities at once:
 
-1. ``percentile_approx`` gives, per column and probability, two values that bracket the
-   target: its rank error is at most 1/accuracy of the rows, and the bracket is twice as wide
-   (one aggregate of mergeable sketches);
-2. an aggregate counts the rows below and inside each bracket, exactly. A bracket that holds
-   more than ``max_rows`` rows of more than one value is sketched and counted again, within
-   itself; each round narrows it about 2,500-fold, so 10^12 rows need three;
-3. the rows inside the brackets are counted by value with map-side partial aggregation (a
-   value held by a third of all rows is one row) and a window per bracket finds the value
-   whose rank interval contains the target.
+1. one aggregate gives rows, least and greatest value per column;
+2. a scan counts rows by the leading bits of the code, at most ``accuracy`` bins per column, with
+   the least and greatest value of each bin (map-side partial aggregation: a value that a third
+   of all rows hold is one row per task). Running sums over the bins find the bin of each target
+   rank; a bin of one value is an answer;
+3. the other bins are split in the same way by the next bits, or, once they hold no more than
+   ``max_rows`` rows, by the whole code.
 
-What reaches the driver is a handful of numbers per column and probability.
+A scan takes 16 bits off the code, so four of them end it whatever the data; 10^12 evenly spread
+doubles need two. No row is shuffled, only bins are; what reaches the driver is one bin per
+target rank. Rows outside the bins looked at are filtered out before their code is formed.
 
 Semantics match SQL ``percentile_disc`` (``method="disc"``: first value whose cumulative
 share reaches p) and ``percentile_cont`` (``method="linear"``: interpolation between the
@@ -22,15 +23,22 @@ values at ranks floor/ceil of (n-1)p).
 
 from __future__ import annotations
 
+import datetime as dt
 import math
+import struct
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, DecimalType, DoubleType, FloatType, IntegralType
 
-ACCURACY = 10_000
-# Rows that one bracket may hold before its values are counted one by one.
+# Bins into which one scan splits what is left of a column.
+BINS = 1 << 16
+# Rows that a bin may hold before its values are counted one by one.
 MAX_ROWS = 100_000
+MANTISSA = 1 << 52
+NAN_CODE = (1 << 63) - 1
 
 
 def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
@@ -44,52 +52,142 @@ def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
     return math.floor(pos) + 1, math.ceil(pos) + 1, pos - math.floor(pos)
 
 
-def _sketch(value: Column, lo: float, hi: float, accuracy: int) -> Column:
-    """Values that bracket the shares ``lo`` to ``hi`` of the rows."""
-    slack = 2 / accuracy
-    return F.percentile_approx(value, [max(lo - slack, 0.0), min(hi + slack, 1.0)], accuracy)
-
-
-def _inside(value: Column, b: dict) -> Column:
-    return value.between(F.lit(b["lo"]), F.lit(b["hi"]))
-
-
-def _brackets(df: DataFrame, values: dict[str, Column], probs: Sequence[float], method: str, accuracy: int, max_rows: int) -> list[dict]:
-    """Brackets of at most ``max_rows`` rows, or of one value, with the exact number of rows
-    below; one per column with values and probability."""
-    first = df.agg(
-        *[F.count(x).alias(f"n{i}") for i, x in enumerate(values.values())],
-        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(values.values())],
-        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(values.values())],
-    ).first()
-    out = []
-    for i, column in enumerate(values):
-        for p in probs if first[f"n{i}"] else ():
-            r1, r2, w = _ranks(first[f"n{i}"], float(p), method)
-            out.append({
-                "column": column, "p": p, "n": first[f"n{i}"], "r1": r1, "r2": r2, "w": w,
-                "below": 0, "inside": first[f"n{i}"], "lo": first[f"lo{i}"], "hi": first[f"hi{i}"],
-            })
-    while wide := [b for b in out if b["inside"] > max_rows and b["lo"] < b["hi"]]:
-        share = lambda b, r: (r - b["below"]) / b["inside"]
-        got = df.agg(*[
-            _sketch(F.when(_inside(values[b["column"]], b), values[b["column"]]), share(b, b["r1"]), share(b, b["r2"]), accuracy).alias(f"s{i}")
-            for i, b in enumerate(wide)
-        ]).first()
-        tighter = [b | {"lo": got[f"s{i}"][0], "hi": got[f"s{i}"][1]} for i, b in enumerate(wide)]
-        counts = df.agg(
-            *[F.count_if(values[b["column"]] < F.lit(b["lo"])).alias(f"below{i}") for i, b in enumerate(tighter)],
-            *[F.count_if(_inside(values[b["column"]], b)).alias(f"inside{i}") for i, b in enumerate(tighter)],
-        ).first()
-        stuck = True
-        for i, (b, t) in enumerate(zip(wide, tighter)):
-            below, inside = counts[f"below{i}"], counts[f"inside{i}"]
-            if below < b["r1"] and b["r2"] <= below + inside and inside < b["inside"]:
-                b.update(lo=t["lo"], hi=t["hi"], below=below, inside=inside)
-                stuck = False
-        if stuck:
-            break
-    return out
+def _check(kinds: dict[str, DataType]) -> None:
+    for c, kind in kinds.items():
+        if not isinstance(kind, (IntegralType, DoubleType, FloatType, DateType)) and not (
+            isinstance(kind, DecimalType) and kind.precision <= 18
+        ):
+            raise TypeError(f"no exact quantiles of {c}: {kind.simpleString()}")
+
+
+def code_of(value, kind: DataType) -> int:
+    """The code of one value; as :func:`codes` gives it."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        if math.isnan(value):
+            return NAN_CODE
+        (bits,) = struct.unpack(">q", struct.pack(">d", value))
+        return bits if bits >= 0 else -(bits & NAN_CODE)
+    if isinstance(value, dt.date):
+        return (value - dt.date(1970, 1, 1)).days
+    return int(Decimal(value).scaleb(kind.scale)) if isinstance(kind, DecimalType) else int(value)
+
+
+def codes(df: DataFrame, kinds: dict[str, DataType]) -> DataFrame:
+    """``df`` with the code of each column ``c`` as ``_code_c``."""
+    doubles = [c for c, k in kinds.items() if isinstance(k, (DoubleType, FloatType))]
+    # a double's binary exponent, by logarithm and then by comparison with the powers about it;
+    # in steps, so that each is evaluated once a row. Below the normal numbers it is -1023.
+    size = {c: F.abs(F.col(c).cast("double")) for c in doubles}
+    normal = {c: (size[c] >= 2.0**-1022) & (size[c] < float("inf")) for c in doubles}
+    df = df.withColumns({f"_e_{c}": F.when(normal[c], F.least(F.floor(F.log2(size[c])), F.lit(1023))) for c in doubles})
+    power = {c: F.pow(F.lit(2.0), F.col(f"_e_{c}")) for c in doubles}
+    df = df.withColumns({f"_p_{c}": power[c] for c in doubles})
+    off = {c: F.when(F.col(f"_p_{c}") > size[c], -1).when(F.col(f"_p_{c}") <= size[c] / 2, 1).otherwise(0) for c in doubles}
+    df = df.withColumns({f"_o_{c}": off[c] for c in doubles})
+    out = {}
+    for c, kind in kinds.items():
+        x = F.col(c)
+        if c in doubles:
+            exponent = F.col(f"_e_{c}") + F.col(f"_o_{c}")
+            unit = F.col(f"_p_{c}") * F.when(F.col(f"_o_{c}") < 0, 0.5).when(F.col(f"_o_{c}") > 0, 2.0).otherwise(1.0)
+            whole = (exponent + 1023) * F.lit(MANTISSA) + ((size[c] / unit - 1.0) * F.lit(float(MANTISSA))).cast("long")
+            tiny = (size[c] * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+            code = F.when(normal[c], whole).when(size[c] == float("inf"), 2047 * MANTISSA).otherwise(tiny)
+            code = F.when(F.isnan(x), F.lit(NAN_CODE)).when(x < 0, -code).otherwise(code)
+        elif isinstance(kind, DateType):
+            code = F.unix_date(x).cast("long")
+        elif isinstance(kind, DecimalType):
+            code = (x.cast("decimal(38,18)") * F.lit(10**kind.scale)).cast("long")
+        else:
+            code = x.cast("long")
+        out[f"_code_{c}"] = code
+    return df.withColumns(out)
+
+
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Rows with a value, least and greatest value of each column, from one aggregate."""
+    each = [(f"n{i}", F.count(c)) for i, c in enumerate(columns)]
+    each += [(f"lo{i}", F.min(c)) for i, c in enumerate(columns)] + [(f"hi{i}", F.max(c)) for i, c in enumerate(columns)]
+    got = df.agg(*[x.alias(name) for name, x in each]).first()
+    return {c: (got[f"n{i}"], got[f"lo{i}"], got[f"hi{i}"]) for i, c in enumerate(columns)}
+
+
+def _split(df: DataFrame, spans: list[dict], kinds: dict[str, DataType], common: str) -> DataFrame:
+    """The bins of the spans: ``id`` of the span, ``bin``, rows ``c``, least and greatest value,
+    and ``upto``, the rows of the span up to the bin's end."""
+    used = list(dict.fromkeys(s["column"] for s in spans))
+    inside = {c: [F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"])) for s in spans if s["column"] == c] for c in used}
+    cells, kept = [], []
+    for c in used:
+        cell = None
+        for (i, s), there in zip([(i, s) for i, s in enumerate(spans) if s["column"] == c], inside[c]):
+            at = F.struct(
+                F.lit(i).alias("id"),
+                F.shiftright(F.col(f"_code_{c}"), s["shift"]).alias("bin"),
+                F.col(c).cast(common).alias("v"),
+            )
+            cell = F.when(there, at) if cell is None else cell.when(there, at)
+            kept.append(there)
+        cells.append(cell)
+    some = kept[0]
+    for there in kept[1:]:
+        some = some | there
+    rows = codes(df.select(*used).where(some), {c: kinds[c] for c in used})
+    rows = rows.select((F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]).alias("x")).where("x is not null")
+    bins = rows.groupBy("x.id", "x.bin").agg(F.count(F.lit(1)).alias("c"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
+    # a span has at most as many bins as a scan makes, or rows to be counted one by one
+    upto = Window.partitionBy("id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    return bins.withColumn("upto", F.sum("c").over(upto))
+
+
+def _shift(lo: int, hi: int, rows: int, accuracy: int, max_rows: int) -> int:
+    """How many bits of the code a scan leaves out: none for few rows, else as few as give at
+    most ``accuracy`` bins."""
+    shift = 0
+    while rows > max_rows and (hi >> shift) - (lo >> shift) >= accuracy:
+        shift += 1
+    return shift
+
+
+def rank_values(
+    df: DataFrame, ranges: dict[str, tuple], ranks: dict[str, set[int]], accuracy: int = BINS, max_rows: int = MAX_ROWS
+) -> tuple[dict[tuple[str, int], object], int]:
+    """The value at each 1-based rank of each column, and the number of scans it took."""
+    kinds = {c: df.schema[c].dataType for c in ranks}
+    _check(kinds)
+    common = next(iter(kinds.values())).simpleString() if len(kinds) == 1 else "double"
+    found: dict[tuple[str, int], object] = {}
+    spans = []
+    for c, wanted in ranks.items():
+        n, lo, hi = ranges[c]
+        if n and lo == hi:
+            found |= {(c, r): lo for r in wanted}
+        elif n:
+            spans.append({"column": c, "lo": lo, "hi": hi, "rows": n, "below": 0, "ranks": wanted,
+                          "from": code_of(lo, kinds[c]), "to": code_of(hi, kinds[c])})
+    scans = 0
+    while spans:
+        scans += 1
+        for s in spans:
+            s["shift"] = _shift(s["from"], s["to"], s["rows"], accuracy, max_rows)
+        wanted = None
+        for i, s in enumerate(spans):
+            for r in sorted(s["ranks"]):
+                hit = (F.col("id") == i) & (F.col("upto") >= r - s["below"]) & (F.col("upto") - F.col("c") < r - s["below"])
+                wanted = hit if wanted is None else wanted | hit
+        left = []
+        for b in _split(df, spans, kinds, common).where(wanted).collect():
+            s = spans[b["id"]]
+            below = s["below"] + b["upto"] - b["c"]
+            mine = {r for r in s["ranks"] if below < r <= below + b["c"]}
+            if b["lo"] == b["hi"] or s["shift"] == 0:
+                found |= {(s["column"], r): b["lo"] for r in mine}
+            else:
+                start = b["bin"] << s["shift"]
+                left.append(s | {"lo": b["lo"], "hi": b["hi"], "rows": b["c"], "below": below, "ranks": mine,
+                                 "from": start, "to": start + (1 << s["shift"]) - 1})
+        spans = left
+    return found, scans
 
 
 def exact_quantiles(
@@ -98,35 +196,32 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     method: str = "disc",
-    accuracy: int = ACCURACY,
+    accuracy: int = BINS,
     max_rows: int = MAX_ROWS,
+    ranges: dict[str, tuple] | None = None,
 ) -> DataFrame:
     """One row per column that has non-null values: ``column, n, <names...>``.
 
     With several columns values are compared as doubles; one column keeps its type. ``df`` is
     read a few times, only the columns asked for: give a file scan or a written table.
+    ``ranges`` (rows, least and greatest value per column) saves a scan if they are known.
     """
+    if accuracy < 2:
+        raise ValueError("accuracy must be 2 at least")
     names = list(names or [f"p{i}" for i in range(len(probs))])
-    values = {c: F.col(c) if len(columns) == 1 else F.col(c).cast("double") for c in columns}
-    found = _brackets(df, values, probs, method, accuracy, max_rows)
-    kind = df.select(*values.values()).schema.fields[0].dataType
-    schema = "id int, column string, name string, n long, below long, r1 long, r2 long, w double"
-    name_of = dict(zip(probs, names))
-    targets = df.sparkSession.createDataFrame(
-        [(i, b["column"], name_of[b["p"]], b["n"], b["below"], b["r1"], b["r2"], b["w"]) for i, b in enumerate(found)], schema
-    )
-    hits = [
-        F.when(_inside(values[b["column"]], b), F.struct(F.lit(i).alias("id"), values[b["column"]].cast(kind).alias("v")))
-        for i, b in enumerate(found)
-    ]
-    empty = F.lit(None).cast(f"struct<id:int,v:{kind.simpleString()}>")
-    counts = df.select(F.explode(F.array(*hits) if hits else F.array(empty)).alias("s")).where("s is not null")
-    counts = counts.groupBy("s.id", "s.v").agg(F.count(F.lit(1)).alias("c"))
-    # one row per bracket in the broadcast, columns times probabilities in all
-    upto = Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(F.broadcast(targets), "id").withColumn("hi", F.col("below") + F.sum("c").over(upto))
-    at = lambda r: F.max(F.when((F.col("hi") - F.col("c") < F.col(r)) & (F.col(r) <= F.col("hi")), F.col("v")))
-    one = ranked.groupBy("id", "column", "name", "n", "w").agg(at("r1").alias("a"), at("r2").alias("b"))
+    several = len(columns) > 1
+    values = df.select(*[F.col(c).cast("double").alias(c) if several else F.col(c) for c in columns])
+    kind = values.schema.fields[0].dataType
+    _check({f.name: f.dataType for f in values.schema.fields})
+    ranges = ranges or column_ranges(values, columns)
+    targets = [(c, name, *_ranks(ranges[c][0], float(p), method)) for c in columns if ranges[c][0] for p, name in zip(probs, names)]
+    wanted: dict[str, set[int]] = {}
+    for c, _, r1, r2, _ in targets:
+        wanted.setdefault(c, set()).update((r1, r2))
+    at, _ = rank_values(values, ranges, wanted, accuracy, max_rows)
+    rows = [(c, ranges[c][0], name, at[c, r1], at[c, r2], w) for c, name, r1, r2, w in targets]
+    schema = "column string, n long, name string, a {0}, b {0}, w double".format(kind.simpleString())
+    one = df.sparkSession.createDataFrame(rows, schema)
     if method == "linear":
         a, b = F.col("a").cast("double"), F.col("b").cast("double")
         one = one.withColumn("a", a + F.col("w") * (b - a))

@@ -75,9 +75,12 @@ def describe_quartiles(df: DataFrame, columns: Sequence[str] = QUARTILE_COLUMNS)
     distributed quantile operator (functions/quantiles.py).
     """
     basic = describe_numeric(df, columns).withColumnRenamed("stddev", "std")
-    quart = exact_quantiles(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], method="linear").select(
-        "column", *[F.round(F.col(q), STAT_DIGITS).alias(q) for q in ["q25", "q50", "q75"]]
-    )
+    rows = basic.collect()  # one per column
+    basic = df.sparkSession.createDataFrame(rows, basic.schema)
+    ranges = {r["column"]: (r["count"], r["min"], r["max"]) for r in rows}
+    quart = exact_quantiles(
+        df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], method="linear", ranges=ranges
+    ).select("column", *[F.round(F.col(q), STAT_DIGITS).alias(q) for q in ["q25", "q50", "q75"]])
     # both sides have one row per column: a join of two tiny tables
     return basic.join(quart, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"

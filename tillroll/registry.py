@@ -120,7 +120,7 @@ def impute_city_mode_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quantity_p99(spark: SparkSession, sf: str) -> DataFrame:
-    return quantile_cap(_dedup(spark, sf), "quantity").select(F.col("cap").cast("int").alias("p99"))
+    return quantile_cap(_dedup_written(spark, sf), "quantity").select(F.col("cap").cast("int").alias("p99"))
 
 
 def outlier_count(spark: SparkSession, sf: str) -> DataFrame:
