@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.quantiles import code_of, codes, column_ranges, exact_quantiles, rank_values
+from tillroll.functions.quantiles import column_ranges, exact_quantiles, rank_values
 from tillroll.operators.rank import customer_txn_rank
 
 
@@ -101,16 +101,15 @@ ODD_DOUBLES = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.0,
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(st.floats(), min_size=1, max_size=200))
-def test_codes_keep_the_order_of_doubles(spark, values):
-    values = values + ODD_DOUBLES + [2.0**e * m for e in range(-1022, 1023, 97) for m in (1.0, 1.0 - 2**-53, 1.0 + 2**-52)]
+@given(st.lists(st.floats(), min_size=1, max_size=100))
+def test_ranks_of_any_doubles(spark, values):
+    values = values + ODD_DOUBLES
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = codes(df, {"x": df.schema["x"].dataType}).select("x", "_code_x").collect()
-    kind = df.schema["x"].dataType
-    assert all(r["_code_x"] == code_of(r["x"], kind) for r in got)
-    ordered = sorted((r for r in got if not math.isnan(r["x"])), key=lambda r: r["x"])
-    for a, b in zip(ordered, ordered[1:]):
-        assert (a["x"] < b["x"]) == (a["_code_x"] < b["_code_x"])
+    ordered = sorted(values, key=lambda v: (math.isnan(v), 0 if math.isnan(v) else v))
+    ranks = {1, len(values) // 3, len(values) // 2, len(values) - 2, len(values)}
+    found, _ = rank_values(df, column_ranges(df, ["x"]), {"x": ranks}, accuracy=8, max_rows=1)
+    for r in ranks:
+        assert repr(found["x", r] + 0.0) == repr(ordered[r - 1] + 0.0)
 
 
 @pytest.mark.parametrize("kind", ["tinyint", "bigint", "float", "double", "date", "decimal(10,2)"])

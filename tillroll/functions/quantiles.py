@@ -1,31 +1,32 @@
-"""Exact quantiles by a radix histogram over order-preserving codes, in a fixed number of scans.
+"""Exact quantiles by histograms of nested bins, in a fixed number of scans.
 
-Spark's exact ``percentile`` keeps every distinct value in one final task. Here every value has
-a 64-bit code of the same order (a whole number itself; of a double its exponent and mantissa),
-and the target ranks are closed in on digit by digit, for all columns and probabilities at once:
+Spark's exact ``percentile`` keeps every distinct value in one final task. Here the target ranks
+are closed in on digit by digit, for all columns and probabilities at once:
 
 1. one aggregate gives rows, least and greatest value per column;
-2. a scan counts rows by the leading bits of the code, at most ``accuracy`` bins per column, with
-   the least and greatest value of each bin (map-side partial aggregation: a value that a third
-   of all rows hold is one row per task). Running sums over the bins find the bin of each target
-   rank; a bin of one value is an answer;
-3. the other bins are split in the same way by the next bits, or, once they hold no more than
-   ``max_rows`` rows, by the whole code.
-
-A scan takes 16 bits off the code, so four of them end it whatever the data; 10^12 evenly spread
-doubles need two. No row is shuffled, only bins are; what reaches the driver is one bin per
-target rank. Rows outside the bins looked at are filtered out before their code is formed.
+2. a scan counts the rows of at most about ``accuracy`` bins per column, with the least and
+   greatest value of each (map-side partial aggregation: a value that a third of all rows hold is
+   one row per task). Running sums over the bins find the bin of each target rank; a bin of one
+   value is an answer;
+3. the other bins are split in the same way, or, once they hold no more than ``max_rows`` rows,
+   by value.
+
+The bin of a value grows with it. Whole numbers, dates and decimals drop the low bits of their
+64-bit code. Doubles over several magnitudes are first put in bins by logarithm, which leaves two
+per cent between the ends of a bin at most, then by equal parts of what is left. A scan takes 16
+bits off, so four of them end it whatever the data; 10^12 evenly spread doubles need two. No row
+is shuffled, only bins are; what reaches the driver is one bin per target rank.
 
 Semantics match SQL ``percentile_disc`` (``method="disc"``: first value whose cumulative
 share reaches p) and ``percentile_cont`` (``method="linear"``: interpolation between the
-values at ranks floor/ceil of (n-1)p).
+values at ranks floor/ceil of (n-1)p). NaN is the greatest double.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-import struct
+import sys
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -37,8 +38,8 @@ from pyspark.sql.types import DataType, DateType, DecimalType, DoubleType, Float
 BINS = 1 << 16
 # Rows that a bin may hold before its values are counted one by one.
 MAX_ROWS = 100_000
-MANTISSA = 1 << 52
-NAN_CODE = (1 << 63) - 1
+# Doubles whose ends are further apart than this factor are put in bins by logarithm.
+MAGNITUDE = 1024.0
 
 
 def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
@@ -60,48 +61,46 @@ def _check(kinds: dict[str, DataType]) -> None:
             raise TypeError(f"no exact quantiles of {c}: {kind.simpleString()}")
 
 
-def code_of(value, kind: DataType) -> int:
-    """The code of one value; as :func:`codes` gives it."""
-    if isinstance(kind, (DoubleType, FloatType)):
-        if math.isnan(value):
-            return NAN_CODE
-        (bits,) = struct.unpack(">q", struct.pack(">d", value))
-        return bits if bits >= 0 else -(bits & NAN_CODE)
+def _code(value, kind: DataType) -> int:
+    """The 64-bit code of a whole number, date or decimal; as :func:`_code_column` gives it."""
     if isinstance(value, dt.date):
         return (value - dt.date(1970, 1, 1)).days
     return int(Decimal(value).scaleb(kind.scale)) if isinstance(kind, DecimalType) else int(value)
 
 
-def codes(df: DataFrame, kinds: dict[str, DataType]) -> DataFrame:
-    """``df`` with the code of each column ``c`` as ``_code_c``."""
-    doubles = [c for c, k in kinds.items() if isinstance(k, (DoubleType, FloatType))]
-    # a double's binary exponent, by logarithm and then by comparison with the powers about it;
-    # in steps, so that each is evaluated once a row. Below the normal numbers it is -1023.
-    size = {c: F.abs(F.col(c).cast("double")) for c in doubles}
-    normal = {c: (size[c] >= 2.0**-1022) & (size[c] < float("inf")) for c in doubles}
-    df = df.withColumns({f"_e_{c}": F.when(normal[c], F.least(F.floor(F.log2(size[c])), F.lit(1023))) for c in doubles})
-    power = {c: F.pow(F.lit(2.0), F.col(f"_e_{c}")) for c in doubles}
-    df = df.withColumns({f"_p_{c}": power[c] for c in doubles})
-    off = {c: F.when(F.col(f"_p_{c}") > size[c], -1).when(F.col(f"_p_{c}") <= size[c] / 2, 1).otherwise(0) for c in doubles}
-    df = df.withColumns({f"_o_{c}": off[c] for c in doubles})
-    out = {}
-    for c, kind in kinds.items():
-        x = F.col(c)
-        if c in doubles:
-            exponent = F.col(f"_e_{c}") + F.col(f"_o_{c}")
-            unit = F.col(f"_p_{c}") * F.when(F.col(f"_o_{c}") < 0, 0.5).when(F.col(f"_o_{c}") > 0, 2.0).otherwise(1.0)
-            whole = (exponent + 1023) * F.lit(MANTISSA) + ((size[c] / unit - 1.0) * F.lit(float(MANTISSA))).cast("long")
-            tiny = (size[c] * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
-            code = F.when(normal[c], whole).when(size[c] == float("inf"), 2047 * MANTISSA).otherwise(tiny)
-            code = F.when(F.isnan(x), F.lit(NAN_CODE)).when(x < 0, -code).otherwise(code)
-        elif isinstance(kind, DateType):
-            code = F.unix_date(x).cast("long")
-        elif isinstance(kind, DecimalType):
-            code = (x.cast("decimal(38,18)") * F.lit(10**kind.scale)).cast("long")
-        else:
-            code = x.cast("long")
-        out[f"_code_{c}"] = code
-    return df.withColumns(out)
+def _code_column(x: Column, kind: DataType) -> Column:
+    if isinstance(kind, DateType):
+        return F.unix_date(x).cast("long")
+    if isinstance(kind, DecimalType):
+        return (x.cast("decimal(38,18)") * F.lit(10**kind.scale)).cast("long")
+    return x.cast("long")
+
+
+def _logarithm(x: float) -> float:
+    return math.copysign(math.log(abs(x)) + 745.0, x) if x else 0.0
+
+
+def _bin(x: Column, kind: DataType, lo, hi, rows: int, accuracy: int, max_rows: int) -> Column | None:
+    """The bin of a value between ``lo`` and ``hi``; None if values are to be counted one by one."""
+    if rows <= max_rows:
+        return None
+    if not isinstance(kind, (DoubleType, FloatType)):
+        a, b, shift = _code(lo, kind), _code(hi, kind), 0
+        while (b >> shift) - (a >> shift) >= accuracy:
+            shift += 1
+        return F.shiftright(_code_column(x, kind), shift) if shift else None
+    if not (math.isfinite(lo) and math.isfinite(hi)):
+        # infinities and NaN have bins of their own
+        finite = _bin(x, kind, -sys.float_info.max, sys.float_info.max, rows, accuracy, max_rows)
+        above = F.when(F.isnan(x), accuracy + 3).when(x == float("inf"), accuracy + 2)
+        return above.when(x == float("-inf"), -1).otherwise(finite)
+    x = x.cast("double")
+    if lo <= 0 <= hi or max(abs(lo), abs(hi)) > MAGNITUDE * min(abs(lo), abs(hi)):
+        # logarithms don't fall where their argument grows, nor do sums and products by constants
+        size = F.log(F.abs(x)) + 745.0
+        x = F.when(x > 0, size).when(x < 0, -size).otherwise(0.0)
+        lo, hi = _logarithm(lo) - 1e-9, _logarithm(hi) + 1e-9
+    return F.floor((x - lo) * (accuracy / (hi - lo)))
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
@@ -116,39 +115,31 @@ def _split(df: DataFrame, spans: list[dict], kinds: dict[str, DataType], common:
     """The bins of the spans: ``id`` of the span, ``bin``, rows ``c``, least and greatest value,
     and ``upto``, the rows of the span up to the bin's end."""
     used = list(dict.fromkeys(s["column"] for s in spans))
-    inside = {c: [F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"])) for s in spans if s["column"] == c] for c in used}
-    cells, kept = [], []
+    cells, some = [], None
     for c in used:
         cell = None
-        for (i, s), there in zip([(i, s) for i, s in enumerate(spans) if s["column"] == c], inside[c]):
-            at = F.struct(
-                F.lit(i).alias("id"),
-                F.shiftright(F.col(f"_code_{c}"), s["shift"]).alias("bin"),
-                F.col(c).cast(common).alias("v"),
-            )
-            cell = F.when(there, at) if cell is None else cell.when(there, at)
-            kept.append(there)
+        for i, s in enumerate(spans):
+            if s["column"] == c:
+                there = F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"]))
+                v = F.col(c).cast(common)
+                # two keys: a bin's number where values are put in bins, else the value
+                at = F.struct(
+                    F.lit(i).alias("id"),
+                    (F.lit(0) if s["bin"] is None else s["bin"]).cast("long").alias("bin"),
+                    (v if s["bin"] is None else F.lit(None).cast(common)).alias("one"),
+                    v.alias("v"),
+                )
+                cell = F.when(there, at) if cell is None else cell.when(there, at)
+                some = there if some is None else some | there
         cells.append(cell)
-    some = kept[0]
-    for there in kept[1:]:
-        some = some | there
-    rows = codes(df.select(*used).where(some), {c: kinds[c] for c in used})
-    rows = rows.select((F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]).alias("x")).where("x is not null")
-    bins = rows.groupBy("x.id", "x.bin").agg(F.count(F.lit(1)).alias("c"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
+    rows = df.select(*used).where(some)
+    rows = rows.select((F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]).alias("x"))
+    bins = rows.groupBy("x.id", "x.bin", "x.one").agg(F.count(F.lit(1)).alias("c"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
     # a span has at most as many bins as a scan makes, or rows to be counted one by one
-    upto = Window.partitionBy("id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("id").orderBy("bin", "one").rowsBetween(Window.unboundedPreceding, 0)
     return bins.withColumn("upto", F.sum("c").over(upto))
 
 
-def _shift(lo: int, hi: int, rows: int, accuracy: int, max_rows: int) -> int:
-    """How many bits of the code a scan leaves out: none for few rows, else as few as give at
-    most ``accuracy`` bins."""
-    shift = 0
-    while rows > max_rows and (hi >> shift) - (lo >> shift) >= accuracy:
-        shift += 1
-    return shift
-
-
 def rank_values(
     df: DataFrame, ranges: dict[str, tuple], ranks: dict[str, set[int]], accuracy: int = BINS, max_rows: int = MAX_ROWS
 ) -> tuple[dict[tuple[str, int], object], int]:
@@ -163,13 +154,13 @@ def rank_values(
         if n and lo == hi:
             found |= {(c, r): lo for r in wanted}
         elif n:
-            spans.append({"column": c, "lo": lo, "hi": hi, "rows": n, "below": 0, "ranks": wanted,
-                          "from": code_of(lo, kinds[c]), "to": code_of(hi, kinds[c])})
+            spans.append({"column": c, "lo": lo, "hi": hi, "rows": n, "below": 0, "ranks": wanted})
     scans = 0
     while spans:
         scans += 1
         for s in spans:
-            s["shift"] = _shift(s["from"], s["to"], s["rows"], accuracy, max_rows)
+            c = s["column"]
+            s["bin"] = _bin(F.col(c), kinds[c], s["lo"], s["hi"], s["rows"], accuracy, max_rows)
         wanted = None
         for i, s in enumerate(spans):
             for r in sorted(s["ranks"]):
@@ -180,12 +171,10 @@ def rank_values(
             s = spans[b["id"]]
             below = s["below"] + b["upto"] - b["c"]
             mine = {r for r in s["ranks"] if below < r <= below + b["c"]}
-            if b["lo"] == b["hi"] or s["shift"] == 0:
+            if b["lo"] == b["hi"] or s["bin"] is None:
                 found |= {(s["column"], r): b["lo"] for r in mine}
             else:
-                start = b["bin"] << s["shift"]
-                left.append(s | {"lo": b["lo"], "hi": b["hi"], "rows": b["c"], "below": below, "ranks": mine,
-                                 "from": start, "to": start + (1 << s["shift"]) - 1})
+                left.append(s | {"lo": b["lo"], "hi": b["hi"], "rows": b["c"], "below": below, "ranks": mine})
         spans = left
     return found, scans
 
@@ -209,9 +198,8 @@ def exact_quantiles(
     if accuracy < 2:
         raise ValueError("accuracy must be 2 at least")
     names = list(names or [f"p{i}" for i in range(len(probs))])
-    several = len(columns) > 1
-    values = df.select(*[F.col(c).cast("double").alias(c) if several else F.col(c) for c in columns])
-    kind = values.schema.fields[0].dataType
+    values = df.select(*columns)
+    kind = values.schema.fields[0].dataType if len(columns) == 1 else DoubleType()
     _check({f.name: f.dataType for f in values.schema.fields})
     ranges = ranges or column_ranges(values, columns)
     targets = [(c, name, *_ranks(ranges[c][0], float(p), method)) for c in columns if ranges[c][0] for p, name in zip(probs, names)]
