@@ -76,3 +76,32 @@ def test_one_dedup_shuffle_per_job(spark, sf_small, tmp_out):
     for key in ("impute_city_mode", "cap_outliers", "outlier_rows", "outlier_count", "quantity_p99"):
         n = _exchanges_by_id(spark, lambda: QUERIES[key](spark, sf_small).write.format("noop").mode("overwrite").save())
         assert n == 1, (key, n)
+
+
+def test_whole_rows_are_exchanged_twice_per_job(spark, sf_small, tmp_out):
+    """Once for dedup, once for clustering by year; the rank moves three columns and a number."""
+    import re
+
+    from tillroll.plans.pipeline import raw_table, write_fact
+
+    jvm, store = spark.sparkContext._jvm, spark._jsparkSession.sharedState().statusStore()
+    known = lambda: {e.executionId(): e for e in jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.executionsList())}
+    raw = raw_table(spark, sf_small)
+    before = set(known())
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    threshold = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        write_fact(raw, tmp_out + "/fact")
+    finally:
+        spark.conf.set(key, threshold)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    widths = []
+    for i, e in known().items():
+        if i not in before:
+            text = e.physicalPlanDescription().split("== Initial Plan ==")[-1]
+            found = re.findall(r"Exchange\nInput \[(\d+)\]: \[.*\]\nArguments: (\w+)", text)
+            widths += [int(n) for n, _ in found]
+            # dedup's partial aggregate is two columns: the id and all others
+            widths += [13 for line in re.findall(r"Exchange\nInput \[2\]: \[transaction_id#\d+, min#\d+\]", text)]
+    assert len([n for n in widths if n > 10]) <= 2, widths

@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.quantiles import column_ranges, exact_quantiles, rank_values
-from tillroll.operators.rank import customer_txn_rank
+from tillroll.operators.rank import customer_txn_rank, frequent_customers, with_rank
 
 
 def _rank_frame(spark, n_hot=3000, seed=7):
@@ -39,6 +39,30 @@ def test_rank_matches_window_even_when_one_customer_spans_partitions(spark, part
     assert as_map(got) == as_map(want)
 
 
+@pytest.mark.parametrize("hot_rows", [0, 5, 100, 2999])
+def test_rank_with_some_customers_split_by_range(spark, hot_rows):
+    """Frequent customers by range, the others by the plain window: the same ranks."""
+    df = _rank_frame(spark)
+    got = customer_txn_rank(df, partitions=7, hot_rows=hot_rows)
+    w = Window.partitionBy("customer_id").orderBy(F.col("date").asc_nulls_first(), "transaction_id")
+    want = df.select(*got.columns[:-1], F.row_number().over(w).alias("cust_txn_rank"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_frequent_customers(spark):
+    df = _rank_frame(spark).union(spark.createDataFrame([(None, None, f"N{i}") for i in range(500)], "c string, d date, t string"))
+    hot = {r["_hot"] for r in frequent_customers(df.repartition(9), hot_rows=400).collect()}
+    assert hot == {"GUEST", None}
+    assert frequent_customers(df, hot_rows=10_000).isEmpty() and frequent_customers(df.limit(0), hot_rows=0).isEmpty()
+
+
+def test_rank_joins_back_to_rows_with_a_null_id(spark):
+    rows = [("a", "C", dt.date(2024, 1, 2)), (None, "C", dt.date(2024, 1, 3)), ("b", "C", dt.date(2024, 1, 4)), ("c", None, None)]
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, date date")
+    got = {r.transaction_id: r.cust_txn_rank for r in with_rank(df, customer_txn_rank(df)).collect()}
+    assert got == {"a": 1, None: 2, "b": 3, "c": 1}
+
+
 def test_rank_ties_on_date_break_on_id(spark):
     df = spark.createDataFrame(
         [("C1", dt.date(2024, 1, 1), "T2"), ("C1", dt.date(2024, 1, 1), "T1"), ("C1", dt.date(2023, 1, 1), "T9")],

@@ -52,6 +52,8 @@ def test_rank_under_a_hot_guest(spark, sf_small):
     want = c.select("transaction_id", "customer_id", "date", F.row_number().over(w).alias("cust_txn_rank"))
     want = want.select(*got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    split = customer_txn_rank(c, partitions=8, hot_rows=500)  # the guest by range
+    assert got.exceptAll(split).count() == 0 and split.exceptAll(got).count() == 0
     assert got.where(F.col("customer_id") == "GUEST").agg(F.max("cust_txn_rank")).first()[0] > 1000
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, scratch_table
 
 # Rows up to which a derived lookup table is broadcast; beyond it the join stays a
 # shuffle join (sort-merge, with AQE splitting skewed partitions).
@@ -36,3 +36,15 @@ def pinned(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "pinned")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As :func:`pinned`, but stored by the hash of ``key``, in as many buckets as there are
+    shuffle partitions: reading it back, a join or grouping by ``key`` needs no exchange of
+    these rows. ``df`` should come from an exchange by ``key``, then a bucket is one file."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "bucketed")
+    name = scratch_table(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)

@@ -9,7 +9,7 @@ from tillroll.functions.calendar import parse_date
 from tillroll.functions.money import line_amount
 from tillroll.operators.cap import cap_column, quantile_cap
 from tillroll.operators.dedup import dedup_transactions
-from tillroll.operators.impute import city_mode_from_counts, impute_city, impute_defaults
+from tillroll.operators.impute import GUEST_CUSTOMER, city_mode_from_counts, impute_city, impute_defaults
 from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, pinned
 
 
@@ -27,14 +27,17 @@ def with_amount(df: DataFrame) -> DataFrame:
 def clean_deduped_with_sizes(
     deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 ) -> tuple[DataFrame, dict[str, int]]:
-    """The cleaning rules after dedup (15 columns), plus the number of rows.
+    """The cleaning rules after dedup (15 columns), plus the numbers of rows, of rows without an
+    id and of stores.
 
     ``deduped`` should be a written table: the (store, city) counts, the quantity quantile and
     the rows each read it, the first two only their columns."""
     # a few rows per store, partially aggregated per map task
-    counts = pinned(deduped.groupBy("store_id", "city").agg(F.count(F.lit(1)).alias("c")))
+    counts = deduped.groupBy("store_id", "city")
+    counts = pinned(counts.agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("transaction_id").isNull()).alias("no_id")))
     sizes = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("no_id"), F.lit(0)).alias("null_ids"),
         F.count_distinct(F.when(F.col("city").isNotNull(), F.col("store_id"))).alias("stores"),
     ).first().asDict()
     df = with_parsed_date(deduped)
@@ -44,6 +47,12 @@ def clean_deduped_with_sizes(
     return with_amount(df), sizes
 
 
+def purchases(deduped: DataFrame) -> DataFrame:
+    """Id, customer and date of the cleaned rows, from these three columns alone."""
+    rows = deduped.select("transaction_id", "customer_id", "date")
+    return with_parsed_date(rows).withColumn("customer_id", F.coalesce("customer_id", F.lit(GUEST_CUSTOMER)))
+
+
 def clean_deduped(deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The cleaning rules after dedup (15 columns)."""
     return clean_deduped_with_sizes(deduped, max_broadcast_rows)[0]

@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from tillroll.functions.buckets import revenue_bucket
 from tillroll.functions.calendar import calendar_columns
 from tillroll.operators.rank import customer_txn_rank
+from tillroll.operators.rank import with_rank as join_rank
 from tillroll.schema import CLEAN_COLUMNS
 
 
-def add_features(cleaned: DataFrame, with_rank: bool = True) -> DataFrame:
+def add_features(
+    cleaned: DataFrame, with_rank: bool = True, ranks: DataFrame | None = None, null_ids: bool = True
+) -> DataFrame:
     """Adds year, month, day_of_week, day_name, week_of_year, quarter, is_weekend,
     month_name, year_month and revenue_bucket (one Project), and cust_txn_rank, the
-    per-customer purchase rank (:func:`tillroll.operators.rank.customer_txn_rank`), which
-    range-partitions the rows once. ``with_rank=False`` leaves the rank and its shuffle out.
+    per-customer purchase rank (:mod:`tillroll.operators.rank`), joined by the id, which must
+    be unique. ``ranks`` may be given where they come from rows narrower than ``cleaned``;
+    ``with_rank=False`` leaves the rank and its shuffles out.
     """
     cols = calendar_columns("date")
     cols["revenue_bucket"] = revenue_bucket("total_amount_clean")
     out = cleaned.withColumns(cols)
-    return customer_txn_rank(out, keep_columns=True) if with_rank else out
+    if not with_rank:
+        return out
+    return join_rank(out, customer_txn_rank(cleaned) if ranks is None else ranks, null_key=null_ids)
 
 
 def export_frame(features: DataFrame) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.dedup import dedup_transactions
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, pinned
+from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, bucketed, pinned
+from tillroll.operators.rank import customer_txn_rank
 from tillroll.plans.analysis import ANALYSES, SUMMARIES
-from tillroll.plans.clean import clean_deduped_with_sizes
+from tillroll.plans.clean import clean_deduped_with_sizes, purchases
 from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
@@ -28,14 +29,18 @@ def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROA
     """Clean + features, written as Parquet clustered and partitioned by year; returns the
     number of rows after dedup.
 
-    The deduplicated rows are written once to the shared scratch folder and read by their
-    consumers (store -> city table, quantity histogram, the rows themselves). All scratch is
-    deleted when the fact is written.
+    The deduplicated rows are stored once by their id in the shared scratch folder and read by
+    their consumers (store -> city table, quantity bins, the three columns that the rank needs,
+    the rows themselves). The rank comes back to the rows by their id, so whole rows are
+    exchanged twice in all: for dedup and for clustering by year. All scratch is deleted when
+    the fact is written.
     """
     with scratch_scope(raw.sparkSession):
-        deduped = pinned(dedup_transactions(raw))
+        deduped = bucketed(dedup_transactions(raw), "transaction_id")
         cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
-        write_parquet(add_features(cleaned), path, partition_by="year")
+        ranks = customer_txn_rank(purchases(deduped))
+        features = add_features(cleaned, ranks=ranks, null_ids=sizes["null_ids"] > 0)
+        write_parquet(features.select(*FACT_SCHEMA.fieldNames()), path, partition_by="year")
     return sizes["rows"]
 
 

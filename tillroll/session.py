@@ -64,6 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_NAMES: dict[str, str] = {}
+
+
+def scratch_table(path: str) -> str:
+    """A catalog name for a scratch path; it is dropped together with the path."""
+    _NAMES[path] = f"tillroll_{uuid.uuid4().hex}"
+    return _NAMES[path]
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -73,6 +82,8 @@ def _file_system(spark: SparkSession, path: str):
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table whose readers are done."""
     _LIVE.discard(path)
+    if path in _NAMES:
+        spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop(path)}")
     if _context(spark) is not None:
         at, fs = _file_system(spark, path)
         fs.delete(at, True)
