@@ -105,3 +105,70 @@ def test_whole_rows_are_exchanged_twice_per_job(spark, sf_small, tmp_out):
             # dedup's partial aggregate is two columns: the id and all others
             widths += [13 for line in re.findall(r"Exchange\nInput \[2\]: \[transaction_id#\d+, min#\d+\]", text)]
     assert len([n for n in widths if n > 10]) <= 2, widths
+
+
+def test_counts_and_bounds_come_from_the_footers(spark, sf_small):
+    from tillroll.registry import QUERIES
+
+    for key, what in (("row_count", "COUNT(*)"), ("filter_date_bounds", "MIN(date), MAX(date)")):
+        text = _formatted(QUERIES[key](spark, sf_small))
+        assert f"PushedAggregation: [{what}]" in text, text
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is left alone
+
+
+def _rows_scanned(df) -> int:
+    """Rows that the file scan of a plan gave, after row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan
+    leaf = plan.collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_date_range_within_a_year_reads_fewer_row_groups(spark, sf_small, tmp_out):
+    import datetime as dt
+
+    from tillroll.plans.pipeline import FACT_LAYOUT, read_fact
+    from tillroll.plans.view import FilterSpec
+    from tillroll.sources.files import write_parquet
+
+    fact = fact_table(spark, sf_small).union(fact_table(spark, sf_small)).union(fact_table(spark, sf_small))
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "16384")
+    hadoop.set("parquet.page.size.row.check.min", "50")
+    hadoop.set("parquet.block.size.row.check.min", "50")
+    try:
+        write_parquet(fact.repartition(4), tmp_out + "/plain", partition_by="year")
+        write_parquet(fact.repartition(4), tmp_out + "/laid", **FACT_LAYOUT)
+    finally:
+        for k in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+            hadoop.unset(k)
+    spec = FilterSpec(date_from=dt.date(1997, 3, 1), date_to=dt.date(1997, 3, 31))
+    scanned, found = {}, {}
+    for name in ("plain", "laid"):
+        v = view(read_fact(spark, f"{tmp_out}/{name}"), spec).select("transaction_id", "total_amount")
+        found[name] = sorted(map(tuple, v.collect()), key=str)
+        scanned[name] = _rows_scanned(view(read_fact(spark, f"{tmp_out}/{name}"), spec).select("transaction_id", "total_amount"))
+    assert found["plain"] == found["laid"] and len(found["laid"]) > 0
+    assert scanned["laid"] < scanned["plain"] * 0.6, scanned
+
+
+def test_rows_stored_by_id_are_joined_and_grouped_without_an_exchange(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.dedup import dedup_transactions
+    from tillroll.operators.joins import bucketed
+    from tillroll.plans.pipeline import raw_table
+    from tillroll.session import scratch_scope
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with scratch_scope(spark):
+        rows = bucketed(dedup_transactions(raw_table(spark, sf_small)), "transaction_id")
+        per_id = rows.groupBy("transaction_id").agg(F.count("*").alias("c"))
+        assert "Exchange" not in _formatted(per_id).replace("ReusedExchange", "")
+        twice = rows.join(per_id.hint("merge"), "transaction_id")
+        assert "Exchange" not in _formatted(twice) and "SortMergeJoin" in _formatted(twice)
+        assert twice.where("c > 1").count() == 0 and twice.count() == rows.count()
+        # the number of duplicate ids needs no second shuffle of the rows
+        assert _formatted(rows.agg(F.count_distinct("transaction_id"))).count("hashpartitioning") == 0
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -218,7 +218,9 @@ def exact_quantiles(
     )
 
 
-def percentile_disc(df: DataFrame, column: str, p: float, name: str = "value") -> DataFrame:
+def percentile_disc(
+    df: DataFrame, column: str, p: float, name: str = "value", ranges: dict[str, tuple] | None = None
+) -> DataFrame:
     """One-row frame ``(<name>)`` with the exact discrete percentile of ``column``; no row if
     the column has no value."""
-    return exact_quantiles(df, [column], [p], [name], method="disc").select(name)
+    return exact_quantiles(df, [column], [p], [name], method="disc", ranges=ranges).select(name)

@@ -15,7 +15,11 @@ CAP_QUANTILE = 0.99
 
 
 def quantile_cap(
-    df: DataFrame, column: str = "quantity", p: float = CAP_QUANTILE, accuracy: int | None = None
+    df: DataFrame,
+    column: str = "quantity",
+    p: float = CAP_QUANTILE,
+    accuracy: int | None = None,
+    ranges: dict[str, tuple] | None = None,
 ) -> DataFrame:
     """One-row frame with the ``p`` quantile of ``column`` (same type).
 
@@ -24,7 +28,7 @@ def quantile_cap(
     rank error about 1/accuracy) -- the cheaper option where an exact cut is not required.
     """
     if accuracy is None:
-        return percentile_disc(df, column, p, name="cap")
+        return percentile_disc(df, column, p, name="cap", ranges=ranges)
     dtype = df.schema[column].dataType
     return df.agg(F.percentile_approx(column, p, accuracy).cast(dtype).alias("cap"))
 

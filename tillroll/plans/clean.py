@@ -34,16 +34,19 @@ def clean_deduped_with_sizes(
     the rows each read it, the first two only their columns."""
     # a few rows per store, partially aggregated per map task
     counts = deduped.groupBy("store_id", "city")
-    counts = pinned(counts.agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("transaction_id").isNull()).alias("no_id")))
+    counts = pinned(counts.agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("transaction_id").isNull()).alias("no_id"),
+                               F.count("quantity").alias("n"), F.min("quantity").alias("lo"), F.max("quantity").alias("hi")))
     sizes = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("no_id"), F.lit(0)).alias("null_ids"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.count_distinct(F.when(F.col("city").isNotNull(), F.col("store_id"))).alias("stores"),
     ).first().asDict()
+    quantities = {"quantity": (sizes["n"], sizes["lo"], sizes["hi"])}
     df = with_parsed_date(deduped)
     df = impute_city(df, max_broadcast_rows, modes=city_mode_from_counts(counts), mode_rows=sizes["stores"])
     df = impute_defaults(df)
-    df = cap_column(df, "quantity", "quantity_capped", cap=quantile_cap(deduped, "quantity"))
+    df = cap_column(df, "quantity", "quantity_capped", cap=quantile_cap(deduped, "quantity", ranges=quantities))
     return with_amount(df), sizes
 
 

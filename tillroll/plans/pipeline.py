@@ -20,11 +20,22 @@ from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
-from tillroll.session import app_id, input_state, scratch_path, scratch_scope
+from tillroll.session import app_id, input_state, scratch_path, scratch_scope, together
 from tillroll.sources.files import CORRUPT, REASONS, quarantine, read_summary, write_csv, write_parquet
+from tillroll.sources.publish import staged
 from tillroll.sources.star import raw_transactions
 
 
+# Where a row of the fact is stored: months of a year together, ordered by date and city within
+# a file; the dashboard filters on these and on the two columns with Bloom filters.
+FACT_LAYOUT = {
+    "partition_by": "year",
+    "cluster_by": ("month",),
+    "sort_by": ("date", "city"),
+    "bloom": ("category", "payment_method"),
+}
+
+
 def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
     """Clean + features, written as Parquet clustered and partitioned by year; returns the
     number of rows after dedup.
@@ -40,7 +51,7 @@ def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROA
         cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
         ranks = customer_txn_rank(purchases(deduped))
         features = add_features(cleaned, ranks=ranks, null_ids=sizes["null_ids"] > 0)
-        write_parquet(features.select(*FACT_SCHEMA.fieldNames()), path, partition_by="year")
+        write_parquet(features.select(*FACT_SCHEMA.fieldNames()), path, **FACT_LAYOUT)
     return sizes["rows"]
 
 
@@ -63,24 +74,28 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     return path
 
 
+def raw_path(spark: SparkSession, sf_dir: str) -> str:
+    return _memo(spark, sf_dir, "raw", lambda p: write_parquet(raw_transactions(spark, sf_dir), p))
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transactions derived from the star tables in ``sf_dir``, written once per
     application as Parquet (the counterpart of the reference's raw transaction file)."""
-    path = _memo(
-        spark, sf_dir, "raw", lambda p: write_parquet(raw_transactions(spark, sf_dir), p)
-    )
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    return spark.read.schema(RAW_SCHEMA).parquet(raw_path(spark, sf_dir))
 
 
-def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature fact derived from the star tables in ``sf_dir``, built once per
-    application and reused by every query of the registry."""
-
+def fact_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> str:
         write_fact(quarantine(raw_table(spark, sf_dir))[0], path)
         return path
 
-    return read_fact(spark, _memo(spark, sf_dir, "fact", build))
+    return _memo(spark, sf_dir, "fact", build)
+
+
+def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature fact derived from the star tables in ``sf_dir``, built once per
+    application and reused by every query of the registry."""
+    return read_fact(spark, fact_path(spark, sf_dir))
 
 
 def run_pipeline(
@@ -96,25 +111,35 @@ def run_pipeline(
     summaries. The seven analysis tables come back as small frames over the written report
     passes. Returns the output paths and the profile as small driver-side values.
 
+    The outputs are staged and published together (:mod:`tillroll.sources.publish`): if the job
+    fails, those of the last one remain.
+
     ``raw`` should be a file scan; derive-and-write it first when it comes from a join, as
     :func:`raw_table` does. A CSV scan with its corrupt lines
     (``read_raw_csv(..., with_corrupt=True)``) is landed once, because which lines are
     malformed depends on the columns that a query parses. Every input row is a clean row, a
     duplicate or in the quarantine: ``num_rows = rows_after_dedup + duplicates + quarantined``.
     """
-    out_dir = out_dir.rstrip("/")
-    with scratch_scope(spark):
-        if CORRUPT in raw.columns:
-            raw = pinned(raw)
-        prof = profile_pass(raw).first().asDict()
-        good, rejected = quarantine(raw)
-        paths = {"quarantine": write_parquet(rejected, f"{out_dir}/quarantine"), "fact": f"{out_dir}/fact"}
-        prof["rows_after_dedup"] = write_fact(good, paths["fact"], max_broadcast_rows)
-    prof["quarantined"] = sum(prof[f"quarantined__{r}"] for r in REASONS)
-    prof["duplicates"] = prof["num_rows"] - prof["quarantined"] - prof["rows_after_dedup"]
-    fact = read_fact(spark, paths["fact"])
-    paths |= _write_export(fact, out_dir, ["csv", "parquet"] if write_parquet_export else ["csv"])
-    tables = _write_summaries(fact, out_dir, paths)
+    with staged(spark, out_dir) as stage:
+        at = stage.path
+        with scratch_scope(spark):
+            if CORRUPT in raw.columns:
+                raw = pinned(raw)
+            good, rejected = quarantine(raw)
+            paths = {"quarantine": f"{at}/quarantine", "fact": f"{at}/fact"}
+            row, _ = together(spark, lambda: profile_pass(raw).first(), lambda: write_parquet(rejected, paths["quarantine"]))
+            prof = row.asDict()
+            prof["rows_after_dedup"] = write_fact(good, paths["fact"], max_broadcast_rows)
+        prof["quarantined"] = sum(prof[f"quarantined__{r}"] for r in REASONS)
+        prof["duplicates"] = prof["num_rows"] - prof["quarantined"] - prof["rows_after_dedup"]
+        fact = read_fact(spark, paths["fact"])
+        exported, (tables, written) = together(
+            spark,
+            lambda: _write_export(fact, at, ["csv", "parquet"] if write_parquet_export else ["csv"]),
+            lambda: _write_summaries(fact, at),
+        )
+        paths |= exported | written
+        stage.commit(paths)
     return {"paths": paths, "profile": prof, "tables": {k: v for k, v in tables.items() if k in ANALYSES}}
 
 
@@ -127,28 +152,30 @@ def _write_export(features: DataFrame, out_dir: str, formats: list[str]) -> dict
     return paths
 
 
-def _write_summaries(features: DataFrame, out_dir: str, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """The report passes and the six summaries, written next to the fact."""
+def _write_summaries(features: DataFrame, out_dir: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The report passes and the six summaries, written next to the fact; all tables, and the
+    summaries' paths."""
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         at = write_parquet(df, f"{out_dir}/report/{name}")
         return df.sparkSession.read.schema(df.schema).parquet(at)
 
     tables = report_tables(features, keep)
-    for name in SUMMARIES:
-        paths[name] = write_csv(tables[name], f"{out_dir}/{name}.csv")
-    return tables
+    paths = together(features.sparkSession, *[lambda name=name: write_csv(tables[name], f"{out_dir}/{name}.csv") for name in SUMMARIES])
+    return tables, dict(zip(SUMMARIES, paths))
 
 
 def export(features: DataFrame, out_dir: str, fmt: str = "csv") -> dict[str, str]:
     """Write the 21-column cleaned export (``csv`` or ``parquet`` by year) and the six
-    summaries (CSV) from a feature frame, with Spark's distributed writers."""
+    summaries (CSV) from a feature frame, with Spark's distributed writers, and publish them
+    together."""
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}")
-    out_dir = out_dir.rstrip("/")
-    paths = _write_export(features, out_dir, [fmt])
-    paths["cleaned"] = paths[f"cleaned_{fmt}"]
-    _write_summaries(features, out_dir, paths)
+    with staged(features.sparkSession, out_dir) as stage:
+        paths = _write_export(features, stage.path, [fmt])
+        paths["cleaned"] = paths[f"cleaned_{fmt}"]
+        paths |= _write_summaries(features, stage.path)[1]
+        stage.commit(paths)
     return paths
 
 

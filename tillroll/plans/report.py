@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
 from tillroll.plans.analysis import TABLES, distinct_customers, totals
+from tillroll.session import together
 
 
 def _pass(fact: DataFrame, customers: bool) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
@@ -32,10 +33,11 @@ def report_tables(fact: DataFrame, keep: Callable[[DataFrame, str], DataFrame] |
     """All tables by name. ``keep`` writes a pass (given its name) and reads it back; by
     default they are scratch tables."""
     keep = keep or (lambda df, name: pinned(df))
+    kinds = ((False, "totals"), (True, "customer_totals"))
+    passes = [_pass(fact, customers) for customers, _ in kinds]
+    kept = together(fact.sparkSession, *[lambda got=got, name=name: keep(got, name) for (got, _), (_, name) in zip(passes, kinds)])
     out = {}
-    for customers, name in ((False, "totals"), (True, "customer_totals")):
-        got, ids = _pass(fact, customers)
-        got = keep(got, name)
+    for (customers, _), (_, ids), got in zip(kinds, passes, kept):
         for table, t in TABLES.items():
             if t.customers == customers:
                 out[table] = t.finish(got.where(F.col("_gid") == ids[t.keys]))

@@ -29,9 +29,9 @@ from tillroll.plans.analysis import ANALYSES, SUMMARIES, summary_category
 from tillroll.plans.clean import null_total, with_parsed_date
 from tillroll.plans.dashboard import DASH_QUERIES
 from tillroll.plans.features import export_frame
-from tillroll.plans.pipeline import fact_table, published_summaries, raw_table, run_pipeline
+from tillroll.plans.pipeline import fact_path, fact_table, published_summaries, raw_path, raw_table, run_pipeline
 from tillroll.plans.view import DEFAULT_SPEC, FilterSpec, coverage, date_bounds, filter_options, view
-from tillroll.schema import CLEANED_COLUMNS, SUMMARY_SCHEMAS
+from tillroll.schema import CLEANED_COLUMNS, FACT_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMAS
 from tillroll.session import scratch_path
 from tillroll.sources import files
 
@@ -178,6 +178,16 @@ def pipeline_summaries(spark: SparkSession, sf: str) -> DataFrame:
     return published_summaries(spark, result["paths"])
 
 
+def row_count_q(spark: SparkSession, sf: str) -> DataFrame:
+    """From the footers of the raw files."""
+    return profile.row_count(files.read_footers(spark, raw_path(spark, sf), RAW_SCHEMA))
+
+
+def filter_date_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """From the footers of the fact."""
+    return date_bounds(files.read_footers(spark, fact_path(spark, sf), FACT_SCHEMA))
+
+
 def _on_raw(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: fn(_raw(spark, sf))
 
@@ -202,7 +212,7 @@ QUERIES: dict[str, Query] = {
     "export_cleaned": export_cleaned,
     "project_cleaned": _on_export(lambda e: e),
     # profile
-    "row_count": _on_raw(profile.row_count),
+    "row_count": row_count_q,
     "null_counts": _on_raw(profile.null_counts),
     "duplicate_count": _on_raw(profile.duplicate_count),
     "describe_numeric": _on_raw(profile.describe_numeric),
@@ -233,7 +243,7 @@ QUERIES: dict[str, Query] = {
     # dashboard view
     **{name: _on_view(lambda v: v, spec) for name, spec in SINGLE_FILTERS.items()},
     "filtered_view": _on_view(lambda v: v),
-    "filter_date_bounds": _on_export(date_bounds),
+    "filter_date_bounds": filter_date_bounds,
     "filter_coverage": _on_export(coverage),
     "filter_options": _on_export(filter_options),
     **{name: _on_view(fn) for name, fn in DASH_QUERIES.items()},

@@ -6,9 +6,11 @@ import atexit
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -73,7 +75,8 @@ def scratch_table(path: str) -> str:
     return _NAMES[path]
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop path and the file system it lies in."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -85,7 +88,7 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     if path in _NAMES:
         spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop(path)}")
     if _context(spark) is not None:
-        at, fs = _file_system(spark, path)
+        at, fs = file_system(spark, path)
         fs.delete(at, True)
 
 
@@ -110,9 +113,21 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
             drop_scratch(spark, path)
 
 
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Results of independent Spark actions that are started at the same time, so that small
+    ones fill the cores that the last tasks of others leave idle. The first error is raised
+    once all have ended."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inherit(job)) for job in jobs]
+    return [r.result() for r in running]
+
+
 def input_state(spark: SparkSession, path: str) -> str:
     """Name, length and modification time of the files under a path, as one string."""
-    at, fs = _file_system(spark, path)
+    at, fs = file_system(spark, path)
     if not fs.exists(at):
         return "missing"
     files, out = fs.listFiles(at, True), []

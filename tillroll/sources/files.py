@@ -120,6 +120,21 @@ def read_cleaned_parquet(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*CLEAN_SCHEMA.fieldNames())
 
 
+def read_footers(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet rows, for aggregates that the files' footers answer: ``count`` of rows or of a
+    column, ``min`` and ``max`` of numbers and dates, grouped by partition columns at most. Such
+    an aggregate reads no row group; any other query on the frame reads it as usual.
+
+    The Parquet source takes aggregates only where it is read by its newer interface, which a
+    session chooses; so the frame belongs to a session of its own, beside the caller's (same
+    application, executors and catalog)."""
+    own = spark.newSession()
+    v1 = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(f for f in v1 if f.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return _guard(own.read.schema(schema).parquet, path, "Parquet input")
+
+
 def read_summary(spark: SparkSession, path: str, name: str) -> DataFrame | None:
     """A published summary table, or None when it has not been written."""
     try:
@@ -133,14 +148,28 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> str:
-    """With ``partition_by`` the rows are first rebalanced by that column: adaptive execution
-    packs small values together and splits large ones, so a value gets a few files of the
-    advisory size instead of one per task."""
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    mode: str = "overwrite",
+    cluster_by: tuple[str, ...] = (),
+    sort_by: tuple[str, ...] = (),
+    bloom: tuple[str, ...] = (),
+) -> str:
+    """With ``partition_by`` the rows are first rebalanced by that column (and ``cluster_by``):
+    adaptive execution packs small values together and splits large ones, so a value gets a few
+    files of the advisory size instead of one per task. ``sort_by`` orders the rows of a file,
+    so that its row groups, and the pages in them, have narrow ranges of those columns, which a
+    reader skips by their statistics; ``bloom`` columns get Bloom filters, for ``=`` and ``in``."""
     if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.mode(mode).partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode(mode).parquet(path)
+        df = df.hint("rebalance", *[F.col(c) for c in (partition_by, *cluster_by)])
+    if sort_by:
+        df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
+    writer = df.write.mode(mode)
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
