@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
+from tillroll.session import scratch_path
 
 # Words are maximal runs of anything but ASCII white space (a contract's fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +28,15 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def handed_up(df: DataFrame, inner: list[str], outer: list[str]) -> DataFrame:
+    """``df`` written to the shared folder so that it outlives the inner of two scratch scopes."""
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    inner.remove(path)
+    outer.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,8 +13,9 @@ How candidates are found without all pairs of a bucket:
 2. Star: in each bucket, all members are compared with its centre only, the member that
    shares most buckets with others. Copies of one text are mostly linked here.
 3. Small buckets that still hold more than one component: all pairs of different components.
-4. Large ones are looked at from their consensus, the k-mers that over half of the members
-   have. A member x has X(x) k-mers beyond it and lacks A(x) of it. A link from x to c needs
+4. Large ones are put together where they share members, so that a node is in one group, and a
+   group is looked at from its consensus, the k-mers that over half of the members have. A
+   member x has X(x) k-mers beyond it and lacks A(x) of it. A link from x to c needs
    at most (x + c) / 9 k-mers that only one of them has, which are X(x) + X(c) - 2 s +
    |A(x) - A(c)| or more, where s counts the k-mers beyond the consensus that both have. So
    all members are compared with the one nearest to the consensus; then those that may be
@@ -46,9 +47,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tillroll.llm.common import broadcast_checked, row_key, ship, without_rows
+from tillroll.llm.common import broadcast_checked, handed_up, row_key, ship, without_rows
 from tillroll.llm.components import components
 from tillroll.operators.joins import pinned
+from tillroll.session import scratch_scope
 
 K = 5
 SIMILARITY = 0.8
@@ -268,6 +270,15 @@ def _listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": frame["node"], "k": [kmers(t).view(np.int64) for t in frame["text"]]})
 
 
+def one_group(large: DataFrame) -> DataFrame:
+    """The members of large buckets, each node once: buckets that share a node are one group,
+    named ``centre`` by the least node of its centres and members. A pair of a bucket is in one
+    group, and a node's k-mers are listed once, in however many buckets it is."""
+    joined = components(large.select("centre", "node").distinct(), "centre", "node")
+    nodes = large.select("node", "n").distinct()
+    return pinned(nodes.join(joined.toDF("node", "centre"), "node", "left").select(F.coalesce("centre", "node").alias("centre"), "node", "n"))
+
+
 def consensus(members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """For groups of members (``centre``, ``node``, ``n``): per member ``x`` and ``a``, the
     numbers of k-mers beyond the group's consensus and lacked of it; and the k-mers beyond it
@@ -326,7 +337,15 @@ def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``_rk``, ``_tk``, ``doc_id``, ``class_id`` (the least id of the class) and ``comp`` of
     every document. Numbers of links are not given: members of one class are not all compared
-    with each other."""
+    with each other. Scratch tables go as soon as their level is done; the result is written."""
+    whole: list[str] = []
+    with scratch_scope(docs.sparkSession) as outer:
+        found = handed_up(_classes(docs, doc_id, text, outer), outer, whole)
+    return found
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, outer: list[str]) -> DataFrame:
+    spark = docs.sparkSession
     table = pinned(sketch_table(docs, doc_id, text))
     nodes = pinned(
         table.where("node is not null")
@@ -377,24 +396,26 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     members = pinned(with_centre(buckets(nodes)))
     for level in range(MAX_LEVELS):  # each level is some thirty jobs
-        compare(star_pairs(members))
-        rest = mixed(members)
-        last = level == MAX_LEVELS - 1
-        large = rest.where(F.col("size") > SMALL_BUCKET)
-        if last or large.isEmpty():
-            compare(component_pairs(rest))
-            break
-        group = pinned(large.select("centre", "node", "n").distinct())
-        seen, beyond = consensus(group, texts)
-        nearest = seen.groupBy("centre").agg(F.min(F.struct((F.col("x") + F.col("a")).alias("d"), "node", "n")).alias("m"))
-        nearest = pinned(nearest.select("centre", F.col("m.node").alias("nearest"), F.col("m.n").alias("cn")))
-        away = seen.join(nearest, "centre").where((F.col("node") != F.col("nearest")) & _close("n", "cn"))
-        away = with_comp(with_comp(away), "nearest", "near").where(F.col("comp") != F.col("near"))
-        few = component_pairs(rest.where(F.col("size") <= SMALL_BUCKET))
-        compare(away.select(*_pair("node", "nearest")).union(few).distinct())
-        labelled = pinned(with_comp(with_comp(seen.join(nearest, "centre")), "nearest", "near"))
-        compare(apart_pairs(labelled))
-        members = pinned(with_centre(finer_buckets(seen, beyond)))
+        with scratch_scope(spark) as inner:
+            compare(star_pairs(members))
+            rest = mixed(members)
+            large = rest.where(F.col("size") > SMALL_BUCKET)
+            if level == MAX_LEVELS - 1 or large.isEmpty():
+                compare(component_pairs(rest))
+                comps = handed_up(comps, inner, outer)
+                break
+            group = one_group(large)
+            seen, beyond = consensus(group, texts)
+            nearest = seen.groupBy("centre").agg(F.min(F.struct((F.col("x") + F.col("a")).alias("d"), "node", "n")).alias("m"))
+            nearest = pinned(nearest.select("centre", F.col("m.node").alias("nearest"), F.col("m.n").alias("cn")))
+            away = seen.join(nearest, "centre").where((F.col("node") != F.col("nearest")) & _close("n", "cn"))
+            away = with_comp(with_comp(away), "nearest", "near").where(F.col("comp") != F.col("near"))
+            few = component_pairs(rest.where(F.col("size") <= SMALL_BUCKET))
+            compare(away.select(*_pair("node", "nearest")).union(few).distinct())
+            labelled = pinned(with_comp(with_comp(seen.join(nearest, "centre")), "nearest", "near"))
+            compare(apart_pairs(labelled))
+            members = handed_up(with_centre(finer_buckets(seen, beyond)), inner, outer)
+            comps, tried = handed_up(comps, inner, outer), handed_up(tried, inner, outer)
     of = nodes.select("node").join(comps.toDF("node", "comp"), "node", "left")
     of = of.select("node", F.coalesce("comp", "node").alias("comp"))
     rows = table.select("_rk", "_tk", "doc_id", "node").join(of, "node", "left")
@@ -412,7 +433,7 @@ def report(docs: DataFrame, **names) -> DataFrame:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, the one of least id, all columns unchanged."""
-    rows = pinned(classes(docs, doc_id, text))
+    rows = classes(docs, doc_id, text)
     best = rows.where("comp is not null").groupBy("comp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_rk", "_tk")).alias("m")
     ).select("comp", F.col("m._rk").alias("brk"), F.col("m._tk").alias("btk"))
