@@ -65,6 +65,7 @@ def compare(spark_df, con, sql, digits=None):
 _SPARK_TO_DUCK = {
     "IntegerType()": "INTEGER",
     "LongType()": "BIGINT",
+    "BooleanType()": "BOOLEAN",
     "DoubleType()": "DOUBLE",
     "StringType()": "VARCHAR",
     "DateType()": "DATE",

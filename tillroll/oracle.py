@@ -220,10 +220,16 @@ def _describe(cols, digits=6, quartiles=False) -> str:
 
 
 def _filter_sql() -> dict[str, str]:
-    from tillroll.registry import SINGLE_FILTERS
+    from tillroll.registry import FILTER_STATES, ONE_DATE, SINGLE_FILTERS
 
     out = {name: q("export", view_sql(spec)) for name, spec in SINGLE_FILTERS.items()}
     out["filtered_view"] = q("v", "SELECT * FROM v")
+    out["filter_one_date"] = q("export", view_sql(ONE_DATE))
+    states = [
+        f"SELECT '{name}' AS state, count(*) = 0 AS is_empty FROM export WHERE {pred_sql(spec)}"
+        for name, spec in FILTER_STATES.items()
+    ]
+    out["filter_states"] = q("export", "\nUNION ALL\n".join(states))
     return out
 
 
@@ -261,6 +267,15 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         # sources / sinks
         "csv_scan": q("raw", "SELECT * FROM raw"),
+        "csv_scan_by_name": q("raw", "SELECT * FROM raw"),
+        "summary_availability": q(
+            F,
+            "SELECT * FROM (VALUES "
+            + ", ".join(f"('{n}', FALSE, CAST(NULL AS BIGINT))" for n in [*_PUBLISHED, "cleaned"] if n not in ("summary_category", "summary_payment"))
+            + ") AS t(name, available, num_rows)\n"
+            "UNION ALL SELECT 'summary_category', TRUE, (SELECT count(*) FROM (SELECT DISTINCT category FROM feat))\n"
+            "UNION ALL SELECT 'summary_payment', TRUE, (SELECT count(*) FROM (SELECT DISTINCT payment_method FROM feat))",
+        ),
         "cleaned_scan": q("export", "SELECT * FROM export"),
         "summary_scan": None,  # filled below (same as summary_category)
         "export_cleaned": q("export", "SELECT * FROM export"),

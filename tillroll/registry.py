@@ -14,6 +14,7 @@ and return the frame read back with the declared schema.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,19 @@ SINGLE_FILTERS = {
 }
 
 
+# One date picked of two: no restriction but the data's own bounds.
+ONE_DATE = FilterSpec.from_range((dt.date(1997, 1, 1),))
+# Filter states that some views have rows under, and some not.
+FILTER_STATES = {
+    "default": DEFAULT_SPEC,
+    "one_date": ONE_DATE,
+    "no_category": FilterSpec(categories=()),
+    "before_all_data": FilterSpec(date_to=dt.date(1900, 1, 1)),
+}
+# Summaries that are written in the query about missing files.
+PARTLY = ("summary_category", "summary_payment")
+
+
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return raw_table(spark, sf)
 
@@ -89,6 +103,28 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_raw_csv(spark, path)
 
 
+def csv_scan_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw file with its columns turned round and one more among them."""
+    raw = _raw(spark, sf)
+    turned = raw.select(*reversed(raw.columns)).withColumn("note", F.lit("x")).select("note", *reversed(raw.columns))
+    return files.read_raw_csv(spark, files.write_csv(turned, scratch_path(spark, "turned_csv")))
+
+
+def summary_availability(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of the processed files there are after only two summaries were written: name,
+    available, rows."""
+    at = scratch_path(spark, "partly")
+    for name in PARTLY:
+        files.write_csv(SUMMARIES[name](_fact(spark, sf)), f"{at}/{name}.csv")
+    found = {name: files.read_summary(spark, f"{at}/{name}.csv", name) for name in SUMMARIES}
+    rows = [(name, t is not None, None if t is None else t.count()) for name, t in found.items()]
+    try:
+        files.read_cleaned_csv(spark, f"{at}/cleaned.csv")
+    except files.MissingInputError:
+        rows.append(("cleaned", False, None))
+    return spark.createDataFrame(rows, "name string, available boolean, num_rows long")
+
+
 def cleaned_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = files.write_csv(_export(spark, sf), scratch_path(spark, "cleaned_csv"))
     return files.read_cleaned_csv(spark, path)
@@ -204,11 +240,19 @@ def _on_export(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: fn(_export(spark, sf))
 
 
+def filter_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the view of each filter state has no row: state, is_empty."""
+    rows = [(name, _view(spark, sf, spec).isEmpty()) for name, spec in FILTER_STATES.items()]
+    return spark.createDataFrame(rows, "state string, is_empty boolean")
+
+
 QUERIES: dict[str, Query] = {
     # sources / sinks
     "csv_scan": csv_scan,
+    "csv_scan_by_name": csv_scan_by_name,
     "cleaned_scan": cleaned_scan,
     "summary_scan": summary_scan,
+    "summary_availability": summary_availability,
     "export_cleaned": export_cleaned,
     "project_cleaned": _on_export(lambda e: e),
     # profile
@@ -243,6 +287,8 @@ QUERIES: dict[str, Query] = {
     # dashboard view
     **{name: _on_view(lambda v: v, spec) for name, spec in SINGLE_FILTERS.items()},
     "filtered_view": _on_view(lambda v: v),
+    "filter_one_date": _on_view(lambda v: v, ONE_DATE),
+    "filter_states": filter_states,
     "filter_date_bounds": filter_date_bounds,
     "filter_coverage": _on_export(coverage),
     "filter_options": _on_export(filter_options),
