@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept;
 its output is written as Parquet in the shared folder and read again as the next one's
 input. All but the last return the columns of ``documents``.
+
+Defined results: documents with a null or empty text, or few words, go with the quality rules; a
+null id, language or source is kept as it is and groups with its like; of repeated rows one
+stays; further columns, of any name, stay up to the last stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
