@@ -258,6 +258,39 @@ def _published(sql: dict[str, str]) -> str:
     return chain + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
 
 
+# panel -> its key columns and measures
+_PANELS = {
+    "dash_monthly_trend": (["year_month"], ["revenue", "orders"]),
+    "dash_category_revenue": (["category"], ["revenue"]),
+    "dash_category_share": (["category"], ["count", "share"]),
+    "dash_city_revenue": (["city"], ["revenue", "orders"]),
+    "dash_payment_share": (["method"], ["count", "share"]),
+    "dash_heatmap_wide": (["day_name"], [f"hour_{h}" for h in range(24)]),
+    "dash_heatmap_long": (["day_name", "hour"], ["revenue"]),
+    "dash_quarterly": (["year", "quarter"], ["revenue"]),
+    "dash_discount_impact": (["discount_pct"], ["revenue", "orders"]),
+    "dash_weekend": (["is_weekend"], ["revenue", "orders", "avg_val"]),
+    "dash_top10_products": (["product_name"], ["revenue"]),
+    "kpis": (
+        [],
+        ["total_revenue", "total_orders", "avg_order_value", "unique_customers", "total_quantity", "avg_discount"],
+    ),
+}
+
+
+def _stacked_panels(sql: dict[str, str]) -> str:
+    """The panels stacked to (panel, key, measure, value)."""
+    ctes, parts = [], []
+    for name, (keys, measures) in _PANELS.items():
+        ctes.append(f"{name} AS ({sql[name].split(q('v', ''), 1)[1]})")
+        key = " || '|' || ".join(f"coalesce(CAST(\"{k}\" AS VARCHAR), '')" for k in keys) or "''"
+        parts += [
+            f"SELECT '{name}' AS panel, {key} AS \"key\", '{m}' AS measure, CAST(\"{m}\" AS DOUBLE) AS \"value\" FROM {name}"
+            for m in measures
+        ]
+    return q("v", "").rstrip() + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
 _HOURS = list(range(24))
 _DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -478,4 +511,5 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["summary_scan"] = sql["summary_category"]
     sql["pipeline_summaries"] = _published(sql)
+    sql["dash_panels"] = _stacked_panels(sql)
     return sql

@@ -18,6 +18,7 @@ from tillroll.plans.analysis import ANALYSES, SUMMARIES
 from tillroll.plans.clean import clean_deduped_with_sizes, purchases
 from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
+from tillroll.plans.rollup import write_rollups
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
 from tillroll.session import app_id, input_state, scratch_path, scratch_scope, together
@@ -98,6 +99,16 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, fact_path(spark, sf_dir))
 
 
+def rollup_path(spark: SparkSession, sf_dir: str) -> str:
+    """The dashboard's rollups of the fact, built once per application."""
+
+    def build(path: str) -> str:
+        write_rollups(export_frame(fact_table(spark, sf_dir)), path)
+        return path
+
+    return _memo(spark, sf_dir, "rollup", build)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: DataFrame,

@@ -30,7 +30,8 @@ from tillroll.plans.analysis import ANALYSES, SUMMARIES, summary_category
 from tillroll.plans.clean import null_total, with_parsed_date
 from tillroll.plans.dashboard import DASH_QUERIES
 from tillroll.plans.features import export_frame
-from tillroll.plans.pipeline import fact_path, fact_table, published_summaries, raw_path, raw_table, run_pipeline
+from tillroll.plans.pipeline import fact_path, fact_table, published_summaries, raw_path, raw_table, rollup_path, run_pipeline
+from tillroll.plans.rollup import panels, read_rollups, stacked
 from tillroll.plans.view import DEFAULT_SPEC, FilterSpec, coverage, date_bounds, filter_options, view
 from tillroll.schema import CLEANED_COLUMNS, FACT_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMAS
 from tillroll.session import scratch_path
@@ -246,6 +247,12 @@ def filter_states(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "state string, is_empty boolean")
 
 
+def dash_panels(spark: SparkSession, sf: str) -> DataFrame:
+    """All panels and the KPIs under the default filter, from the written rollups."""
+    tables = read_rollups(spark, rollup_path(spark, sf))
+    return stacked(panels(tables, DEFAULT_SPEC, _export(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     # sources / sinks
     "csv_scan": csv_scan,
@@ -293,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "filter_coverage": _on_export(coverage),
     "filter_options": _on_export(filter_options),
     **{name: _on_view(fn) for name, fn in DASH_QUERIES.items()},
+    "dash_panels": dash_panels,
 }
 
 assert set(SUMMARY_SCHEMAS) <= set(QUERIES)
