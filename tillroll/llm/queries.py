@@ -113,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # SQL of the queries that SQL can express; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_chat_format": chat_format.ORACLE,
+    "op8_url_filter": url_filter.ORACLE,
     "op12_curve_clusters": curve_clusters.oracle(),
 }
