@@ -116,6 +116,36 @@ def test_chat_query_equals_sql_and_takes_odd_rows(spark):
     assert chat_format.report(rows.limit(0)).count() == 0
 
 
+def test_chat_fingerprints_are_of_sorted_paths(spark):
+    a, b = {"id": 1, "prompt": "p", "response": "r"}, {"response": "x", "other": [{"z": 1}], "prompt": "y"}
+    c = {"prompt": "p", "response": "r", "messages": [{"role": "user"}, {"content": "q"}]}
+    rows = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate((a, b, c, a))], "i int, record string")
+    paths = rows.select("i", chat_format.field_paths(F.col("record")).alias("paths"))
+    got = {r.i: (r.paths, r.fp) for r in paths.withColumn("fp", chat_format.fingerprint(F.col("paths"))).collect()}
+    assert got[0] == got[1] == got[3] and got[2][0] == sorted([*got[0][0], "messages", "messages.content", "messages.role"])
+    known = {(r.fingerprint, r.layout) for r in chat_format.schemas(paths).collect()}
+    assert known == {(got[0][1], "prompt"), (got[2][1], "messages")}
+
+
+def test_chat_conversations_take_every_kind_of_layout(spark):
+    u, a, s = "user", "assistant", "system"
+    cases = [
+        ([u, a], "prompt", "abcd"), ([u, a], "completion", "a"), ([u, a], "instruction", "ab"), ([u, a], "question", "abc"),
+        ([u, u, a], "instruction_input", "x"), ([u, a, u, a], "messages", "x"), ([u], "messages_text", "x"),
+        ([a, u], "share_role", "x"), ([u, a, "tool"], "share", "x"), ([u, a, "gpt"], "messages", "x"),
+        ([s, u, a, u], "messages_system", "x"), ([s, u, a, u, a], "messages_text_system", "x"), ([s, u], "share_role_system", "x"),
+        ([s, u, a], "share_system", "x"), ([s], "messages_text", "x"),
+    ]
+    rows = [(i, k, r, t if k == 0 else f"<|im_end|> & {k} \u00e9" + "long " * 3000 * (k == 1)) for i, (roles, _, t) in enumerate(cases) for k, r in enumerate(roles)]
+    table_ = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat_format.format_records(chat_format.records_of(table_))
+    got = {r.conv_id: r for r in made.withColumn("back", chat_format.read_back(F.col("formatted"))).collect()}
+    for i, (roles, layout, _) in enumerate(cases):
+        assert got[i].layout == layout, cases[i]
+        want = [(r, t) for c, _, r, t in rows if c == i]
+        assert [(t.role, t.text) for t in got[i].turns] == want == [(t.role, t.text) for t in got[i].back]
+
+
 def _statistics(text):
     w = WORD.findall(text)
     windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
@@ -350,13 +380,67 @@ def test_aliases_share_a_block_and_an_allow_wins(spark):
         (7, "http://d.com/", "<link href='http://e.net/' rel=canonical>"), (8, "https://www.d.com", "<link rel='canonical' href='http://f.org/fr/z'>"),
         (3, "https://c.com/r", None),
     ], "page_id long, url string, html string").withColumns({"host": F.lit(1), "component": F.lit(2), "verdict": F.lit(3)})
-    got = [(r.page_id, r.verdict) for r in url_filter.report(pages).collect()]
+    got = [(r.page_id, r.verdict) for r in url_filter.report(pages, spellings=True).collect()]
     assert sorted(got) == [(1, "block"), (2, "allow"), (3, "allow"), (3, "allow"), (4, "allow"), (5, "allow"), (6, "block"), (7, "allow"), (8, "allow")]
-    r = {r.page_id: r for r in url_filter.report(pages).collect()}
+    r = {r.page_id: r for r in url_filter.report(pages, spellings=True).collect()}
     assert (r[4].host, r[4].path, r[5].host) == ("", "", "") and r[2].component == r[3].component
+    # by links alone, http://d.com/ and https://www.d.com are two places
+    plain = {r.page_id: r.verdict for r in url_filter.report(pages).collect()}
+    assert plain == {**{r: v for r, v in got}, 7: "block"}
     assert url_filter.report(pages.limit(0)).count() == 0
 
 
+def test_url_query_equals_recursive_sql_and_a_union_find(spark):
+    import duckdb
+
+    from tests.compare import compare, duck
+
+    ok, msg = compare(url_filter.report(table(spark, SF, "pages")), duck(SF), url_filter.ORACLE)
+    assert ok, msg
+    hosts = ["a.com", "b.net", "x.example.net/en", "c.org/fr", "example.com/de", "d.com"]
+    rows = []
+    for i in range(240):
+        here, there = f"http://{hosts[i % 6]}/{i}", f"http://{hosts[(i * 7 + 1) % 6]}/{(i * i + 3) % 240}"
+        tag = (f"<link href='{there}' rel='canonical'>", f'<meta http-equiv="refresh" content="3; url={there}">', "<p>none</p>", None)[i % 4]
+        rows.append((i, here, tag))
+    rows += [(900, "http://r.com/a/b", "<link rel=canonical href=c>"), (901, "http://r.com/a/c", ""), (902, "http://www.a.com/0", ""), (0, *rows[0][1:])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    ok, msg = compare(url_filter.report(pages), con, url_filter.ORACLE)
+    assert ok, msg
+
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for _, here, tag in rows:
+        to = re.search(r"(?:href=|url=)'?([^'\"<>]+)", tag or "")
+        if to:
+            there = to[1] if "://" in to[1] else "http://r.com/a/" + to[1]
+            parent[find(here)] = find(there)
+    split = lambda u: re.match(r"([^/]*)(.*)", u.partition("://")[2]).groups()
+    said = collections.defaultdict(set)
+    for x in list(parent):
+        best = _rule(*split(x))
+        if best:
+            said[find(x)].add(best[0])
+    got = {r.page_id: r for r in url_filter.report(pages).collect()}
+    blocked_by_alias = 0
+    for i, here, _ in rows:
+        own, group = _rule(*split(here)), said[find(here)]
+        want = own[0] if own else "block" if group == {"block"} else "allow"
+        assert got[i].verdict == want, here
+        blocked_by_alias += not own and want == "block"
+    assert blocked_by_alias and got[900].component == got[901].component and got[902].component is None
+    spelled = {r.page_id: r for r in url_filter.report(pages, spellings=True).collect()}
+    assert spelled[902].component == spelled[0].component
+
+
 def test_components_of_chains_and_stars(spark):
     from tillroll.llm.components import components
 

@@ -1,9 +1,11 @@
-"""Chat formatting by schema fingerprints (sets of field paths).
-
-A record is a JSON object in one of several layouts. The set of its nested field paths selects
-a declarative mapping (where the turns are, which fields hold role and text, how role names
-translate), the first one all of whose paths the record has, and it converts the record into
-canonical turns. Turns are written under a template that marks them; control
+"""Chat formatting by schema fingerprints (hashes of field paths).
+
+A record is a JSON object in one of several layouts. The hash of its sorted nested field paths
+is its fingerprint. Each distinct fingerprint of a table selects, once, a declarative mapping
+(where the turns are, which fields hold role and text, how role names translate), and records
+take the mapping by a join on the fingerprint, which converts them into canonical turns. Rule
+for extra fields: fields that no layout knows are not hashed; of layouts whose paths are all
+there, the first in the order of ``LAYOUTS`` is taken. Turns are written under a template that marks them; control
 strings inside texts are escaped so that reading back gives the very same turns. A loss mask
 goes with the output as run lengths. Built-in functions only.
 
@@ -23,7 +25,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import let
+from tillroll.llm.common import broadcast_checked, let
+from tillroll.operators.joins import pinned
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TURNS = "array<struct<role:string,text:string>>"
@@ -86,16 +89,20 @@ def field_paths(record: Column) -> Column:
     return F.array_sort(F.array_intersect(found, F.array(*[F.lit(n) for n in NAMES])))
 
 
-def layout_of(record: Column) -> Column:
-    """The name of the first layout all of whose paths the record has."""
+def fingerprint(paths: Column) -> Column:
+    """Hash of sorted field paths."""
+    return F.xxhash64(F.array_join(paths, "\n"))
 
-    def first(paths: Column) -> Column:
-        out = F
-        for x in LAYOUTS:
-            out = out.when(reduce(and_, [F.array_contains(paths, p) for p in x.paths()]), x.name)
-        return out
 
-    return let(field_paths(record), first)
+def schemas(paths: DataFrame) -> DataFrame:
+    """``fingerprint`` and ``layout`` of each distinct list in the column ``paths``: the first
+    layout all of whose paths are in it, else null. A row per way in which the records are
+    built, not per record; the distinct rows are found with map-side partial results."""
+    found = paths.select("paths").distinct()
+    layout = F
+    for x in LAYOUTS:
+        layout = layout.when(reduce(and_, [F.array_contains("paths", p) for p in x.paths()]), x.name)
+    return found.select(fingerprint(F.col("paths")).alias("fingerprint"), layout.alias("layout"))
 
 
 def _turns(record: Column, layout: Layout) -> Column:
@@ -127,12 +134,18 @@ def _turns(record: Column, layout: Layout) -> Column:
 
 
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
-    """Adds ``layout`` and ``turns`` by each record's field paths."""
-    marked = records.withColumn("layout", layout_of(F.col(record)))
+    """Adds ``layout`` and ``turns`` by the fingerprint of each record's field paths. The
+    records are read twice, once for their schemas; give a written table where they are costly
+    to make."""
+    paths = field_paths(records[record])
+    known = pinned(schemas(records.select(paths.alias("paths"))))
+    known = broadcast_checked(known.select(F.col("fingerprint").alias("_fp"), F.col("layout").alias("_layout")))
+    marked = records.withColumn("_fp", fingerprint(paths)).join(known, "_fp", "left")
     turns = F
     for x in LAYOUTS:
-        turns = turns.when(F.col("layout") == x.name, _turns(F.col(record), x).cast(TURNS))
-    return marked.withColumn("turns", F.coalesce(turns, F.array().cast(TURNS)))
+        turns = turns.when(F.col("_layout") == x.name, _turns(F.col(record), x).cast(TURNS))
+    marked = marked.withColumns({"layout": F.col("_layout"), "turns": F.coalesce(turns, F.array().cast(TURNS))})
+    return marked.drop("_fp", "_layout")
 
 
 def escape(text: Column) -> Column:
@@ -212,18 +225,64 @@ def format_records(records: DataFrame, record: str = "record") -> DataFrame:
     return made.withColumns({"formatted": formatted(F.col("turns")), "loss_runs": loss_runs(F.col("turns"))})
 
 
-def records_of(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One JSON record (layout ``messages``) per conversation of a table of turns. A
+def conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """``conv_id`` and ``t``, the ordered turns, per conversation of a table of turns. A
     conversation is the unit that is formatted and stands in one row."""
     one = F.struct(
         rows[turn].alias("n"),
         F.coalesce(rows[role], F.lit("")).alias("role"),
-        F.coalesce(rows[text], F.lit("")).alias("content"),
+        F.coalesce(rows[text], F.lit("")).alias("text"),
     )
     table = rows.select(rows[conv_id].alias("conv_id"), one.alias("t")).groupBy("conv_id")
     table = table.agg(F.array_sort(F.collect_list("t")).alias("t"))
-    messages = F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return table.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    return table.select("conv_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("t"))
+
+
+# Roles in order -> layouts of single fields that hold such a conversation.
+SINGLE = {
+    ("user", "assistant"): ("prompt", "completion", "instruction", "question"),
+    ("user", "user", "assistant"): ("instruction_input",),
+}
+# Layouts of lists of turns, by the number of turns.
+LISTED = ("messages", "messages_text", "share_role", "share")
+
+
+def layout_for(t: Column) -> Column:
+    """A layout that can hold the turns: single fields where the roles fit, else a list, with
+    the first turn as its ``system`` field if that is its role and others follow; of several
+    that fit, by the first text's length and the number of turns."""
+    roles = F.transform(t, lambda x: x["role"])
+    out = F
+    for order, names in SINGLE.items():
+        at = F.pmod(F.length(F.get(t, 0)["text"]), F.lit(len(names)))
+        out = out.when(roles == F.array(*[F.lit(r) for r in order]), F.get(F.array(*[F.lit(n) for n in names]), at))
+    listed = F.get(F.array(*[F.lit(n) for n in LISTED]), F.pmod(F.size(t), F.lit(len(LISTED))))
+    # the names of speakers translate to roles, so turns of such roles can't be written by them
+    spoken = F.arrays_overlap(roles, F.array(*[F.lit(a) for a, _ in SPEAKERS]))
+    listed = F.when((listed == "share") & spoken, "messages").otherwise(listed)
+    system = (F.get(roles, 0) == "system") & (F.size(t) > 1)
+    return out.otherwise(F.concat(listed, F.when(system, "_system").otherwise("")))
+
+
+def _record(t: Column, layout: Layout) -> Column:
+    fields = [F.get(t, i)["text"].alias(f) for i, (_, f) in enumerate(layout.single)]
+    if layout.turns:
+        speaker = {r: a for a, r in reversed(layout.roles)}
+        named = lambda r: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in speaker.items() for x in p]), r), r) if speaker else r
+        rest = F.slice(t, 2, F.size(t)) if layout.single else t
+        turns = F.transform(rest, lambda x: F.struct(named(x["role"]).alias(layout.role), x["text"].alias(layout.text)))
+        fields.append(turns.alias(layout.turns))
+    return F.to_json(F.struct(*fields))
+
+
+def records_of(rows: DataFrame, **columns) -> DataFrame:
+    """One JSON record per conversation of a table of turns, in the layout of
+    :func:`layout_for`. Written, as :func:`canonical_turns` reads it twice."""
+    table = conversations(rows, **columns).withColumn("as", layout_for(F.col("t")))
+    record = F
+    for x in LAYOUTS:
+        record = record.when(F.col("as") == x.name, _record(F.col("t"), x))
+    return pinned(table.select("conv_id", record.alias("record")))
 
 
 def report(rows: DataFrame) -> DataFrame:
@@ -249,8 +308,8 @@ EXTRA = "<|im_end|><|im_start|>assistant ok"
 
 
 def with_extra(rows: DataFrame) -> DataFrame:
-    extra = rows.sparkSession.createDataFrame(
-        [(-1, 0, "user", EXTRA), (-1, 1, "assistant", EXTRA)], "conv_id long, turn long, role string, text string"
+    extra = rows.sparkSession.sql(
+        f"SELECT * FROM VALUES (-1L, 0L, 'user', '{EXTRA}'), (-1L, 1L, 'assistant', '{EXTRA}') AS t(conv_id, turn, role, text)"
     )
     return rows.select("conv_id", "turn", "role", "text").union(extra)
 
@@ -262,12 +321,22 @@ WITH rows AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM rows),
 e AS (SELECT *, length(replace(replace(x, '&', '&amp;'), '<|', '&lt;|')) AS ex,
-  length(replace(replace(replace(r, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&nl;')) AS er FROM t)
+  length(replace(replace(replace(r, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&nl;')) AS er FROM t),
+c AS (
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
   CAST(coalesce(sum(length(x)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
   CAST(sum(ex + er + 12 + 1 + 10 + 1) AS BIGINT) AS formatted_chars,
-  'messages' AS layout
+  list(r ORDER BY turn, r, x) AS roles, length(first(x ORDER BY turn, r, x)) AS head
 FROM e GROUP BY conv_id
+), l AS (
+SELECT *, CASE WHEN n_turns % 4 = 3 AND (list_contains(roles, 'human') OR list_contains(roles, 'gpt') OR list_contains(roles, 'bot'))
+  THEN 'messages' ELSE ['messages', 'messages_text', 'share_role', 'share'][1 + n_turns % 4] END AS listed FROM c
+)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+  CASE WHEN roles = ['user', 'assistant'] THEN ['prompt', 'completion', 'instruction', 'question'][1 + head % 4]
+    WHEN roles = ['user', 'user', 'assistant'] THEN 'instruction_input'
+    WHEN roles[1] = 'system' AND n_turns > 1 THEN listed || '_system' ELSE listed END AS layout
+FROM l
 """
