@@ -1,10 +1,13 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source.
 
 Each document gets a vector of transformed statistics. Per (language, source) group the
-minimum-covariance-determinant estimate of centre and scatter is found by concentration
-steps from a coordinatewise median start: keep the rows whose squared Mahalanobis distance
-is within the group's ``support`` quantile, re-estimate from them, repeat. A document whose
-final distance is above ``cutoff`` is rejected. Built-in functions only.
+minimum-covariance-determinant estimate of centre and scatter is found by concentration steps:
+keep the rows whose squared Mahalanobis distance is within the group's ``support`` quantile,
+re-estimate from them, repeat until no group's log-determinant falls by ``tolerance`` any more
+(at most ``steps`` times). There are three deterministic starts: medians with absolute
+deviations, the correlations of the values clipped about the median, and the plain mean and
+covariance; each group takes the estimate of least determinant of all starts and steps. A
+document whose distance by it is above ``cutoff`` is rejected. Built-in functions only.
 
 Groups with fewer than ``min_group`` rows are pooled by language, and what is still small
 into one group. Every scatter gets ``floor`` squared added on its diagonal, so a statistic
@@ -18,6 +21,7 @@ empty table gives no rows. Extra columns are kept by :func:`keep_good` and not u
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +49,9 @@ MAX_REPEAT_PERCENT = 20
 VECTOR = ("x_word", "x_symbol", "x_line", "x_repeat", "x_upper")
 FLOOR = (0.06, 0.08, 0.08, 0.08, 0.08)
 SUPPORT = 0.75
-STEPS = 3
+STEPS = 20  # a bound that the tolerance ends before
+TOLERANCE = 0.001
+CLIP = 2.0  # of the second start, in deviations
 CUTOFF = 45.0  # a normal vector of five coordinates exceeds it with probability 1.4e-8
 MIN_GROUP = 60
 
@@ -157,16 +163,21 @@ def _factor(groups: DataFrame, d: int) -> DataFrame:
                 s = s - F.col(f"_l{i}_{k}") * F.col(f"_l{j}_{k}")
             groups = groups.withColumn(f"_l{i}_{j}", F.sqrt(F.greatest(s, F.lit(1e-12))) if i == j else s / F.col(f"_l{j}_{j}"))
     names = [f"_l{i}_{j}" for i in range(d) for j in range(i + 1)]
-    return groups.withColumn("factor", F.array(*[F.round(F.col(n), 12) for n in names])).drop(*names, "cov")
+    logdet = sum((2 * F.log(f"_l{i}_{i}") for i in range(1, d)), 2 * F.log("_l0_0"))
+    groups = groups.withColumn("factor", F.array(*[F.round(F.col(n), 12) for n in names]))
+    return groups.withColumn("logdet", F.round(logdet, 9)).drop(*names, "cov")
 
 
-def _estimate(kept: DataFrame, x: tuple[str, ...], factor: float, floor: tuple[float, ...]) -> DataFrame:
-    """Centre and scatter of each group from its kept rows."""
+def _moments(x: tuple[str, ...]) -> list[Column]:
     d = len(x)
-    means = kept.groupBy("gid").agg(
+    return [
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
         *[F.avg(F.col(x[i]) * F.col(x[j])).alias(f"s{i}_{j}") for i in range(d) for j in range(i + 1)],
-    )
+    ]
+
+
+def _scatter(means: DataFrame, d: int, factor: float, floor: tuple[float, ...]) -> DataFrame:
+    """``centre`` and ``cov`` from the moments of each group and start."""
     cov = [
         (F.col(f"s{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * factor + (floor[i] ** 2 if i == j else 0.0)
         for i in range(d)
@@ -174,31 +185,61 @@ def _estimate(kept: DataFrame, x: tuple[str, ...], factor: float, floor: tuple[f
     ]
     return means.select(
         "gid",
+        "start",
         F.array(*[F.round(F.col(f"m{i}"), 9) for i in range(d)]).alias("centre"),
         F.array(*[F.round(c, 9) for c in cov]).alias("cov"),
     )
 
 
-def fit(rows: DataFrame, x: tuple[str, ...] = VECTOR, support: float = SUPPORT, steps: int = STEPS,
-        floor: tuple[float, ...] = FLOOR) -> DataFrame:
-    """``gid``, ``centre``, ``factor`` of each group of ``rows`` (``gid`` and the vector).
-    Every step is two aggregates of the narrow rows with map-side partial results."""
+def starts(rows: DataFrame, x: tuple[str, ...], floor: tuple[float, ...]) -> DataFrame:
+    """``gid``, ``start``, ``centre``, ``cov`` of the three starts."""
     d = len(x)
-    start = rows.groupBy("gid").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x)])
-    spread = rows.join(broadcast_checked(start), "gid").groupBy("gid").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(d)],
-        *[F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), 0.5, 1000).alias(f"a{i}") for i, c in enumerate(x)],
+    middle = rows.groupBy("gid").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"c{i}") for i, c in enumerate(x)])
+    middle = broadcast_checked(middle)
+    spread = rows.join(middle, "gid").groupBy("gid").agg(
+        *[F.first(f"c{i}").alias(f"c{i}") for i in range(d)],
+        *[(F.percentile_approx(F.abs(F.col(c) - F.col(f"c{i}")), 0.5, 1000) * 1.4826).alias(f"a{i}") for i, c in enumerate(x)],
     )
+    spread = pinned(spread)
     cov = [
-        (F.pow(F.col(f"a{i}") * 1.4826, 2) + floor[i] ** 2) if i == j else F.lit(0.0) for i in range(d) for j in range(i + 1)
+        (F.pow(F.col(f"a{i}"), 2) + floor[i] ** 2) if i == j else F.lit(0.0) for i in range(d) for j in range(i + 1)
     ]
-    now = spread.select("gid", F.array(*[F.col(f"m{i}") for i in range(d)]).alias("centre"), F.array(*cov).alias("cov"))
+    centre = F.array(*[F.col(f"c{i}") for i in range(d)])
+    medians = spread.select("gid", F.lit(0).alias("start"), centre.alias("centre"), F.array(*cov).alias("cov"))
+
+    def clipped(i: int) -> Column:
+        reach = CLIP * F.greatest(F.col(f"a{i}"), F.lit(floor[i]))
+        return F.least(F.greatest(F.col(x[i]), F.col(f"c{i}") - reach), F.col(f"c{i}") + reach)
+
+    near = rows.join(broadcast_checked(spread), "gid").select("gid", F.lit(1).alias("start"), *[clipped(i).alias(c) for i, c in enumerate(x)])
+    plain = rows.select("gid", F.lit(2).alias("start"), *x)
+    return medians.union(_scatter(near.union(plain).groupBy("gid", "start").agg(*_moments(x)), d, 1.0, floor))
+
+
+def fit(rows: DataFrame, x: tuple[str, ...] = VECTOR, support: float = SUPPORT, steps: int = STEPS,
+        floor: tuple[float, ...] = FLOOR, tolerance: float = TOLERANCE) -> DataFrame:
+    """``gid``, ``centre``, ``factor``, ``logdet`` of each group of ``rows`` (``gid`` and the
+    vector): of all starts and concentration steps the one of least determinant. A step takes
+    the starts that still fall through two aggregates of the narrow rows, with map-side partial
+    results; one row per group and start is written after it, and one number comes back."""
+    d = len(x)
     scale = consistency(d, support)
+    now = pinned(_factor(starts(rows, x, floor), d).withColumn("logdet", F.lit(None).cast("double")))
+    seen = []
     for _ in range(steps):
-        far = with_distance(rows.join(broadcast_checked(_factor(now, d)), "gid"), x).select("gid", *x, "d2")
-        near = far.groupBy("gid").agg(F.percentile_approx("d2", support, 1000).alias("q"))
-        now = _estimate(far.join(broadcast_checked(near), "gid").where("d2 <= q"), x, scale, floor)
-    return _factor(now, d)
+        model = broadcast_checked(now.select("gid", "start", "centre", "factor"))
+        far = with_distance(rows.join(model, "gid"), x).select("gid", "start", *x, "d2")
+        near = far.groupBy("gid", "start").agg(F.percentile_approx("d2", support, 1000).alias("q"))
+        kept = far.join(broadcast_checked(near), ["gid", "start"]).where("d2 <= q")
+        after = _factor(_scatter(kept.groupBy("gid", "start").agg(*_moments(x)), d, scale, floor), d)
+        before = now.select("gid", "start", F.col("logdet").alias("_before"))
+        after = pinned(after.join(before, ["gid", "start"]))
+        seen.append(after.drop("_before"))
+        now = after.where(F.col("_before").isNull() | (F.col("logdet") < F.col("_before") - tolerance)).drop("_before")
+        if now.isEmpty():
+            break
+    best = reduce(DataFrame.union, seen).groupBy("gid").agg(F.min(F.struct("logdet", "start", "centre", "factor")).alias("m"))
+    return best.select("gid", "m.centre", "m.factor", "m.logdet")
 
 
 def groups(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
@@ -232,7 +273,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, text: str = "text", lang: str
     judged = with_distance(rows.join(gids, "_g", "left").join(broadcast_checked(model), "gid", "left"))
     return judged.withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
-    ).drop("_g", "_lang", "_source", "centre", "factor")
+    ).drop("_g", "_lang", "_source", "centre", "factor", "logdet")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
