@@ -24,7 +24,7 @@ import json
 import os
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 from types import ModuleType
 
@@ -39,7 +39,7 @@ from tillroll.llm.common import ship
 ship(__name__)
 
 LIMIT = 2048
-CACHE = 1_000_000  # words whose count a worker remembers; then it starts anew
+CACHE = 500_000  # chunks, and words, whose count a worker remembers; then it starts anew
 
 # The vocabulary's word pattern and its white space.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -71,7 +71,8 @@ class PrefixCounter:
         self.byte = [chr(b) if b in set(shown) else chr(next(other)) for b in range(256)]
         self.splits: dict[str, tuple[str, str, int] | None] = {}
         self.stands: dict[tuple[str, str], bool] = {}
-        self.totals: dict[str, int] = _Totals(self)
+        self.totals: dict[str, int] = _Remembered(self.chunk_total)
+        self.words: dict[str, int] = _Remembered(self.total)
         self._data, self._last, self._count = "", [0], [0]
 
     def merged(self, symbols: list[str]) -> tuple[list[str], tuple[str, str, int] | None]:
@@ -238,10 +239,13 @@ class PrefixCounter:
         return out + ([base + c for c in self.plain(text)] if text else [])
 
     def chunk_total(self, chunk: str) -> int:
-        """The last of the counts of :meth:`chunk`, from one pass per word."""
-        parts = [chunk] if self.special is None or "<|" not in chunk else self.special.split(chunk)
+        """The last of the counts of :meth:`chunk`, from one pass per word not seen before."""
+        words = self.words
+        if self.special is None or "<|" not in chunk:
+            return sum([words[w] for w in self.word.findall(self.normal(chunk))])
         return sum(
-            1 if p in self.specials else sum([self.total(w) for w in self.word.findall(self.normal(p))]) for p in parts
+            1 if p in self.specials else sum([words[w] for w in self.word.findall(self.normal(p))])
+            for p in self.special.split(chunk)
         )
 
     def counts(self, texts: list[str]) -> list[int]:
@@ -285,17 +289,18 @@ class PrefixCounter:
         return len(text)
 
 
-class _Totals(dict):
-    """Token count per chunk: the last entry of its prefix counts, worked out when first seen."""
+class _Remembered(dict):
+    """A token count per string, the last entry of its prefix counts, worked out when first seen."""
 
-    def __init__(self, counter: PrefixCounter):
+    def __init__(self, work: Callable[[str], int]):
         super().__init__()
-        self.counter = counter
+        self.work = work
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, text: str) -> int:
+        n = self.work(text)
         if len(self) >= CACHE:
             self.clear()
-        n = self[chunk] = self.counter.chunk_total(chunk)
+        self[text] = n
         return n
 
 
