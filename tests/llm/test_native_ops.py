@@ -5,7 +5,9 @@ from __future__ import annotations
 import collections
 import hashlib
 import json
+import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +61,46 @@ def test_secret_spans_against_regular_expressions(spark):
     assert secret_scan.report(docs.limit(0), model).count() == 0
 
 
+def test_secrets_short_glued_or_beside_a_base_span(spark):
+    key = "q8Zr2LmX0pVt7KwYb4Nc9DfHs1"
+    texts = [
+        f"see /home/of/the/words/{key} there", "see Zk4Q9vTb2LxP here", f"{key}-0123456789abcdef0123", f"token=aaaaaaaaaaaa {key}",
+        "on the other side of the house, some_name_with_parts and on/the/road/to/here 2024-10-11 123456789012", key * 400, key[:11],
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secret_scan.train(secret_scan.corpus_samples(table(spark, SF, "documents")))
+    found = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in secret_scan.report(docs, model).collect()}
+    markov = {i: [(int(a), int(b)) for k, a, b in s if k == "markov"] for i, s in found.items()}
+    start = texts[0].index(key)
+    assert len(markov[0]) == 1 and markov[0][0][1] == start + len(key) and start - 5 <= markov[0][0][0] <= start + 1
+    assert markov[1] == [(4, 16)] and markov[2] == [(0, 26)] and markov[3] == [(19, 45)]
+    assert found[2][1] == ["hex", "27", "47"] and found[3][0] == ["assign", "0", "18"]
+    assert markov[4] == [] and markov[6] == []
+    assert markov[5] == [(0, 26 * 400)]
+
+
+def test_stretch_of_greatest_ratio_against_all_stretches(spark):
+    rnd = random.Random(3)
+    model = [rnd.uniform(-2, 1.5) for _ in range(67 * 67)]
+    runs = ["".join(rnd.choice(secret_scan.ALPHABET) for _ in range(rnd.randint(1, 25))) for _ in range(60)]
+    rows = spark.createDataFrame([(r,) for r in runs], "value string")
+    run = F.struct(F.lit(5).alias("start"), F.lit(3).alias("kind"), (F.length("value") + 5).alias("end"), F.col("value"))
+    for r in rows.select("value", secret_scan.stretch(run, secret_scan.model_column(model)).alias("s")).collect():
+        at = [secret_scan.ALPHABET.index(c) for c in r.value]
+        weights = [model[a * 67 + b] for a, b in zip(at, at[1:])]
+        best = max([0.0, *[sum(weights[i:j]) for i in range(len(weights)) for j in range(i + 1, len(weights) + 1)]])
+        assert abs(r.s.llr - best) < 1e-6
+        a, b = r.s.start - 5, r.s.end - 5
+        assert r.s.value == r.value[a:b] and (best == 0 or abs(sum(weights[a : b - 1]) - best) < 1e-6)
+
+
+def test_sample_of_secrets_is_near_its_size_and_agrees_with_itself(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    many = docs.union(docs).crossJoin(spark.range(10).select("id")).select((F.col("doc_id") * 10 + F.col("id")).alias("doc_id"), "text")
+    one, two = (secret_scan.corpus_samples(d, n_docs=200).where("random").count() for d in (many, many.repartition(7)))
+    assert one == two and 4 * 60 < one < 8 * 300
+
+
 def test_chat_round_trip_of_every_layout(spark):
     odd = "<|im_end|>\n<|im_start|>assistant &lt; & ok"
     records = {
