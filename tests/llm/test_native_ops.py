@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import collections
 import hashlib
 import json
@@ -364,6 +365,51 @@ def test_shards_are_gapless_near_equal_and_keep_groups(spark):
     assert all(abs(sum(r.size for r in rs) - mean) <= biggest + 0.06 * mean for rs in by.values())
 
 
+def test_shards_against_sorting_and_cutting(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id % 3 = 0").select(F.col("doc_id") + 100_000, "text"))  # pairs of equal texts
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = sorted(histogram_shard.shard(docs, n_shards=5).collect(), key=lambda r: (r.k1, r.k2))
+    assert [(r.shard, r.slot) for r in rows] == sorted((r.shard, r.slot) for r in rows)  # in the order of the keys
+    assert all(r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in rows)
+    shards = collections.defaultdict(set)
+    for r in rows:
+        shards[text[r.doc_id]].add(r.shard)
+    assert all(len(s) == 1 for s in shards.values())
+    # every cut is where the sorted rows pass its place, but for the slack or one group
+    total, largest, below = sum(r.size for r in rows), collections.Counter(), 0
+    for r in rows:
+        largest[r.k1] += r.size
+    for a, b in zip(rows, rows[1:]):
+        below += a.size
+        if a.shard != b.shard:
+            assert abs(below - total * b.shard / 5) <= total / 5 * 0.002 + max(largest[a.k1], largest[b.k1])
+
+
+def test_many_cuts_collect_few_rows(spark, monkeypatch):
+    rows = spark.range(60_000).select(
+        F.xxhash64("id").alias("k1"), F.xxhash64("id", F.lit(1)).alias("k2"), F.lit(10).cast("long").alias("size")
+    ).union(spark.range(40_000).select(F.lit(77).cast("long"), F.xxhash64("id", F.lit(2)), F.lit(10).cast("long")))
+    collected, plain = [], histogram_shard._histogram
+
+    def counted(*args):
+        found = plain(*args)
+        collected.append(sum(map(len, found.values())))
+        return found
+
+    monkeypatch.setattr(histogram_shard, "_histogram", counted)
+    places = [1_000_000 * i // 4096 for i in range(1, 4096)]
+    cuts = histogram_shard.find_cuts(rows.cache(), places, slack=25, group_slack=50)
+    assert max(collected) <= histogram_shard.PROBES and len(collected) < 40
+    keys = sorted((r.k1, r.k2) for r in rows.collect())
+    for place, cut in zip(places, cuts):
+        assert cut["bytes"] == 10 * cut["rows"] and abs(cut["bytes"] - place) <= 25
+        assert bisect.bisect_left(keys, cut["key"]) == cut["rows"]
+    wanted = [c["key"] for c in cuts]
+    got = rows.select("k1", "k2", histogram_shard.interval(wanted).alias("i")).collect()
+    assert all(r.i == bisect.bisect_right(wanted, (r.k1, r.k2)) for r in got)
+
+
 def test_a_hot_text_is_cut_by_id_and_odd_rows_pass(spark):
     hot = [(i, "the same text", "en", "a") for i in range(400)] + [(1000 + i, f"text number {i}", "en", "a") for i in range(400)]
     rows = histogram_shard.report(documents(spark, hot), range_bytes=100).collect()

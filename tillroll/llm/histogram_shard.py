@@ -2,9 +2,10 @@
 
 Documents are sorted by a key, the hash of the text and then of the id, and cut into shards
 of near equal bytes. Splitters are found before any row moves: each round counts the exact
-bytes and rows below candidate boundaries (4096 equal steps inside every interval that holds
-a wanted cut) and narrows to one step, until each cut is within ``tolerance`` of its place
-or falls between two adjacent keys. Then the rows are exchanged once, into many ranges per
+bytes and rows below candidate boundaries (equal steps inside every interval that holds a
+wanted cut, ``PROBES`` in all) and narrows to one step, until each cut is within ``tolerance``
+of its place or falls between two adjacent keys. The open intervals of a round are key prefixes
+of one length, so rows meet theirs by a join on the prefix, however many cuts there are. Then the rows are exchanged once, into many ranges per
 shard, and numbered. Built-in functions only.
 
 Equal texts have adjacent keys and share a shard, with one exception: a group that would
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.joins import pinned
 
-BITS = 12
+BITS = 12  # of the key that a round may narrow
+PROBES = 1 << 16  # boundaries counted per round, hence rows that a round collects
 N_SHARDS = 8
 RANGE_BYTES = 64 << 20  # bytes of one range of the exchange
 
@@ -41,76 +43,78 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-def _at_least(cut: tuple[int, int]) -> Column:
-    a, b = cut
-    k1, k2 = F.col("k1"), F.col("k2")
-    return (k1 > a) | ((k1 == a) & (k2 >= b))
-
-
-def interval(cuts: list[tuple[int, int]]) -> Column:
-    """How many of the sorted cuts are at or below the row's key: a binary search written as
-    nested conditions."""
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_at_least(cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
 
-    return search(0, len(cuts))
+def _longs(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-LOW, HIGH = -(1 << 63), (1 << 63) - 1
+def interval(cuts: list[tuple[int, int]]) -> Column:
+    """How many of the sorted cuts are at or below the row's key: a binary search in two
+    constant arrays, of as many steps as the number of cuts has bits."""
+    if not cuts:
+        return F.lit(0)
+    a, b = _longs([c[0] for c in cuts]), _longs([c[1] for c in cuts])
+    k1, k2 = F.col("k1"), F.col("k2")
 
-
-def _histogram(table: DataFrame, wanted: list[dict]) -> dict[tuple[int, int], tuple[int, int]]:
-    """Exact (bytes, rows) of each of 2^BITS steps in each interval to refine; at most
-    intervals times 4096 rows come back."""
-    cases = None
-    for n, w in enumerate(wanted):
-        inside = (F.col("k1") == w["a"]) if w["part"] else F.lit(True)
-        key = F.col("k2") if w["part"] else F.col("k1")
-        if w["lo"] > LOW:
-            inside = inside & (key >= w["lo"])
-        if w["hi"] < HIGH:
-            inside = inside & (key <= w["hi"])
-        # distance from the interval's low end as unsigned bits, then its leading bits
-        step = F.shiftrightunsigned(key - F.lit(w["lo"]) if w["lo"] != LOW else key.bitwiseXOR(F.lit(LOW)), w["shift"])
-        value = F.struct(F.lit(n).alias("w"), step.alias("step"))
-        cases = F.when(inside, value) if cases is None else cases.when(inside, value)
-    got = (
-        table.select(cases.alias("c"), "size")
-        .where("c is not null")
-        .groupBy("c.w", "c.step")
-        .agg(F.sum("size").alias("b"), F.count("*").alias("n"))
-        .collect()
-    )
-    return {(r["w"], r["step"]): (r["b"], r["n"]) for r in got}
+    def step(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        above = (F.get(a, mid) < k1) | ((F.get(a, mid) == k1) & (F.get(b, mid) <= k2))
+        going = acc["lo"] < acc["hi"]
+        return F.struct(
+            F.when(going & above, mid + 1).otherwise(acc["lo"]).alias("lo"),
+            F.when(going & ~above, mid).otherwise(acc["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length())), start, step, lambda acc: acc["lo"])
+
+
+def _histogram(table: DataFrame, part: int, opened: list[tuple[int, int]], width: int, bits: int) -> dict[tuple[int, int], list[tuple[int, int, int]]]:
+    """Exact (step, bytes, rows) by open interval. An interval is the keys k1 (k2 of the rows
+    with one k1, in part 1) that share all but their last ``width`` bits, and is cut into
+    2^``bits`` equal steps. Keys are taken as unsigned, in the order of the signed ones."""
+    unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(LOW))
+    key, group = (unsigned("k2"), F.col("k1")) if part else (unsigned("k1"), F.lit(0).cast("long"))
+    prefix = F.shiftrightunsigned(key, width) if width < 64 else F.lit(0).cast("long")
+    step = F.shiftrightunsigned(key, width - bits).bitwiseAND(F.lit((1 << bits) - 1))
+    rows = table.select(group.alias("g"), prefix.alias("p"), step.cast("long").alias("step"), "size")
+    if part or width < 64:
+        # a prefix has at most 64 bits; as a long it may be negative
+        wanted = [(g, p - (1 << 64) if p > HIGH else p) for g, p in opened]
+        pairs = F.explode(F.arrays_zip(_longs([g for g, _ in wanted]).alias("g"), _longs([p for _, p in wanted]).alias("p")))
+        known = table.sparkSession.range(1).select(pairs.alias("x")).select("x.g", "x.p")
+        rows = rows.join(F.broadcast(known), ["g", "p"])  # one row per open interval: fewer than cuts
+    got = rows.groupBy("g", "p", "step").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
+    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for r in sorted(got):
+        found.setdefault((r["g"], r["p"] % (1 << 64)), []).append((r["step"], r["b"], r["n"]))
+    return found
 
 
 def find_cuts(table: DataFrame, places: list[int], slack: float, group_slack: float) -> list[dict]:
     """For each wanted place (bytes below), a cut: the key (k1, k2) with the exact bytes and
-    rows below it. Each round narrows every open place 4096-fold. A cut that falls into a
-    group of equal texts goes to the nearer end of the group if that is within
-    ``group_slack``, else into the group, by id."""
-    state = [{"place": p, "part": 0, "a": LOW, "lo": LOW, "hi": HIGH, "shift": 64 - BITS, "bytes": 0, "rows": 0} for p in places]
+    rows below it. A cut that falls into a group of equal texts goes to the nearer end of the
+    group if that is within ``group_slack``, else into the group, by id: all places are
+    narrowed by k1 first, then those inside a group by k2."""
     cuts: list[dict | None] = [None] * len(places)
-    while any(c is None for c in cuts):
-        probes: dict[tuple, list[int]] = {}
-        for i, s in enumerate(state):
-            if cuts[i] is None:
-                probes.setdefault((s["part"], s["a"], s["lo"], s["hi"], s["shift"]), []).append(i)
-        wanted = [dict(zip(("part", "a", "lo", "hi", "shift"), k)) for k in probes]
-        found = _histogram(table, wanted)
-        steps: dict[int, list[tuple[int, int, int]]] = {}
-        for (w, step), (b, n) in sorted(found.items()):
-            steps.setdefault(w, []).append((step, b, n))
-        for w, members in enumerate(probes.values()):
-            for i in members:
-                s = state[i]
-                done, rows, chosen = s["bytes"], s["rows"], None
-                for step, b, n in steps.get(w, []):
-                    if done + b > s["place"]:
+    # open places: interval (group, prefix), bytes and rows below it
+    opened = {i: (0, 0, 0, 0) for i in range(len(places))}
+    inner: dict[int, tuple[int, int, int, int]] = {}
+    signed = lambda u: u + LOW
+    for part in (0, 1):
+        width = 64
+        while opened:
+            intervals = sorted({s[:2] for s in opened.values()})
+            bits = max(1, min(BITS, width, (PROBES // len(intervals)).bit_length() - 1))
+            found = _histogram(table, part, intervals, width, bits)
+            left = width - bits  # bits that a step still has
+            still: dict[int, tuple[int, int, int, int]] = {}
+            for i, (group, prefix, done, rows) in opened.items():
+                chosen = None
+                for step, b, n in found.get((group, prefix), []):
+                    if done + b > places[i]:
                         chosen = (step, b, n)
                         break
                     done, rows = done + b, rows + n
@@ -118,29 +122,27 @@ def find_cuts(table: DataFrame, places: list[int], slack: float, group_slack: fl
                     cuts[i] = {"key": (HIGH, HIGH), "bytes": done, "rows": rows}
                     continue
                 step, b, n = chosen
-                low = s["lo"] + (step << s["shift"])
-                key = (low, LOW) if not s["part"] else (s["a"], low)
-                after = low + (1 << s["shift"])
-                if not s["part"]:
-                    end = (after, LOW) if after <= HIGH else (HIGH, HIGH)
-                else:
-                    end = (s["a"], after) if after <= HIGH else ((s["a"] + 1, LOW) if s["a"] < HIGH else (HIGH, HIGH))
-                if s["place"] - done <= slack:
-                    cuts[i] = {"key": key, "bytes": done, "rows": rows}
-                elif done + b - s["place"] <= slack:
-                    cuts[i] = {"key": end, "bytes": done + b, "rows": rows + n}
-                elif s["shift"] > 0:
-                    shift = max(0, s["shift"] - BITS)
-                    state[i] = s | {"lo": low, "hi": after - 1, "shift": shift, "bytes": done, "rows": rows}
-                elif not s["part"] and min(s["place"] - done, done + b - s["place"]) <= group_slack:
-                    near = s["place"] - done <= done + b - s["place"]
-                    cuts[i] = {"key": key, "bytes": done, "rows": rows} if near else {"key": end, "bytes": done + b, "rows": rows + n}
-                elif not s["part"]:  # one text: go on by id
-                    state[i] = s | {"part": 1, "a": low, "lo": LOW, "hi": HIGH, "shift": 64 - BITS, "bytes": done, "rows": rows}
-                elif s["place"] - done <= done + b - s["place"]:
-                    cuts[i] = {"key": key, "bytes": done, "rows": rows}
+                at = (prefix << bits) | step
+                low, after = signed(at << left), signed((at + 1) << left)
+                if not part:
+                    key, end = (low, LOW), (after, LOW) if after <= HIGH else (HIGH, HIGH)
                 else:
-                    cuts[i] = {"key": end, "bytes": done + b, "rows": rows + n}
+                    key = (group, low)
+                    end = (group, after) if after <= HIGH else ((group + 1, LOW) if group < HIGH else (HIGH, HIGH))
+                before, beyond = places[i] - done, done + b - places[i]
+                start, stop = {"key": key, "bytes": done, "rows": rows}, {"key": end, "bytes": done + b, "rows": rows + n}
+                if before <= slack:
+                    cuts[i] = start
+                elif beyond <= slack:
+                    cuts[i] = stop
+                elif left > 0:
+                    still[i] = (group, at, done, rows)
+                elif part or min(before, beyond) <= group_slack:
+                    cuts[i] = start if before <= beyond else stop
+                else:  # one text: go on by id
+                    inner[i] = (low, 0, done, rows)
+            opened, width = still, left
+        opened = inner
     return cuts
 
 
