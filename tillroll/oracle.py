@@ -398,6 +398,12 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT city, {msum('total_amount_clean')} AS revenue, count(DISTINCT customer_id) AS unique_customers "
             "FROM feat GROUP BY city",
         ),
+        "customers_by_level": q(
+            F,
+            "SELECT CASE grouping(\"year\", \"month\", city) WHEN 0 THEN 'month_city' WHEN 1 THEN 'month' WHEN 6 THEN 'city' "
+            "ELSE 'all' END AS level, \"year\", \"month\", city, count(DISTINCT customer_id) AS unique_customers FROM feat "
+            "GROUP BY GROUPING SETS ((\"year\", \"month\", city), (\"year\", \"month\"), (city), ())",
+        ),
         "payment_distribution": q(F, "SELECT payment_method, count(*) AS txn_count FROM feat GROUP BY payment_method"),
         "weekend_vs_weekday": q(
             F,

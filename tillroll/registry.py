@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from tillroll.operators.joins import pinned
 from tillroll.operators.rank import customer_txn_rank
 from tillroll.plans.analysis import ANALYSES, SUMMARIES, summary_category
 from tillroll.plans.clean import null_total, with_parsed_date
+from tillroll.operators.distinct import bitmaps, count_members
 from tillroll.plans.dashboard import DASH_QUERIES
 from tillroll.plans.features import export_frame
 from tillroll.plans.pipeline import fact_path, fact_table, published_summaries, raw_path, raw_table, rollup_path, run_pipeline
@@ -253,6 +255,20 @@ def dash_panels(spark: SparkSession, sf: str) -> DataFrame:
     return stacked(panels(tables, DEFAULT_SPEC, _export(spark, sf)))
 
 
+def customers_by_level(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers per month and city, per month, per city and in all: the bitmaps of
+    the first merged into those of the others."""
+    grain = ("year", "month", "city")
+    sets = pinned(bitmaps(fact_table(spark, sf), "customer_id", grain))
+    levels = {"month_city": grain, "month": grain[:2], "city": grain[2:], "all": ()}
+    one = lambda name, keys: count_members(sets, keys, "unique_customers").select(
+        F.lit(name).alias("level"),
+        *[(F.col(c) if c in keys else F.lit(None).cast(FACT_SCHEMA[c].dataType)).alias(c) for c in grain],
+        "unique_customers",
+    )
+    return reduce(DataFrame.union, [one(name, keys) for name, keys in levels.items()])
+
+
 QUERIES: dict[str, Query] = {
     # sources / sinks
     "csv_scan": csv_scan,
@@ -301,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "filter_options": _on_export(filter_options),
     **{name: _on_view(fn) for name, fn in DASH_QUERIES.items()},
     "dash_panels": dash_panels,
+    "customers_by_level": customers_by_level,
 }
 
 assert set(SUMMARY_SCHEMAS) <= set(QUERIES)
