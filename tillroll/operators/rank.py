@@ -30,19 +30,26 @@ HOT_ROWS = 1_000_000
 MAX_HOT, TRACKED, LEAVES = 2_000, 20_000, 256
 
 
-def frequent_customers(df: DataFrame, customer: str = "customer_id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One column ``_hot``: the customers with an estimate of over ``hot_rows`` rows, a null one
-    among them; at most ``MAX_HOT``. Sketches of partitions are combined in two steps, so that
-    the last one reads ``LEAVES`` of them."""
+def _frequent(df: DataFrame, customer: str, hot_rows: int) -> list:
+    """The customers with an estimate of over ``hot_rows`` rows, a null one among them; at most
+    ``MAX_HOT``. Sketches of partitions are combined in two steps, so that the last one reads
+    ``LEAVES`` of them."""
     sketch = F.call_function("approx_top_k_accumulate", F.col(customer), F.lit(TRACKED))
     leaves = df.select(customer, F.pmod(F.spark_partition_id(), F.lit(LEAVES)).alias("_leaf")).groupBy("_leaf").agg(sketch.alias("s"))
     whole = F.call_function("approx_top_k_combine", F.col("s"), F.lit(TRACKED))
     whole = F.call_function("approx_top_k_estimate", whole, F.lit(MAX_HOT))
     # grouped by a constant: no rows give no sketch to combine
     found = leaves.groupBy(F.lit(0).alias("all")).agg(whole.alias("top")).first()
-    top = found["top"] if found else []
-    kind = df.schema[customer].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(x["item"],) for x in top if x["count"] > hot_rows], f"_hot {kind}")
+    return [x["item"] for x in (found["top"] if found else []) if x["count"] > hot_rows]
+
+
+def _hot_table(df: DataFrame, customer: str, values: list) -> DataFrame:
+    return df.sparkSession.createDataFrame([(v,) for v in values], f"_hot {df.schema[customer].dataType.simpleString()}")
+
+
+def frequent_customers(df: DataFrame, customer: str = "customer_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One column ``_hot``: the customers that :func:`_frequent` names."""
+    return _hot_table(df, customer, _frequent(df, customer, hot_rows))
 
 
 def _ranged(rows: DataFrame, customer: str, order: tuple[str, ...], out: str, partitions: int | None) -> DataFrame:
@@ -93,11 +100,19 @@ def customer_txn_rank(
         left_out = rows.where(skip).select(*keys, F.lit(None).cast("int").alias(out))
         ranked = customer_txn_rank(rows.where(~skip | F.col(customer).isNull()), customer, order, out, partitions, (), hot_rows)
         return ranked.unionByName(left_out)
-    window = Window.partitionBy(customer).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-    plain = lambda some: some.withColumn(out, F.row_number().over(window).cast("int"))
-    hot = frequent_customers(rows, customer, hot_rows)
-    if hot.isEmpty():
+    # ids begin alike, so a sort by their text compares whole texts; by their hash first, derived
+    # behind the exchange, it compares numbers
+    window = Window.partitionBy("_at", customer).orderBy(*[F.col(k).asc_nulls_first() for k in order])
+    plain = lambda some: (
+        some.repartition(customer)
+        .withColumn("_at", F.xxhash64(customer))
+        .withColumn(out, F.row_number().over(window).cast("int"))
+        .drop("_at")
+    )
+    frequent = _frequent(rows, customer, hot_rows)
+    if not frequent:
         return plain(rows)
+    hot = _hot_table(rows, customer, frequent)
     is_hot = rows[customer].eqNullSafe(hot["_hot"])
     hot = F.broadcast(hot)  # MAX_HOT rows at most
     some = _ranged(rows.join(hot, is_hot, "left_semi"), customer, order, out, partitions)
@@ -106,9 +121,11 @@ def customer_txn_rank(
 
 def with_rank(rows: DataFrame, ranks: DataFrame, key: str = "transaction_id", rank: str = "cust_txn_rank", null_key: bool = True) -> DataFrame:
     """``rows`` with the rank of their id joined to them. Ids are unique; of rows that are stored
-    by id (``joins.bucketed``) none moves. ``null_key=False``: no id is NULL, which saves looking
-    for the one that may be."""
-    of = ranks.select(F.col(key).alias("_ranked"), rank)
+    by id (``joins.bucketed``) none moves. The ranks of a partition are hashed, so the wide rows
+    are not sorted for the join; its partitions should be of bounded size
+    (``session.spread_for``). ``null_key=False``: no id is NULL, which saves looking for the one
+    that may be."""
+    of = ranks.select(F.col(key).alias("_ranked"), rank).hint("shuffle_hash")
     out = rows.join(of, rows[key] == F.col("_ranked"), "left").drop("_ranked")
     if null_key:
         lost = ranks.where(F.col(key).isNull()).agg(F.max(rank)).scalar()
