@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 # as produced by the date pattern "EEEE".
 DAY_ORDER = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
+# Month names as the date pattern "MMMM" gives them.
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+]
+
 # Code -> label of the weekend flag.
 WEEKEND_LABELS = {0: "Weekday", 1: "Weekend"}
 
@@ -24,6 +29,17 @@ def is_weekend(d: Column) -> Column:
     return F.when(F.dayofweek(d).isin(1, 7), F.lit(1)).otherwise(F.lit(0))
 
 
+def _named(names: list[str], number: Column) -> Column:
+    """The name of a number from 1 up; NULL stays NULL (asked for, as ``element_at`` in compiled
+    code was seen to give the last name for it)."""
+    return F.when(number.isNotNull(), F.element_at(F.array(*[F.lit(n) for n in names]), number))
+
+
+def year_month(d: Column) -> Column:
+    """As the pattern "yyyy-MM" gives it: for years of four digits the date's text without its day."""
+    return F.when(F.year(d).between(1, 9999), F.left(d.cast("string"), F.lit(7))).otherwise(F.date_format(d, "yyyy-MM"))
+
+
 def calendar_columns(date_col: str = "date") -> dict[str, Column]:
     """The nine calendar features, keyed by output name."""
     d = F.col(date_col)
@@ -31,12 +47,12 @@ def calendar_columns(date_col: str = "date") -> dict[str, Column]:
         "year": F.year(d),
         "month": F.month(d),
         "day_of_week": F.dayofweek(d),  # 1 = Sunday ... 7 = Saturday
-        "day_name": F.date_format(d, "EEEE"),
+        "day_name": _named(DAY_ORDER, F.weekday(d) + 1),
         "week_of_year": F.weekofyear(d),  # ISO-8601 week
         "quarter": F.quarter(d),
         "is_weekend": is_weekend(d),
-        "month_name": F.date_format(d, "MMMM"),
-        "year_month": F.date_format(d, "yyyy-MM"),
+        "month_name": _named(MONTHS, F.month(d)),
+        "year_month": year_month(d),
     }
 
 
