@@ -24,11 +24,11 @@ def with_amount(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_deduped_with_sizes(
+def imputed_with_cap(
     deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> tuple[DataFrame, dict[str, int]]:
-    """The cleaning rules after dedup (15 columns), plus the numbers of rows, of rows without an
-    id and of stores.
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The cleaning rules that fill values (13 columns), the cap of the quantity that
+    :func:`priced` takes, and the numbers of rows, of rows without an id and of stores.
 
     ``deduped`` should be a written table: the (store, city) counts, the quantity quantile and
     the rows each read it, the first two only their columns."""
@@ -45,9 +45,20 @@ def clean_deduped_with_sizes(
     quantities = {"quantity": (sizes["n"], sizes["lo"], sizes["hi"])}
     df = with_parsed_date(deduped)
     df = impute_city(df, max_broadcast_rows, modes=city_mode_from_counts(counts), mode_rows=sizes["stores"])
-    df = impute_defaults(df)
-    df = cap_column(df, "quantity", "quantity_capped", cap=quantile_cap(deduped, "quantity", ranges=quantities))
-    return with_amount(df), sizes
+    return impute_defaults(df), quantile_cap(deduped, "quantity", ranges=quantities), sizes
+
+
+def priced(imputed: DataFrame, cap: DataFrame) -> DataFrame:
+    """Adds the two columns that follow from a row and the cap: quantity and amount."""
+    return with_amount(cap_column(imputed, "quantity", "quantity_capped", cap=cap))
+
+
+def clean_deduped_with_sizes(
+    deduped: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> tuple[DataFrame, dict[str, int]]:
+    """The cleaning rules after dedup (15 columns), and the numbers of :func:`imputed_with_cap`."""
+    df, cap, sizes = imputed_with_cap(deduped, max_broadcast_rows)
+    return priced(df, cap), sizes
 
 
 def purchases(deduped: DataFrame) -> DataFrame:

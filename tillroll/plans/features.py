@@ -19,9 +19,10 @@ def add_features(
     month_name, year_month and revenue_bucket (one Project), and cust_txn_rank, the
     per-customer purchase rank (:mod:`tillroll.operators.rank`), joined by the id, which must
     be unique. ``ranks`` may be given where they come from rows narrower than ``cleaned``;
-    ``with_rank=False`` leaves the rank and its shuffles out.
+    ``with_rank=False`` leaves the rank and its shuffles out. Calendar columns that ``cleaned``
+    has already (rows clustered by them) are kept, and with them the order of the rows.
     """
-    cols = calendar_columns("date")
+    cols = {name: c for name, c in calendar_columns("date").items() if name not in cleaned.columns}
     cols["revenue_bucket"] = revenue_bucket("total_amount_clean")
     out = cleaned.withColumns(cols)
     if not with_rank:

@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.dedup import dedup_transactions
 from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, bucketed, pinned
-from tillroll.operators.rank import customer_txn_rank
+from tillroll.functions.calendar import calendar_columns
+from tillroll.operators.rank import customer_txn_rank, with_rank
 from tillroll.plans.analysis import ANALYSES, SUMMARIES
-from tillroll.plans.clean import clean_deduped_with_sizes, purchases
+from tillroll.plans.clean import imputed_with_cap, priced, purchases
 from tillroll.plans.features import add_features, export_frame
 from tillroll.plans.report import report_tables
 from tillroll.plans.rollup import write_rollups
 from tillroll.operators.profile import profile_pass
 from tillroll.schema import FACT_SCHEMA, RAW_SCHEMA
-from tillroll.session import app_id, input_state, scratch_path, scratch_scope, together
-from tillroll.sources.files import CORRUPT, REASONS, quarantine, read_summary, write_csv, write_parquet
+from tillroll.session import app_id, input_state, scratch_path, scratch_scope, spread_for, together
+from tillroll.sources.files import CORRUPT, REASONS, clustered, quarantine, read_summary, write_csv, write_parquet, write_laid_out
 from tillroll.sources.publish import staged
-from tillroll.sources.star import raw_transactions
+from tillroll.sources.star import raw_transactions, table
 
 
 # Where a row of the fact is stored: months of a year together, ordered by date and city within
@@ -37,22 +38,30 @@ FACT_LAYOUT = {
 }
 
 
-def write_fact(raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+def write_fact(
+    raw: DataFrame, path: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None
+) -> int:
     """Clean + features, written as Parquet clustered and partitioned by year; returns the
-    number of rows after dedup.
+    number of rows after dedup. ``rows``, about the number of raw rows if the caller knows it,
+    sizes the shuffles and the buckets, so that no task's share grows with the table.
 
     The deduplicated rows are stored once by their id in the shared scratch folder and read by
     their consumers (store -> city table, quantity bins, the three columns that the rank needs,
     the rows themselves). The rank comes back to the rows by their id, so whole rows are
-    exchanged twice in all: for dedup and for clustering by year. All scratch is deleted when
-    the fact is written.
+    exchanged twice in all: for dedup and for clustering by year; the second time with their
+    filled columns and the rank only; amount, calendar and revenue bucket are derived behind it.
+    All scratch is deleted when the fact is written.
     """
-    with scratch_scope(raw.sparkSession):
+    with spread_for(raw.sparkSession, rows), scratch_scope(raw.sparkSession):
         deduped = bucketed(dedup_transactions(raw), "transaction_id")
-        cleaned, sizes = clean_deduped_with_sizes(deduped, max_broadcast_rows)
+        imputed, cap, sizes = imputed_with_cap(deduped, max_broadcast_rows)
         ranks = customer_txn_rank(purchases(deduped))
-        features = add_features(cleaned, ranks=ranks, null_ids=sizes["null_ids"] > 0)
-        write_parquet(features.select(*FACT_SCHEMA.fieldNames()), path, **FACT_LAYOUT)
+        ranked = with_rank(imputed, ranks, null_key=sizes["null_ids"] > 0)
+        when = calendar_columns("date")
+        placed = ranked.withColumns({c: when[c] for c in (FACT_LAYOUT["partition_by"], *FACT_LAYOUT["cluster_by"])})
+        placed = clustered(placed, **{k: v for k, v in FACT_LAYOUT.items() if k != "bloom"})
+        features = add_features(priced(placed, cap), with_rank=False)
+        write_laid_out(features.select(*FACT_SCHEMA.fieldNames()), path, FACT_LAYOUT["partition_by"], bloom=FACT_LAYOUT["bloom"])
     return sizes["rows"]
 
 
@@ -76,7 +85,11 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 
 
 def raw_path(spark: SparkSession, sf_dir: str) -> str:
-    return _memo(spark, sf_dir, "raw", lambda p: write_parquet(raw_transactions(spark, sf_dir), p))
+    def build(path: str) -> str:
+        with spread_for(spark, table(spark, sf_dir, "lineitem").count()):
+            return write_parquet(raw_transactions(spark, sf_dir), path)
+
+    return _memo(spark, sf_dir, "raw", build)
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +100,8 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_path(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> str:
-        write_fact(quarantine(raw_table(spark, sf_dir))[0], path)
+        raw = raw_table(spark, sf_dir)
+        write_fact(quarantine(raw)[0], path, rows=raw.count())
         return path
 
     return _memo(spark, sf_dir, "fact", build)
@@ -140,7 +154,7 @@ def run_pipeline(
             paths = {"quarantine": f"{at}/quarantine", "fact": f"{at}/fact"}
             row, _ = together(spark, lambda: profile_pass(raw).first(), lambda: write_parquet(rejected, paths["quarantine"]))
             prof = row.asDict()
-            prof["rows_after_dedup"] = write_fact(good, paths["fact"], max_broadcast_rows)
+            prof["rows_after_dedup"] = write_fact(good, paths["fact"], max_broadcast_rows, prof["num_rows"])
         prof["quarantined"] = sum(prof[f"quarantined__{r}"] for r in REASONS)
         prof["duplicates"] = prof["num_rows"] - prof["quarantined"] - prof["rows_after_dedup"]
         fact = read_fact(spark, paths["fact"])

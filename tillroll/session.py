@@ -113,6 +113,27 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
             drop_scratch(spark, path)
 
 
+# Rows of a shuffle partition that a task sorts or hashes in memory, whatever their width here.
+ROWS_PER_PARTITION = 250_000
+
+
+@contextmanager
+def spread_for(spark: SparkSession, rows: int | None, per: int = ROWS_PER_PARTITION) -> Iterator[int]:
+    """Raises the session's number of shuffle partitions for a job over ``rows`` rows, so that a
+    partition holds at most about ``per`` of them, and sets it back at the end; adaptive
+    execution merges those that turn out small. A number that is high enough stays."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = max(int(before), -(-(rows or 0) // per))
+    if needed > int(before):
+        spark.conf.set(key, str(needed))
+    try:
+        yield needed
+    finally:
+        if needed > int(before):
+            spark.conf.set(key, before)
+
+
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Results of independent Spark actions that are started at the same time, so that small
     ones fill the cores that the last tasks of others leave idle. The first error is raised

@@ -162,10 +162,25 @@ def write_parquet(
     files of the advisory size instead of one per task. ``sort_by`` orders the rows of a file,
     so that its row groups, and the pages in them, have narrow ranges of those columns, which a
     reader skips by their statistics; ``bloom`` columns get Bloom filters, for ``=`` and ``in``."""
+    return write_laid_out(clustered(df, partition_by, cluster_by, sort_by), path, partition_by, mode, bloom)
+
+
+def clustered(
+    df: DataFrame, partition_by: str | None = None, cluster_by: tuple[str, ...] = (), sort_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows rebalanced and ordered as :func:`write_parquet` lays them out. Columns that are not
+    needed for it are better derived from these rows: then they are neither moved nor sorted."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in (partition_by, *cluster_by)])
     if sort_by:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
+    return df
+
+
+def write_laid_out(
+    df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite", bloom: tuple[str, ...] = ()
+) -> str:
+    """Writes rows as they come, from :func:`clustered`."""
     writer = df.write.mode(mode)
     for c in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
