@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from tillroll.llm import (
     template_decontaminate,
     url_filter,
 )
-from tillroll.llm.common import table
+from tillroll.llm.common import split_words, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"
@@ -491,6 +492,46 @@ def test_verbatim_leaks_always_match(spark):
     assert _leaked(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 4)}
 
 
+def test_word_codes_say_what_readings_say(spark):
+    words = (
+        "Mr Smith saw 12 km and 3.50 dollars. Then (Bob) said: §n §5 $7 miles \"Ann\" ... -- étude Élan über 'Über ǅ Ⅷ ٣ ٣km "
+        "5A a5 don't U.S. A. İstanbul 1,000 Feet 8 feet 9 KG {x ~y _Z_ ?! 😀 😀B ßx K9 #12! km 12"
+    )
+    texts = [words, "", "Word", "12", " ".join(reversed(words.split())), "!", "kg Kg 4 kg"]
+    t = template_decontaminate
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i long, text string").select("i", split_words(F.col("text")).alias("w"))
+    r = F.transform(t.readings(F.col("w")), lambda x: F.struct(F.xxhash64(x["t"]).alias("t"), F.xxhash64(x["e"]).alias("e"), (x["up"] & (x["t"] == x["bare"])).alias("named")))
+    rows = df.select("i", r.alias("r"), *t.word_codes(F.col("w"))).orderBy("i").collect()
+    sizes = np.array([len(x.e) for x in rows])
+    e, f = (np.array([v for x in rows for v in x[c]], d) for c, d in (("e", np.int64), ("f", np.int8)))
+    fixed = t.fixed_codes(spark)
+    got, named = t.template_codes(e.view(np.uint64), f, (np.cumsum(sizes) - sizes)[sizes > 0], fixed)
+    want = [v for x in rows for v in x.r]
+    assert [v.e for v in want] == e.tolist() and [v.t for v in want] == got.view(np.int64).tolist()
+    assert [v.named for v in want] == named.tolist()
+    # windows of several texts at once, none over the end of a text
+    found = {(a, b, int(h)) for x in t.window_hashes(e.view(np.uint64), f, sizes, [3], [2], fixed) for a, b, h in zip(*map(list, x), strict=True)}
+    at = 0
+    expected = set()
+    for i, n in enumerate(sizes.tolist()):
+        of = lambda v: int(t.combine(v[:1], [v[k : k + 1] for k in range(1, len(v))])[0])
+        for p in range(n):
+            x, y = e.view(np.uint64)[at + p : at + n][:2], got[at + p : at + n][:3]
+            expected |= {(i, p, of(x))} if len(x) == 2 else set()
+            expected |= {(i, p, of(y))} if len(y) == 3 else set()
+            expected |= {(i, p, of(np.concatenate((np.full(1, fixed[t.NAME]), y[1:]))))} if len(y) == 3 and named[at + p] else set()
+        at += n
+    assert found == expected and any(named)
+
+
+def test_documents_are_not_read_by_lambdas_over_their_windows(spark, capsys):
+    docs = spark.createDataFrame([(1, "some words of a text that stand here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "words of a text that stand")], "item_id long, text string")
+    template_decontaminate.matches(docs, items).explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def _rule(host, path):
     best = None
     for verdict, h, p in url_filter.RULES:

@@ -8,8 +8,9 @@ whatever its words are and whatever stands around it. Matches of one document an
 position minus item position) differ by a few words at most, so words put in, left out or
 split don't break an item. The slot values under them, and no others, must then be
 consistent: a value of the item always became the same value of the document and no two
-became one. Slots outside the best such mapping (verbatim ones first) deviate. Built-in
-functions only.
+became one. Slots outside the best such mapping (verbatim ones first) deviate. Words are read
+by built-in functions; the hashes of a document's windows are combined from those of its words in
+Arrow batches, and go into the join unless a table of bits says that no item has them.
 
 A document is reported for an item if windows in one band of alignments cover at least
 ``min_cover`` of the item's words and no slot deviates, or ``min_run`` words without the
@@ -23,10 +24,16 @@ id, repeated items by their ids; empty tables give no rows. Extra columns are no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from tillroll.llm.common import broadcast_checked, let, row_key, split_words, text_of, without_rows
+from tillroll.llm.common import broadcast_checked, let, row_key, ship, split_words, text_of, without_rows
 from tillroll.operators.joins import pinned
 
 WINDOW = 8
@@ -38,6 +45,14 @@ MIN_LITERAL = 3  # words of a window that are no placeholders
 MIN_COVER = 0.7
 MIN_RUN = 25
 MAX_DEVIATING = 0.25  # of the slots under a long run; one in any case
+SENTENCE_ENDS = ".!?:|"
+BARE, UP, ENDS, IS_NUMBER = 1, 2, 4, 8  # flags of a word: has a letter or digit, a capital, ends a sentence
+FILTER_BITS = 1 << 22  # of a table that rules out most windows before the join
+WORDS_AT_ONCE = 200_000
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+ship(__name__)
+
 # Placeholders, and unit words that count as units after a number.
 NUMBER, NAME, UNIT = "§n", "§p", "§u"
 UNITS = (
@@ -48,15 +63,27 @@ UNITS = (
 ).split()
 
 
+def _plain(words: Column) -> Column:
+    """Lower-cased words in one text without punctuation, but for words of nothing else, so
+    words stay in their places."""
+    rest = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
+    return F.regexp_replace(F.lower(F.array_join(words, " ")), rf"(?<=[\p{{L}}\p{{N}}]){rest}|{rest}(?=[\p{{L}}\p{{N}}])", "")
+
+
+def _trimmed(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+
+
+def _is_number(word: Column) -> Column:
+    return F.regexp_like(word, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}"))
+
+
 def readings(words: Column) -> Column:
     """Of each word its template word ``t``, its plain word ``e`` (numbers by value, other
     words without punctuation, those of nothing else as they are), ``bare``, and whether it
     begins with a capital (``up``)."""
     units = F.array(*[F.lit(u) for u in UNITS])
     starts = lambda w, a, b: (w >= a) & (w < b)  # noqa: E731  # most words need no pattern
-    # without punctuation, but for words of nothing else, so words stay in their places
-    rest = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
-    text = F.regexp_replace(F.lower(F.array_join(words, " ")), rf"(?<=[\p{{L}}\p{{N}}]){rest}|{rest}(?=[\p{{L}}\p{{N}}])", "")
 
     def parts(w: Column, e: Column) -> Column:
         small = starts(w, "a", "{")
@@ -64,59 +91,150 @@ def readings(words: Column) -> Column:
         bare = F.when(starts(e, "a", "{") | F.regexp_like(e, F.lit(r"[\p{L}\p{N}]")), e).otherwise("")
         return F.struct(
             w.alias("w"), e.alias("e"), bare.alias("bare"), up.alias("up"),
-            (~small & ~starts(w, "A", "[") & F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Nd}"))).alias("number"),
+            (~small & ~starts(w, "A", "[") & _is_number(w)).alias("number"),
         )
 
     def of(known: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
             before = F.get(known, i - 1)
             # a capital that doesn't begin the text or a sentence begins a name
-            name = x["up"] & (i > 0) & ~F.substr(before["w"], F.lit(-1), F.lit(1)).isin(*".!?:|")
+            name = x["up"] & (i > 0) & ~F.substr(before["w"], F.lit(-1), F.lit(1)).isin(*SENTENCE_ENDS)
             template = (
                 F.when(x["number"], NUMBER).when(name, NAME)
                 .when((i > 0) & F.coalesce(before["number"], F.lit(False)) & F.array_contains(units, x["bare"]), UNIT)
                 .otherwise(x["bare"])
             )
-            trimmed = F.regexp_replace(F.lower(x["w"]), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
             return F.struct(
-                template.alias("t"), F.when(x["number"], trimmed).otherwise(x["e"]).alias("e"), x["bare"].alias("bare"), x["up"].alias("up")
+                template.alias("t"), F.when(x["number"], _trimmed(x["w"])).otherwise(x["e"]).alias("e"), x["bare"].alias("bare"), x["up"].alias("up")
             )
 
         return F.transform(known, one)
 
-    return let(F.zip_with(words, split_words(text), parts), of)
-
-
-def _hash(words: list[Column], length: int) -> Column:
-    return F.xxhash64(*words, F.lit(length))
-
-
-def windows_of(words: Column, template: list[int], plain: list[int]) -> Column:
-    """Per position the hashes of the windows that start there: of template words (with the
-    first word also read as a name, if a capital begins it) and of plain words, with nulls."""
-    name = F.xxhash64(F.lit(NAME))
+    return let(F.zip_with(words, split_words(_plain(words)), parts), of)
 
-    def at(x: Column) -> Column:
-        def one(i: Column) -> Column:
-            out, first = [], F.get(x, i)
-            for length in template:
-                rest = [F.get(x, i + k)["t"] for k in range(1, length)]
-                fits = i + length <= F.size(x)
-                out.append(F.when(fits, _hash([first["t"], *rest], length)))
-                out.append(F.when(fits & first["named"], _hash([name, *rest], length)))
-            for length in plain:
-                out.append(F.when(i + length <= F.size(x), _hash([F.get(x, i + k)["e"] for k in range(length)], length)))
-            return F.array(*out).cast("array<bigint>")
 
-        return F.transform(F.sequence(F.lit(0), F.size(x) - 1), one)
+def word_codes(words: Column) -> list[Column]:
+    """What the windows need of each word, as two arrays: ``e``, the hash of its plain word, and
+    ``f``, flags. Both say what :func:`readings` says of it, without its strings."""
+    starts = lambda w, a, b: (w >= a) & (w < b)
+    small, capital, digit = (lambda w: starts(w, "a", "{")), (lambda w: starts(w, "A", "[")), (lambda w: starts(w, "0", ":"))
 
-    hashed = F.transform(
-        readings(words),
-        lambda r: F.struct(
-            F.xxhash64(r["t"]).alias("t"), F.xxhash64(r["e"]).alias("e"), (r["up"] & (r["t"] == r["bare"])).alias("named")
-        ),
-    )
-    return F.when(F.size(words) > 0, let(hashed, at)).otherwise(F.array().cast("array<array<bigint>>"))
+    def flags(w: Column) -> Column:
+        ends = F.when(F.substr(w, F.lit(-1), F.lit(1)).isin(*SENTENCE_ENDS), ENDS).otherwise(0)
+        other = (
+            F.when(F.regexp_like(w, F.lit(r"[\p{L}\p{N}]")), BARE).otherwise(0)
+            + F.when(F.regexp_like(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}")) & (w != F.lower(w)), UP).otherwise(0)
+            + F.when(_is_number(w), IS_NUMBER).otherwise(0)
+        )
+        kind = F.when(small(w), BARE).when(capital(w), BARE + UP).when(digit(w), BARE + IS_NUMBER).otherwise(other)
+        return (kind + ends).cast("tinyint")
+
+    def code(w: Column, e: Column) -> Column:
+        return F.xxhash64(F.when(~small(w) & ~capital(w) & (digit(w) | _is_number(w)), _trimmed(w)).otherwise(e))
+
+    return [F.zip_with(words, split_words(_plain(words)), code).alias("e"), F.transform(words, flags).alias("f")]
+
+
+def combine(first: np.ndarray, rest: list[np.ndarray]) -> np.ndarray:
+    """Hashes of windows from the hashes of their words, place by place."""
+    h = first * _ODD
+    for x in rest:
+        h = (h + x) * _ODD
+    h = h ^ (h >> np.uint64(32))
+    h = (h + np.uint64(len(rest) + 1)) * _ODD
+    return h ^ (h >> np.uint64(29))
+
+
+@F.pandas_udf(LongType())
+def _hash(words: pd.Series) -> pd.Series:
+    """The hash of a window, given as an array of its words' hashes."""
+    out = [combine(x[:1], [x[k : k + 1] for k in range(1, len(x))])[0] for x in (np.array(w, np.int64).view(np.uint64) for w in words)]
+    return pd.Series(np.array(out, np.uint64).view(np.int64))
+
+
+def template_codes(e: np.ndarray, f: np.ndarray, start: np.ndarray, fixed: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words of several texts, which begin at ``start``: the hash of each one's template
+    word, and whether it begins with a capital and is read as itself (``readings``)."""
+    number, up = (f & IS_NUMBER) > 0, (f & UP) > 0
+    follows = np.ones(len(e), bool)
+    follows[start] = False
+    before = np.concatenate((np.zeros(1, f.dtype), f[:-1]))
+    name = up & follows & ((before & ENDS) == 0)
+    t = np.where((f & BARE) > 0, e, fixed[""])
+    after = np.flatnonzero(follows & ((before & IS_NUMBER) > 0))
+    unit = np.zeros(len(e), bool)
+    unit[after] = np.isin(t[after], fixed["units"])
+    t = np.where(unit, fixed[UNIT], t)
+    t = np.where(name, fixed[NAME], t)
+    return np.where(number, fixed[NUMBER], t), up & ~name & ~unit & ~number
+
+
+def window_hashes(e: np.ndarray, f: np.ndarray, sizes: np.ndarray, template: list[int], plain: list[int], fixed: dict):
+    """Text and place of the first word, and hash, of all windows of several texts, whose words
+    follow each other: windows of template words (with the first word also read as a name, if a
+    capital begins it) and of plain words. One kind at a time."""
+    if not len(e):
+        return
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    ends = np.cumsum(sizes)
+    start = (ends - sizes)[sizes > 0]
+    t, named = template_codes(e, f, start, fixed)
+    room = ends[text] - np.arange(len(e))
+    place = sizes[text] - room
+    for words, length in [(t, n) for n in template] + [(e, n) for n in plain]:
+        i = np.flatnonzero(room >= length)
+        yield text[i], place[i], combine(words[i], [words[i + k] for k in range(1, length)])
+        if words is t:
+            i = i[named[i]]
+            yield text[i], place[i], combine(np.full(len(i), fixed[NAME]), [t[i + k] for k in range(1, length)])
+
+
+def _windows(template: list[int], plain: list[int], fixed: dict, seen: np.ndarray):
+    """A function from batches (keys, ``e``, ``f``) to rows (keys, ``p``, ``h``) of the windows
+    that ``seen``, a table of bits by hash, doesn't rule out."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            e, f, keys = batch.column("e"), batch.column("f"), batch.select(["_rk", "_tk", "doc_id"])
+            offsets = e.offsets.to_numpy().astype(np.int64)
+            codes = e.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            bits = f.values.to_numpy(zero_copy_only=False)
+            shift = int(f.offsets[0].as_py()) - int(offsets[0])
+            at = 0
+            while at < len(e):  # some texts at a time
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + WORDS_AT_ONCE, "right")) - 1)
+                a, b = offsets[at], offsets[to]
+                sizes = offsets[at + 1 : to + 1] - offsets[at:to]
+                for text, place, h in window_hashes(codes[a:b], bits[a + shift : b + shift], sizes, template, plain, fixed):
+                    slot = h & np.uint64(len(seen) * 64 - 1)
+                    hit = (seen[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                    if hit.any():
+                        rows = keys.take(pa.array(text[hit] + at))
+                        yield pa.RecordBatch.from_arrays(
+                            [*rows.columns, pa.array(place[hit].astype(np.int32)), pa.array(h[hit].view(np.int64))],
+                            names=["_rk", "_tk", "doc_id", "p", "h"],
+                        )
+                at = to
+
+    return of
+
+
+def hash_bits(hashes: DataFrame) -> np.ndarray:
+    """A table of ``FILTER_BITS`` bits, in which that of every hash (``h``) is set."""
+    slot = F.col("h").bitwiseAND(FILTER_BITS - 1)
+    words = hashes.groupBy(F.shiftright(slot, 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b"))
+    seen = np.zeros(FILTER_BITS // 64, np.int64)
+    for i, b in words.collect():  # at most FILTER_BITS / 64
+        seen[i] = b
+    return seen.view(np.uint64)
+
+
+def fixed_codes(spark: SparkSession) -> dict:
+    """Hashes of the placeholders, of the empty word and of the unit words."""
+    words = [NUMBER, NAME, UNIT, "", *UNITS]
+    row = spark.range(1).select(*[F.xxhash64(F.lit(w)).alias(f"c{i}") for i, w in enumerate(words)]).first()
+    codes = np.array(list(row), np.int64).view(np.uint64)
+    return {**dict(zip(words[:4], codes[:4], strict=True)), "units": codes[4:]}
 
 
 def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -152,7 +270,7 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
         part = part.withColumn("read", read)
         literal = length - F.size(F.filter("read", lambda t: F.array_contains(slots, t)))
         out.append(part.where(literal >= min(MIN_LITERAL, length)).select(
-            _hash([F.xxhash64(F.get("read", F.lit(k))) for k in range(length)], length).alias("h"),
+            _hash(F.transform("read", lambda t: F.xxhash64(t))).alias("h"),
             "item_id", "at", F.lit(length).alias("length"), F.lit(False).alias("plain"), "n_words",
         ))
     for length in sorted({*range(1, MIN_ITEM), LEAST_WINDOW, SHORT_WINDOW}):
@@ -162,7 +280,7 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
         if length == SHORT_WINDOW:
             mine = mine | (n >= TINY_ITEM)
         out.append(placed(rows.where(mine), length).select(
-            _hash([F.xxhash64(F.get("x", F.lit(k))["e"]) for k in range(length)], length).alias("h"),
+            _hash(F.transform("x", lambda r: F.xxhash64(r["e"]))).alias("h"),
             "item_id", "at", F.lit(length).alias("length"), F.lit(True).alias("plain"), "n_words",
         ))
     both = out[0]
@@ -180,9 +298,12 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     sides = broadcast_checked(bench.drop("plain").distinct())
     rk, tk = row_key(docs, doc_id, text)
     rows = docs.select(rk, tk, docs[doc_id].alias("doc_id"), split_words(text_of(docs[text])).alias("w"))
-    hashes = windows_of(F.col("w"), sorted(n for p, n in kinds if not p), sorted(n for p, n in kinds if p))
-    found = rows.select("_rk", "_tk", "doc_id", F.posexplode(hashes).alias("p", "hs"))
-    found = found.select("_rk", "_tk", "doc_id", "p", F.explode("hs").alias("h")).where("h is not null")
+    template, plain = (sorted(n for p, n in kinds if p == side) for side in (False, True))
+    rows = rows.select("_rk", "_tk", "doc_id", *word_codes(F.col("w")))
+    doc_type = docs.schema[doc_id].dataType.simpleString()
+    found = rows.mapInArrow(
+        _windows(template, plain, fixed_codes(docs.sparkSession), hash_bits(bench)), f"_rk long, _tk long, doc_id {doc_type}, p int, h long"
+    )
     return found.join(sides, "h").select(
         "_rk", "_tk", "doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", "length", "n_words"
     )
