@@ -627,3 +627,23 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 1), (159, 100)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 100 for i in range(100, 160)) and 200 not in got
+
+
+def test_few_edges_are_joined_in_one_step_and_many_in_rounds(spark, monkeypatch):
+    from tillroll.llm import components as of
+
+    rng, writes, pinned = random.Random(3), [], of.pinned
+    monkeypatch.setattr(of, "pinned", lambda df: writes.append(1) or pinned(df))
+    nodes = [f"n{i:03d}é" for i in range(300)]
+    edges = [(nodes[i], nodes[i + 1]) for i in range(80)] + [tuple(rng.choices(nodes, k=2)) for _ in range(90)]
+    edges += edges[:5] + [(None, "x"), ("y", "y"), ("z", None)]
+    df = spark.createDataFrame(edges, "p string, q string").repartition(7)
+    got = sorted(map(tuple, of.components(df, "p", "q").collect()))
+    assert len(writes) == 2
+    monkeypatch.setattr(of, "FEW_EDGES", 0)
+    assert got == sorted(map(tuple, of.components(df, "p", "q").collect())) and len(writes) > 4
+    assert dict(got)[nodes[80]] == nodes[0] and "y" not in dict(got)
+    binary = df.select(F.col("p").cast("binary").alias("a"), F.col("q").cast("binary").alias("b"))
+    monkeypatch.setattr(of, "FEW_EDGES", 1000)
+    assert got == sorted((bytes(r.node).decode(), bytes(r.component).decode()) for r in of.components(binary).collect())
+    assert of.components(df.limit(0), "p", "q").count() == 0

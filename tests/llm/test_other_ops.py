@@ -193,3 +193,21 @@ def test_pipeline_stages_by_hand(spark):
     assert set(copies) <= ids("decontaminate") and max(copies.values()) <= 2
     assert seen["shard"].count() == seen["mix"].count()
     assert P.run(spark, SF).count() == seen["shard"].count()
+
+
+def test_finer_buckets_take_the_rarest_kmers_needed(spark, capsys):
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        beyond = sorted((rng.randint(2, 9), rng.randrange(40)) for _ in range(rng.randrange(12)))
+        rows.append((bytes([i % 2]), bytes([9, i]), rng.randint(4, 60), len(beyond) + rng.randrange(4), 0, beyond or None))
+    seen = spark.createDataFrame(rows, "centre binary, node binary, n int, x long, a long, beyond array<struct<df:long,k:long>>")
+    placed = []
+    for centre, node, n, x, _, beyond in rows:
+        alone = x - len(beyond or [])
+        placed += [(centre, k, node) for at, (_, k) in enumerate(beyond or [], 1) if at + alone <= n // 4 + 1]
+    sizes = collections.Counter((c, k) for c, k, _ in placed)
+    want = sorted((sizes[c, k], node) for c, k, node in placed if sizes[c, k] > 1)
+    found = order_minhash.finer_buckets(seen)
+    assert sorted((r.size, bytes(r.node)) for r in found.collect()) == want and want
+    found.explain()
+    assert "Window" not in capsys.readouterr().out

@@ -59,6 +59,7 @@ MIN_HASHES = 64
 MIN_AGREE = 35  # of 64
 SMALL_BUCKET = 16
 MAX_LEVELS = 3
+FEW_ROWS = 20_000  # up to which pairs are broadcast
 
 ship(__name__)
 
@@ -279,21 +280,23 @@ def one_group(large: DataFrame) -> DataFrame:
     return pinned(nodes.join(joined.toDF("node", "centre"), "node", "left").select(F.coalesce("centre", "node").alias("centre"), "node", "n"))
 
 
-def consensus(members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def consensus(members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """For groups of members (``centre``, ``node``, ``n``): per member ``x`` and ``a``, the
-    numbers of k-mers beyond the group's consensus and lacked of it; and the k-mers beyond it
-    that two members have at least, with their frequency ``df``."""
+    numbers of k-mers beyond the group's consensus and lacked of it; and ``beyond``, those of its
+    k-mers beyond it that two members have at least, with their frequency ``df``, rarest first
+    (null: none)."""
     listed = pinned(texts(members.select("node").distinct()).mapInPandas(_listed, "node binary, k array<long>"))
-    tokens = members.join(listed, "node").select("centre", "node", "n", F.explode("k").alias("k"))
+    tokens = members.join(listed, "node").select("centre", "node", F.explode("k").alias("k"))
     size = members.groupBy("centre").agg(F.count("*").alias("size"))
     df = pinned(tokens.groupBy("centre", "k").agg(F.count("*").alias("df")).where("df > 1").join(size, "centre"))
     common = df.where("df * 2 > size").groupBy("centre").agg(F.count("*").alias("common"))
-    of = tokens.join(df, ["centre", "k"])
-    shares = of.where("df * 2 > size").groupBy("centre", "node").agg(F.count("*").alias("held"))
-    seen = members.join(shares, ["centre", "node"], "left").join(common, "centre", "left")
+    of = tokens.join(df, ["centre", "k"]).groupBy("centre", "node").agg(
+        F.count_if(F.expr("df * 2 > size")).alias("held"),
+        F.array_sort(F.collect_list(F.when(F.expr("df * 2 <= size"), F.struct("df", "k")))).alias("beyond"),
+    )
+    seen = members.join(of, ["centre", "node"], "left").join(common, "centre", "left")
     held, common = F.coalesce("held", F.lit(0)), F.coalesce("common", F.lit(0))
-    seen = seen.select("centre", "node", "n", (F.col("n") - held).alias("x"), (common - held).alias("a"))
-    return pinned(seen), of.where("df * 2 <= size").select("centre", "node", "n", "k", "df")
+    return pinned(seen.select("centre", "node", "n", (F.col("n") - held).alias("x"), (common - held).alias("a"), "beyond"))
 
 
 def apart_pairs(seen: DataFrame) -> DataFrame:
@@ -310,23 +313,23 @@ def apart_pairs(seen: DataFrame) -> DataFrame:
     return pairs.where(_close("n", "n2")).select(*_pair("node", "node2")).distinct()
 
 
-def finer_buckets(seen: DataFrame, beyond: DataFrame) -> DataFrame:
+def finer_buckets(seen: DataFrame) -> DataFrame:
     """Buckets by the k-mers beyond the consensus, of each member the rarest it needs."""
-    per = Window.partitionBy("centre", "node")
-    tokens = beyond.join(seen.select("centre", "node", "x"), ["centre", "node"])
-    ranked = tokens.select(
-        "*", F.row_number().over(per.orderBy("df", "k")).alias("at"), (F.col("x") - F.count("*").over(per)).alias("alone")
-    )
-    # of any length allowed for a partner, at most n / 4 k-mers may be unshared
-    needed = ranked.where(F.col("at") + F.col("alone") <= F.floor(F.col("n") / 4) + 1)
-    placed = needed.select(F.xxhash64("centre", "k").alias("key"), "node", "n")
+    # of any length allowed for a partner, at most n / 4 k-mers may be unshared, those that no
+    # one else has among them
+    alone = F.col("x") - F.size("beyond")
+    needed = F.greatest(F.floor(F.col("n") / 4) + 1 - alone, F.lit(0)).cast("int")
+    placed = seen.where("beyond is not null").select("centre", "node", "n", F.explode(F.slice("beyond", F.lit(1), needed)["k"]).alias("k"))
+    placed = placed.select(F.xxhash64("centre", "k").alias("key"), "node", "n")
     return placed.join(placed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
 def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that are similar. ``texts`` has ``node`` and ``text``."""
     least = nodes.select("node", "least")
-    near = pairs.join(least.toDF("a", "la"), "a").join(least.toDF("b", "lb"), "b")
+    few = pairs.limit(FEW_ROWS + 1).count() <= FEW_ROWS  # a join then moves no other table
+    one = (F.broadcast(pairs) if few else pairs).join(least.toDF("a", "la"), "a")
+    near = (F.broadcast(one) if few else one).join(least.toDF("b", "lb"), "b")
     near = pinned(near.where(_agree("la", "lb") >= MIN_AGREE).select("a", "b"))
     needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     some = pinned(texts(needed))
@@ -405,16 +408,16 @@ def _classes(docs: DataFrame, doc_id: str, text: str, outer: list[str]) -> DataF
                 comps = handed_up(comps, inner, outer)
                 break
             group = one_group(large)
-            seen, beyond = consensus(group, texts)
+            seen = consensus(group, texts)
             nearest = seen.groupBy("centre").agg(F.min(F.struct((F.col("x") + F.col("a")).alias("d"), "node", "n")).alias("m"))
             nearest = pinned(nearest.select("centre", F.col("m.node").alias("nearest"), F.col("m.n").alias("cn")))
-            away = seen.join(nearest, "centre").where((F.col("node") != F.col("nearest")) & _close("n", "cn"))
+            away = seen.drop("beyond").join(nearest, "centre").where((F.col("node") != F.col("nearest")) & _close("n", "cn"))
             away = with_comp(with_comp(away), "nearest", "near").where(F.col("comp") != F.col("near"))
             few = component_pairs(rest.where(F.col("size") <= SMALL_BUCKET))
             compare(away.select(*_pair("node", "nearest")).union(few).distinct())
-            labelled = pinned(with_comp(with_comp(seen.join(nearest, "centre")), "nearest", "near"))
+            labelled = pinned(with_comp(with_comp(seen.drop("beyond").join(nearest, "centre")), "nearest", "near"))
             compare(apart_pairs(labelled))
-            members = handed_up(with_centre(finer_buckets(seen, beyond)), inner, outer)
+            members = handed_up(with_centre(finer_buckets(seen)), inner, outer)
             comps, tried = handed_up(comps, inner, outer), handed_up(tried, inner, outer)
     of = nodes.select("node").join(comps.toDF("node", "comp"), "node", "left")
     of = of.select("node", F.coalesce("comp", "node").alias("comp"))
